@@ -59,7 +59,7 @@ SAMPLE_SIDE = {
 # Columns of the single specimen.
 SPECIMEN_SIDE = {
     "ID": "concat('ID_', cast(l_orderkey as string), '_', cast(l_linenumber as string), '_', "
-          "cast(l_partkey as string), '_', cast(l_suppkey as string))",
+          "cast(l_partkey as string), '_', cast(l_suppkey as string), '_', cast(cast(floor(l_quantity) as int) as string))",
     "SPECIES": "CASE WHEN l_partkey % 23 = 0 THEN cast(NULL as string) WHEN l_partkey % 29 = 0 THEN '' "
                "WHEN l_partkey % 31 = 0 THEN 'FHM' WHEN l_partkey % 10 < 5 THEN 'RBT' WHEN l_partkey % 10 < 7 THEN 'BNT' "
                "WHEN l_partkey % 10 = 7 THEN 'CRP' WHEN l_partkey % 10 = 8 THEN 'HBC' ELSE 'NFC' END",
