@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldcatch import config
@@ -101,21 +101,25 @@ def measurement_outliers(export: DataFrame, digits: int = 6) -> DataFrame:
         "length_ratio": F.round(F.try_divide(tl, fl), digits),
         "weight_ratio": F.round(F.try_divide(w * 1e6, tl * tl * tl), digits),
     })
-    out = ratios
-    for name in ("length_ratio", "weight_ratio"):
-        fences = quantiles(ratios.select("SPECIES", name), ["SPECIES"], name,
-                           {"_q1": 0.25, "_q3": 0.75})
-        reach = 1.5 * (F.col("_q3") - F.col("_q1"))
-        fences = fences.select(
-            "SPECIES",
-            F.round(F.col("_q1") - reach, digits).alias("_low"),
-            F.round(F.col("_q3") + reach, digits).alias("_high"),
-        )
-        outside = (F.col(name) < F.col("_low")) | (F.col(name) > F.col("_high"))
-        out = attach(out, fences, ["SPECIES"]).withColumn(
-            f"{name}_outlier", F.coalesce(outside, F.lit(False))
-        ).drop("_low", "_high")
-    return out.filter("length_ratio_outlier OR weight_ratio_outlier")
+    # Both ratios go through one pass, told apart by name.
+    names = ("length_ratio", "weight_ratio")
+    long = ratios.select("SPECIES", *names).unpivot("SPECIES", list(names), "_ratio", "_value")
+    q = quantiles(long, ["SPECIES", "_ratio"], "_value", {"_q1": 0.25, "_q3": 0.75})
+    reach = 1.5 * (F.col("_q3") - F.col("_q1"))
+
+    def fence(name: str, edge) -> Column:
+        return F.max(F.when(F.col("_ratio") == name, F.round(edge, digits)))
+
+    fences = q.groupBy("SPECIES").agg(*[
+        fence(n, edge).alias(f"_{side}_{n}")
+        for n in names for side, edge in (("low", F.col("_q1") - reach), ("high", F.col("_q3") + reach))
+    ])
+    flags = {
+        f"{n}_outlier": F.coalesce((F.col(n) < F.col(f"_low_{n}")) | (F.col(n) > F.col(f"_high_{n}")), F.lit(False))
+        for n in names
+    }
+    out = attach(ratios, fences, ["SPECIES"]).withColumns(flags)
+    return out.select(*ratios.columns, *flags).filter("length_ratio_outlier OR weight_ratio_outlier")
 
 
 def species_plausible(export: DataFrame, rules=config.PLAUSIBLE) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,20 +12,13 @@ from fieldcatch import config, schemas
 from fieldcatch.config import TripConfig
 from fieldcatch.functions import codes, measures, text, times
 from fieldcatch.operators import catch, columns, corrections, lookups, ordering, tables
+from fieldcatch.runtime import materialise
 from fieldcatch.sources.files import write_delimited
 
 UPPER_ELECTROFISHING = ["S_TRIP_ID", "S_SITE_ID", "S_CLIPBOARD", "S_CREW", "FISH_TAG"]
 UPPER_HOOP = [*UPPER_ELECTROFISHING, "S_GPS_ID"]
 VISIT = "S_SITE_ID_2"
-
-
-@dataclass(frozen=True)
-class TripTables:
-    """What a trip yields; `cleaned` is the corrected export before the split."""
-
-    sample: DataFrame
-    specimen: DataFrame
-    cleaned: DataFrame
+NET = "S_NET"
 
 
 def end_miles(sites: DataFrame) -> DataFrame:
@@ -113,20 +106,42 @@ def clean_backfilled(
     return _decoded(out)
 
 
-def split_electrofishing(
-    cleaned: DataFrame, cfg: TripConfig, side: str, water: DataFrame | None
-) -> TripTables:
-    """Key the cleaned export and split it."""
-    order = ["SAMPLE_ID", "S_START_DATE_TIME", "ID", "S_RM_START", "S_RM_END"]
-    numbered = ordering.number_rows(
-        cleaned.withColumn(VISIT, visit_key()), order, "ACCESS_FISH_ID", cfg.specimens_before
-    )
-    visits = ordering.number_rows(
-        catch.total_catch(numbered, [VISIT]), [VISIT], "ACCESS_SAMPLE_ID", cfg.samples_before
-    )
-    keyed = lookups.attach(numbered, visits, [VISIT])
-    sample = tables.sample_table_electrofishing(numbered, visits, VISIT, side, water)
-    return TripTables(sample, tables.specimen_table(keyed), keyed)
+class ElectrofishingTables:
+    """SAMPLE and SPECIMEN tables of a cleaned electrofishing export.
+
+    Each table is planned when it is first asked for, so a job that wants only samples does not
+    number specimens. `store` writes the cleaned export to the shared folder once and lets
+    everything else read it from there; leave it on when both tables are wanted.
+    """
+
+    def __init__(self, cleaned: DataFrame, cfg: TripConfig, side: str,
+                 water: DataFrame | None = None, store: bool = True):
+        self.cfg, self.side, self.water = cfg, side, water
+        keyed = cleaned.withColumn(VISIT, visit_key())
+        self.cleaned = materialise(keyed, "cleaned") if store else keyed
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        """Key and catch of every visit to a site."""
+        totals = catch.total_catch(self.cleaned, [VISIT])
+        return ordering.number_rows(totals, [VISIT], "ACCESS_SAMPLE_ID", self.cfg.samples_before)
+
+    @cached_property
+    def keyed(self) -> DataFrame:
+        """The corrected export with both keys and the catch of the visit."""
+        order = ["SAMPLE_ID", "S_START_DATE_TIME", "ID", "S_RM_START", "S_RM_END"]
+        numbered = ordering.number_rows(
+            self.cleaned, order, "ACCESS_FISH_ID", self.cfg.specimens_before)
+        return lookups.attach(numbered, self.visits, [VISIT])
+
+    @cached_property
+    def sample(self) -> DataFrame:
+        return tables.sample_table_electrofishing(
+            self.cleaned, self.visits, VISIT, self.side, self.water)
+
+    @cached_property
+    def specimen(self) -> DataFrame:
+        return tables.specimen_table(self.keyed)
 
 
 def clean_hoop(
@@ -157,30 +172,53 @@ def clean_hoop(
     })
 
 
-def split_hoop(
-    cleaned: DataFrame, cfg: TripConfig, water: DataFrame | None, key_by_site: bool = False,
-    with_hours: bool = True, keep_codes: bool = False, late_fixes: DataFrame | None = None,
-) -> TripTables:
-    """Key and split a hoop-net export.
+class HoopTables:
+    """SAMPLE and SPECIMEN tables of a cleaned hoop-net export, planned when asked for.
 
     The catch of a net is that of its site. `key_by_site` numbers sites instead of lifts.
-    `late_fixes` correct specimens after the catch has been counted, as blank species are.
+    `late_fixes` correct specimens after the catch has been counted, as blank species are;
+    `keep_codes` lets unknown recapture codes through.
     """
-    if key_by_site:
-        order, key = ["SAMPLE_ID", "S_END_DATE_TIME", "ID"], F.col("S_SITE_ID")
-    else:
-        order, key = ["START_DATE", "S_CLIPBOARD", "S_END_DATE_TIME", "ID"], boat_key()
-    numbered = ordering.number_rows(
-        cleaned.withColumn("_net", key), order, "ACCESS_FISH_ID", cfg.specimens_before)
-    nets = ordering.dense_keys(numbered, ["_net"], "ACCESS_SAMPLE_ID", cfg.samples_before)
-    totals = catch.total_catch(numbered, ["S_SITE_ID"])
-    rows = tables.sample_rows_hoop(numbered, ["_net", "S_SITE_ID"])
-    rows = lookups.attach(lookups.attach(rows, nets, ["_net"]), totals, ["S_SITE_ID"])
-    keyed = lookups.attach(numbered, nets, ["_net"])
-    if late_fixes is not None:
-        keyed = corrections.apply_corrections(keyed, late_fixes)
-    specimen = tables.specimen_table(keyed, keep_codes, blanks=False)
-    return TripTables(tables.sample_table_hoop(rows, water, with_hours), specimen, keyed)
+
+    def __init__(self, cleaned: DataFrame, cfg: TripConfig, water: DataFrame | None = None,
+                 key_by_site: bool = False, with_hours: bool = True, keep_codes: bool = False,
+                 late_fixes: DataFrame | None = None, store: bool = True):
+        self.cfg, self.water, self.with_hours = cfg, water, with_hours
+        self.keep_codes, self.late_fixes = keep_codes, late_fixes
+        self.order = (
+            ["SAMPLE_ID", "S_END_DATE_TIME", "ID"] if key_by_site
+            else ["START_DATE", "S_CLIPBOARD", "S_END_DATE_TIME", "ID"])
+        keyed = cleaned.withColumn(NET, F.col("S_SITE_ID") if key_by_site else boat_key())
+        self.cleaned = materialise(keyed, "cleaned") if store else keyed
+
+    @cached_property
+    def nets(self) -> DataFrame:
+        return ordering.dense_keys(
+            self.cleaned, [NET], "ACCESS_SAMPLE_ID", self.cfg.samples_before)
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return catch.total_catch(self.cleaned, ["S_SITE_ID"])
+
+    @cached_property
+    def keyed(self) -> DataFrame:
+        numbered = ordering.number_rows(
+            self.cleaned, self.order, "ACCESS_FISH_ID", self.cfg.specimens_before)
+        keyed = lookups.attach(numbered, self.nets, [NET])
+        if self.late_fixes is not None:
+            keyed = corrections.apply_corrections(keyed, self.late_fixes)
+        return keyed
+
+    @cached_property
+    def sample(self) -> DataFrame:
+        rows = tables.sample_rows_hoop(self.cleaned, [NET, "S_SITE_ID"])
+        rows = lookups.attach(rows, self.nets, [NET])
+        rows = lookups.attach(rows, self.totals, ["S_SITE_ID"])
+        return tables.sample_table_hoop(rows, self.water, self.with_hours)
+
+    @cached_property
+    def specimen(self) -> DataFrame:
+        return tables.specimen_table(self.keyed, self.keep_codes, blanks=False)
 
 
 LEGACY_SAMPLE = [
@@ -191,25 +229,33 @@ LEGACY_SAMPLE = [
 LEGACY_DROPS = ["SAMPLE_NOTES", "WATER_TEMP", "TURBIDITY_NTU", "TURBIDITY", "TOTAL_HOURS"]
 
 
-def legacy_tables(export: DataFrame) -> TripTables:
+class LegacyTables:
     """The 2019 format: no numeric keys, effort as mm:ss text in the set number."""
-    kept = export.filter(text.is_not(F.col("S_SAMPLE_NOTES"), "test"))
-    f = kept.select(*[F.col(src).alias(new) for src, new, _ in schemas.LEGACY_EXPORT])
-    code = F.col("RECAP_YES_NO")
-    f = f.withColumns({
-        "PITTAG_RECAP": codes.tag_recap(code),
-        "FINCLIP1_RECAP": codes.clip_recap(code),
-        "START_DATETIME": times.parse_second(F.col("START_DATETIME")),
-        "END_DATETIME": times.parse_second(F.col("END_DATETIME")),
-        "EF_TOTAL_SECONDS": times.mmss_seconds(F.col("EL_SECONDS")),
-        "START_RM": measures.round_half_even(F.col("START_RM"), 2),
-        "DATASHEET_SAMPLE_ID": F.upper("DATASHEET_SAMPLE_ID"),
-    }).drop("RECAP_YES_NO", "EL_SECONDS")
-    return TripTables(f.select(*LEGACY_SAMPLE).distinct(), f.drop(*LEGACY_DROPS), f)
-
-
-def write_trip(out: TripTables, cfg: TripConfig, one_file: bool = True) -> None:
-    """Both import tables with blanks for missing, and the corrected export."""
+
+    def __init__(self, export: DataFrame):
+        kept = export.filter(text.is_not(F.col("S_SAMPLE_NOTES"), "test"))
+        f = kept.select(*[F.col(src).alias(new) for src, new, _ in schemas.LEGACY_EXPORT])
+        code = F.col("RECAP_YES_NO")
+        self.cleaned = f.withColumns({
+            "PITTAG_RECAP": codes.tag_recap(code),
+            "FINCLIP1_RECAP": codes.clip_recap(code),
+            "START_DATETIME": times.parse_second(F.col("START_DATETIME")),
+            "END_DATETIME": times.parse_second(F.col("END_DATETIME")),
+            "EF_TOTAL_SECONDS": times.mmss_seconds(F.col("EL_SECONDS")),
+            "START_RM": measures.round_half_even(F.col("START_RM"), 2),
+            "DATASHEET_SAMPLE_ID": F.upper("DATASHEET_SAMPLE_ID"),
+        }).drop("RECAP_YES_NO", "EL_SECONDS")
+        self.sample = self.cleaned.select(*LEGACY_SAMPLE).distinct()
+        self.specimen = self.cleaned.drop(*LEGACY_DROPS)
+
+
+def write_trip(out, cfg: TripConfig, one_file: bool = False) -> None:
+    """Both import tables with blanks for missing, and the corrected export.
+
+    `one_file` makes the single file per table that an import by hand needs; it is for one
+    trip's worth of rows.
+    """
     write_delimited(out.sample, cfg.output_path("_sample.csv"), one_file=one_file)
     write_delimited(out.specimen, cfg.output_path("_specimen.csv"), one_file=one_file)
-    write_delimited(out.cleaned, cfg.output_path("_errorchecked.csv"), one_file=one_file)
+    exported = getattr(out, "keyed", out.cleaned)
+    write_delimited(exported, cfg.output_path("_errorchecked.csv"), one_file=one_file)

@@ -185,9 +185,14 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def _specimens(self) -> DataFrame:
-        items, orders = self.table("lineitem"), self.table("orders")
-        return items.join(orders, items["l_orderkey"] == orders["o_orderkey"])
+    def _specimens(self, columns: dict[str, str]) -> DataFrame:
+        """Specimens with their sample. Each side is projected before the join: sample columns
+        are computed once per sample, and neither projection outgrows the code generator."""
+        orders = self._project(self.table("orders"), {
+            "o_orderkey": "o_orderkey", **{n: e for n, e in columns.items() if n in SAMPLE_SIDE}})
+        items = self._project(self.table("lineitem"), {
+            "l_orderkey": "l_orderkey", **{n: e for n, e in columns.items() if n in SPECIMEN_SIDE}})
+        return items.join(orders, items["l_orderkey"] == orders["o_orderkey"]).select(*columns)
 
     @staticmethod
     def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -195,11 +200,11 @@ class Tables:
 
     @property
     def export(self) -> DataFrame:
-        return self._project(self._specimens(), EXPORT)
+        return self._specimens(EXPORT)
 
     @property
     def raw_export(self) -> DataFrame:
-        return self._project(self._specimens(), RAW_EXPORT)
+        return self._specimens(RAW_EXPORT)
 
     @property
     def sites(self) -> DataFrame:

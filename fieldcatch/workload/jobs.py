@@ -44,7 +44,7 @@ def _sites(t):
 
 def _electrofishing(t):
     cleaned = trip.clean_electrofishing(t.export, _sites(t), _CFG)
-    return trip.split_electrofishing(cleaned, _CFG, "RiverSide", t.water)
+    return trip.ElectrofishingTables(cleaned, _CFG, "RiverSide", t.water, store=False)
 
 
 def _sample_sql(side: str, water: bool) -> str:
@@ -99,7 +99,7 @@ v AS (SELECT visit, dense_rank() OVER (ORDER BY visit) + 175 AS ACCESS_SAMPLE_ID
 def _(t):
     cleaned = trip.clean_backfilled(
         t.export, t.sites, _CFG, cutoff=datetime(1998, 3, 8, 22, 15), early_note="rate set too low")
-    return trip.split_electrofishing(cleaned, _CFG, "S_SIDE", None).sample
+    return trip.ElectrofishingTables(cleaned, _CFG, "S_SIDE", store=False).sample
 
 
 # Hoop nets.
@@ -118,7 +118,7 @@ _HOOP_CFG = TripConfig("GC20200621", samples_before=267, specimens_before=2686)
 
 def _hoop(t, **options):
     cleaned = trip.clean_hoop(t.export, cfg=_HOOP_CFG, earliest=datetime(1996, 1, 1, 1, 1, 1))
-    return trip.split_hoop(cleaned, _HOOP_CFG, t.water, **options)
+    return trip.HoopTables(cleaned, _HOOP_CFG, t.water, store=False, **options)
 
 
 @query("sample_table_hoop", f"""WITH {_HOOP}
@@ -160,7 +160,7 @@ _LEGACY = f"""f AS (SELECT ID AS ACCESS_FISH_ID, FISH_TAG AS PITTAG, S_SAMPLE_TY
 
 def _legacy(t):
     raw = t.raw_export.withColumnRenamed("ID", "SPECIMEN_ID")
-    return trip.legacy_tables(raw.withColumn("S_RIVER_MILE", F.col("S_RIVER_MILE").try_cast("double")))
+    return trip.LegacyTables(raw.withColumn("S_RIVER_MILE", F.col("S_RIVER_MILE").try_cast("double")))
 
 
 @query("legacy_split", f"""WITH {_LEGACY} SELECT DISTINCT SAMPLE_TYPE, SAMPLE_NOTES, CLIPBOARD, WATER_TEMP, TURBIDITY_NTU, DATASHEET_SAMPLE_ID,
