@@ -1,9 +1,9 @@
 """Joins: site list, daily water table, sample attributes, totals back to rows.
 
 No join carries a broadcast hint. Spark compares the measured size of the smaller side with
-its broadcast threshold and sorts and merges when it is larger; a merge join whose large side has
-an oversized key is then split by adaptive execution. For that both sides must come straight
-from their own shuffle, which `attach` sees to where the smaller side is an aggregate.
+its broadcast threshold, and sorts and merges when it is larger. A merge join in which one key holds
+a large part of the rows is then split by adaptive execution, for which both sides must come
+straight from a shuffle of their own: see `attach`.
 """
 
 from __future__ import annotations
@@ -15,16 +15,22 @@ from pyspark.sql import functions as F
 
 
 def attach(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join one row per key back to the rows; missing keys match each other.
+    """Left-join `per_key` to the rows; missing keys match each other.
 
-    The null-safe comparison is hashed on other expressions than the grouping that made
-    `per_key`, so Spark gives it a shuffle of its own and can split an oversized key.
+    The null-safe comparison is hashed on other expressions than a grouping by the same
+    keys, so even where `per_key` is such a grouping it is shuffled anew (it is the small side)
+    and an oversized key on the side of the rows can be split over many tasks.
     """
+    renamed, on = _beside(per_key, keys)
+    return rows.join(renamed, on, "left").drop(*[f"_key_{k}" for k in keys])
+
+
+def _beside(per_key: DataFrame, keys: list[str]):
+    """`per_key` with its keys renamed, and the null-safe condition that meets them."""
     renamed = per_key.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    on = reduce(
+    return renamed, reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     )
-    return rows.join(renamed, on, "left").drop(*[f"_key_{k}" for k in keys])
 
 
 def first_per_key(dim: DataFrame, key: str, order: str) -> DataFrame:
@@ -45,7 +51,7 @@ def join_sites(
     if on_duplicate == "first":
         one = first_per_key(sites.select("S_SITE_ID", "site_seq", *columns), "S_SITE_ID", "site_seq")
         return attach(export, one.drop(*({"site_seq"} - set(columns))), ["S_SITE_ID"])
-    return export.join(sites.select("S_SITE_ID", *columns), "S_SITE_ID", "left")
+    return attach(export, sites.select("S_SITE_ID", *columns), ["S_SITE_ID"])
 
 
 def repeated_sites(sites: DataFrame) -> DataFrame:
@@ -55,13 +61,14 @@ def repeated_sites(sites: DataFrame) -> DataFrame:
 
 def unmatched_sites(export: DataFrame, sites: DataFrame) -> DataFrame:
     """Rows whose site id is not on the list."""
-    return export.join(sites.select("S_SITE_ID").distinct(), "S_SITE_ID", "left_anti")
+    listed, on = _beside(sites.select("S_SITE_ID").distinct(), ["S_SITE_ID"])
+    return export.join(listed, on, "left_anti")
 
 
 def join_water(samples: DataFrame, water: DataFrame) -> DataFrame:
     """Add the day's turbidity and temperature by ISO start date."""
-    return samples.join(
-        water.select("START_DATE", "TURBIDITY_NTU", "WATER_TEMP"), "START_DATE", "left"
+    return attach(
+        samples, water.select("START_DATE", "TURBIDITY_NTU", "WATER_TEMP"), ["START_DATE"]
     )
 
 

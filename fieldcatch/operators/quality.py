@@ -67,8 +67,7 @@ def effort_summary(export: DataFrame) -> DataFrame:
         F.max("h").alias("max_hours"), F.count_if(F.col("h").isNull()).alias("n_missing"),
     )
     quarts = quantiles(nets, [], "h", {"q1_hours": 0.25, "median_hours": 0.5, "q3_hours": 0.75})
-    one = F.lit(1).alias("_one")
-    return plain.select("*", one).join(quarts.select("*", one), "_one").drop("_one")
+    return plain.select("*", *[quarts.select(c).scalar().alias(c) for c in quarts.columns])
 
 
 def bad_side(export: DataFrame) -> DataFrame:
