@@ -55,6 +55,8 @@ def field_summary(
     out = out.withColumn("S_SAMPLE_TYPE", codes.reclass_sites(
         F.col("S_SAMPLE_TYPE"), F.col("S_SITE_ID"), config.SLOUGH_SITES, config.NON_NATIVE))
     out = with_night(shift_sites(out, late_sites), first)
+    if notes and "S_SAMPLE_NOTES" not in out.columns:  # dropped when nobody wrote a note
+        out = out.withColumn("S_SAMPLE_NOTES", F.lit(None).cast("string"))
     for site, note in (notes or {}).items():
         here = F.col("S_SITE_ID") == site
         out = out.withColumn(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
@@ -17,6 +18,7 @@ from fieldcatch.sources.files import write_delimited
 
 UPPER_ELECTROFISHING = ["S_TRIP_ID", "S_SITE_ID", "S_CLIPBOARD", "S_CREW", "FISH_TAG"]
 UPPER_HOOP = [*UPPER_ELECTROFISHING, "S_GPS_ID"]
+Correction = Callable[[DataFrame], DataFrame]
 VISIT = "S_SITE_ID_2"
 NET = "S_NET"
 
@@ -59,12 +61,12 @@ def _decoded(export: DataFrame) -> DataFrame:
 
 def clean_electrofishing(
     export: DataFrame, sites: DataFrame, cfg: TripConfig | None = None,
-    fixes: DataFrame | None = None, used=None, on_duplicate: str = "all",
+    correct: Correction | None = None, on_duplicate: str = "all",
 ) -> DataFrame:
     """Corrected export with list miles, effort and decoded recaptures (river list)."""
     out = normalise(export, cfg, UPPER_ELECTROFISHING)
-    if fixes is not None:
-        out = corrections.apply_corrections(out, fixes, used)
+    if correct is not None:
+        out = correct(out)
     out = lookups.join_sites(out, sites, ["start_rm", "end_rm", "RiverSide", "reach"], on_duplicate)
     out = out.withColumns({
         "S_RM_START": F.col("start_rm"), "S_RM_END": F.col("end_rm"),
@@ -75,7 +77,7 @@ def clean_electrofishing(
 
 def clean_backfilled(
     export: DataFrame, sites: DataFrame, cfg: TripConfig | None = None,
-    fixes: DataFrame | None = None, used=None, cutoff: datetime | None = None,
+    correct: Correction | None = None, cutoff: datetime | None = None,
     early_note: str | None = None, on_duplicate: str = "all",
 ) -> DataFrame:
     """As above for the reach with a slough: only monitoring sites are listed, and miles and
@@ -85,8 +87,8 @@ def clean_backfilled(
         "S_SITE_ID", "side", "rm_start", "rm_end", *(["site_seq"] if on_duplicate == "first" else [])
     ).distinct()
     out = normalise(export, cfg, UPPER_ELECTROFISHING)
-    if fixes is not None:
-        out = corrections.apply_corrections(out, fixes, used)
+    if correct is not None:
+        out = correct(out)
     out = lookups.join_sites(out, listed, ["side", "rm_start", "rm_end"], on_duplicate)
     start, site = F.col("S_START_DATE_TIME"), F.col("S_SITE_ID")
     if cutoff is not None:
@@ -146,7 +148,7 @@ class ElectrofishingTables:
 
 def clean_hoop(
     export: DataFrame, sites: DataFrame | None = None, cfg: TripConfig | None = None,
-    fixes: DataFrame | None = None, used=None, earliest: datetime | None = None,
+    correct: Correction | None = None, earliest: datetime | None = None,
 ) -> DataFrame:
     """Corrected hoop-net export with effort hours and the side taken from the site id.
 
@@ -158,8 +160,8 @@ def clean_hoop(
         c: F.col(c).try_cast("double")
         for c in ("S_RIVER_MILE", "TOTAL_LENGTH", "FORK_LENGTH", "WEIGHT")
     })
-    if fixes is not None:
-        out = corrections.apply_corrections(out, fixes, used)
+    if correct is not None:
+        out = correct(out)
     if sites is not None:
         out = lookups.join_sites(out, sites, ["RiverSide"])
     if earliest is not None:

@@ -17,14 +17,17 @@ from fieldcatch.functions.text import blanks_missing, keep_blanks, without
 from fieldcatch.operators.columns import clean_header
 
 
-def _read_text(spark: SparkSession, path, columns, sep: str) -> DataFrame:
-    """The named columns as text, whatever their order in the header."""
+def _read_text(spark: SparkSession, path, sep: str) -> DataFrame:
     reader = spark.read.option("sep", sep).option("header", True).option("escape", '"')
     header = reader.csv(path).columns
     # A stated schema makes Spark compare the header of every file with it.
-    raw = clean_header(
-        reader.option("enforceSchema", False).schema(schemas.as_text([(c,) for c in header])).csv(path)
-    )
+    named = reader.option("enforceSchema", False).schema(schemas.as_text([(c,) for c in header]))
+    return clean_header(named.csv(path))
+
+
+def _read_columns(spark: SparkSession, path, columns, sep: str) -> DataFrame:
+    """The named columns as text, whatever their order in the header."""
+    raw = _read_text(spark, path, sep)
     have = {c.lower(): c for c in raw.columns}
     missing = [c[0] for c in columns if c[0].lower() not in have]
     if missing:
@@ -42,23 +45,29 @@ def _typed(raw: DataFrame, columns, text_rule: Callable[[Column], Column]) -> Da
 
 def scan_export(spark: SparkSession, path, columns, sep: str = "\t") -> DataFrame:
     """Export where a blank text field is blank and the text NA is missing."""
-    return _typed(_read_text(spark, path, columns, sep), columns, keep_blanks)
+    return _typed(_read_columns(spark, path, columns, sep), columns, keep_blanks)
 
 
 def scan_export_readr(spark: SparkSession, path, columns, sep: str = "\t") -> DataFrame:
     """Export where blank fields are missing and outer spaces are dropped."""
-    return _typed(_read_text(spark, path, columns, sep), columns, blanks_missing)
+    return _typed(_read_columns(spark, path, columns, sep), columns, blanks_missing)
+
+
+def scan_any(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
+    """Every column of an export whose columns are not known beforehand, as text."""
+    raw = _read_text(spark, path, sep)
+    return raw.select(*[blanks_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
 def scan_trips(spark: SparkSession, path, columns, sep: str = "\t") -> DataFrame:
     """Many trips at once; TRIP_FILE tells the rows of the files apart."""
-    raw = _read_text(spark, path, columns, sep).withColumn("TRIP_FILE", F.input_file_name())
+    raw = _read_columns(spark, path, columns, sep).withColumn("TRIP_FILE", F.input_file_name())
     return _typed(raw, [*columns, ("TRIP_FILE", "string")], keep_blanks)
 
 
 def scan_sites(spark: SparkSession, path, columns=schemas.SITE_LIST) -> DataFrame:
     """Site list. Its `id` becomes `site_seq`, as the export has an `ID` of its own."""
-    sites = _typed(_read_text(spark, path, columns, ","), columns, blanks_missing)
+    sites = _typed(_read_columns(spark, path, columns, ","), columns, blanks_missing)
     return sites.withColumnRenamed("id", "site_seq")
 
 
@@ -76,8 +85,7 @@ def tidy_river_sites(sites: DataFrame) -> DataFrame:
 
 def scan_water(spark: SparkSession, path) -> DataFrame:
     """Daily turbidity and temperature under either of the two headers in use."""
-    raw = clean_header(spark.read.option("header", True).csv(path))
-    return _typed(canonical_water(raw), schemas.WATER, blanks_missing)
+    return _typed(canonical_water(_read_text(spark, path, ",")), schemas.WATER, blanks_missing)
 
 
 def canonical_water(raw: DataFrame) -> DataFrame:
@@ -95,6 +103,7 @@ def write_delimited(
     out = df.coalesce(1) if one_file else df
     writer = out.write.option("header", True).option("sep", sep).option("nullValue", missing)
     writer = writer.option("emptyValue", '""').option("escape", '"')
+    writer = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

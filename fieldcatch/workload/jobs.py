@@ -10,6 +10,7 @@ from fieldcatch import schemas
 from fieldcatch.config import TripConfig
 from fieldcatch.functions import text
 from fieldcatch.operators import catch, lookups
+from fieldcatch.operators.corrections import apply_corrections
 from fieldcatch.plans import report, trip
 from fieldcatch.runtime import fresh_path
 from fieldcatch.sources import files
@@ -390,7 +391,8 @@ SELECT x.ID, x.S_SITE_ID, coalesce(FISH_TAG, '') AS FISH_TAG, coalesce(SPECIES,
   coalesce(S_SAMPLE_NOTES, '') AS S_SAMPLE_NOTES, EF_TOTAL_SECONDS, coalesce(SEX_COND, '') AS SEX_COND, coalesce(PITTAG_RECAP, '') AS PITTAG_RECAP,
   l.start_rm AS S_RM_START, l.end_rm AS S_RM_END FROM x LEFT JOIN listed l ON x.S_SITE_ID = l.S_SITE_ID""")
 def _(t):
-    cleaned = trip.clean_electrofishing(t.export, _sites(t), _CFG, t.corrections, CORRECTIONS_LAYOUT)
+    cleaned = trip.clean_electrofishing(
+        t.export, _sites(t), _CFG, lambda d: apply_corrections(d, t.corrections, CORRECTIONS_LAYOUT))
     shown = [("ID", "string"), ("S_SITE_ID", "string"), ("FISH_TAG", "string"), ("SPECIES", "string"),
              ("TOTAL_LENGTH", "int"), ("WEIGHT", "int"), ("S_SAMPLE_NOTES", "string"), ("EF_TOTAL_SECONDS", "int"),
              ("SEX_COND", "string"), ("PITTAG_RECAP", "string"), ("S_RM_START", "double"), ("S_RM_END", "double")]
