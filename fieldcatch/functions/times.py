@@ -44,32 +44,33 @@ def trip_date(trip_id: Column) -> Column:
     return iso.try_cast("date")
 
 
-def iso_date(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+# Text is cut from the cast value: date_format would go through the session's time zone, where a
+# wall-clock time may not exist.
 
+def iso_text(ts: Column) -> Column:
+    return F.substring(ts.cast("string"), 1, 19)
 
-def clock(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm")
 
+def iso_date(ts: Column) -> Column:
+    return F.substring(ts.cast("string"), 1, 10)
 
-def iso_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+def clock(ts: Column) -> Column:
+    return F.substring(ts.cast("string"), 12, 5)
 
 
 def us_date(d: Column) -> Column:
-    return F.date_format(d, "MM/dd/yyyy")
+    iso = d.cast("string")
+    return F.concat(
+        F.substring(iso, 6, 2), F.lit("/"), F.substring(iso, 9, 2), F.lit("/"), F.substring(iso, 1, 4))
 
 
 def us_datetime(ts: Column) -> Column:
-    return F.date_format(ts, "MM/dd/yyyy HH:mm:ss")
-
-
-def us_minute(ts: Column) -> Column:
-    return F.date_format(ts, "MM/dd/yyyy HH:mm")
+    return F.concat(us_date(ts), F.lit(" "), F.substring(ts.cast("string"), 12, 8))
 
 
 def hours_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end) / F.lit(3600.0)
+    return (end - start).cast("interval second").cast("bigint") / F.lit(3600.0)
 
 
 def plus_seconds(ts: Column, seconds: Column) -> Column:

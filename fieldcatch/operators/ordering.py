@@ -95,13 +95,14 @@ def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, flo
     running = running.withColumn("_upto", F.col("_upto") + F.col(_BEFORE)).select(
         *groups, value, (F.col("_upto") - F.col("_n")).alias("_from"), "_upto"
     )
-    span = running.groupBy(*groups).agg(
-        F.min("_from").alias("_first"), (F.max("_upto") - F.min("_from")).alias("_total")
-    )
     if groups:
+        span = running.groupBy(*groups).agg(
+            F.min("_from").alias("_first"), (F.max("_upto") - F.min("_from")).alias("_total")
+        )
         located = attach(running, span, groups)
     else:
-        located = running.withColumns({c: span.select(c).scalar() for c in ("_first", "_total")})
+        total = placed.agg(F.sum("_n")).scalar()
+        located = running.withColumns({"_first": F.lit(0), "_total": total})
     picks, results = [], []
     for name, p in probs.items():
         at = F.col("_first") + (F.col("_total") - 1) * F.lit(p)

@@ -14,109 +14,88 @@ from fieldcatch.functions.codes import (
     tag_recap_or_code,
 )
 from fieldcatch.functions.measures import round_half_even
-from fieldcatch.functions.text import fill_blank, paste
-from fieldcatch.functions.times import clock, iso_date, plus_seconds, us_date, us_datetime
-from fieldcatch.operators.lookups import attach, join_water
+from fieldcatch.functions.text import fill_blank, first_capitals, paste
+from fieldcatch.functions.times import (
+    clock,
+    hours_between,
+    iso_date,
+    plus_seconds,
+    us_date,
+    us_datetime,
+)
+from fieldcatch.operators.lookups import join_water
+
+
+# What a sample row is made of. Rows are made distinct on these alone; everything computed from
+# them, and the constants, are added to the distinct rows.
+_PLACE_AND_TIME = ["S_SITE_ID", "S_TRIP_ID", "S_SAMPLE_TYPE", "S_START_DATE_TIME", "S_CREW", "S_CLIPBOARD"]
+_SURROUNDINGS = ["S_HABITAT", "S_HYDRAULIC", "S_SUBSTRATE", "S_COVER", "S_SAMPLE_NOTES"]
+_ELECTROFISHING = [*_PLACE_AND_TIME, "S_RM_START", "S_RM_END", "S_EF_AMPS", "S_EF_VOLTS",
+                   "EF_TOTAL_SECONDS", *_SURROUNDINGS]
+_HOOP = [*_PLACE_AND_TIME, "S_END_DATE_TIME", "S_GEAR", "S_RIVER_MILE", "S_GPS_ID", *_SURROUNDINGS]
+_RENAMED = {
+    "S_TRIP_ID": "TRIP_ID", "S_SAMPLE_TYPE": "SAMPLE_TYPE", "S_CREW": "CREW",
+    "S_CLIPBOARD": "CLIPBOARD", "S_HABITAT": "HABITAT_CODE", "S_HYDRAULIC": "HYDRAULIC_CODE",
+    "S_SUBSTRATE": "SUBSTRATE_CODE", "S_COVER": "COVER_CODE", "S_SAMPLE_NOTES": "SAMPLE_NOTES",
+}
+
+
+def electrofishing_samples(export: DataFrame, side: str) -> DataFrame:
+    """Distinct samples, still under the export's names."""
+    return export.select(side, *_ELECTROFISHING).distinct()
+
+
+def hoop_samples(export: DataFrame) -> DataFrame:
+    return export.select(*_HOOP).distinct()
+
+
+def _times(start: Column, end: Column) -> dict[str, Column]:
+    return {
+        "START_DATE": us_date(start), "START_TIME": clock(start),
+        "END_DATE": us_date(end), "END_TIME": clock(end),
+        "START_DATETIME": start, "END_DATETIME": end,
+        "RIVER_CODE": F.lit(config.RIVER_CODE),
+        "DATASHEET_SAMPLE_ID": F.col("S_SITE_ID"),
+    }
 
 
-def sample_rows_electrofishing(export: DataFrame, side: str, visit: str) -> DataFrame:
-    """One row per sample with everything but its key and its catch; `visit` is kept.
+def _with_water(rows: DataFrame, water: DataFrame | None, names: list[str]):
+    """The water table is met on the ISO date, before dates are written the US way."""
+    if water is None:
+        return rows, names
+    dated = rows.withColumn("START_DATE", iso_date(F.col("S_START_DATE_TIME")))
+    return join_water(dated, water), [*names, "TURBIDITY_NTU", "WATER_TEMP"]
 
-    The columns the key and catch depend on come in by `visit` afterwards, on the distinct
-    rows instead of on every specimen.
-    """
+
+def sample_table_electrofishing(samples: DataFrame, side: str, water: DataFrame | None) -> DataFrame:
+    """`samples` are the distinct samples with ACCESS_SAMPLE_ID and TOTAL_CATCH."""
+    rows, names = _with_water(samples, water, schemas.names(schemas.SAMPLE_ELECTROFISHING))
     start = F.col("S_START_DATE_TIME")
     end = plus_seconds(start, F.col("EF_TOTAL_SECONDS"))
-    columns: dict[str, Column] = {
-        "DATASHEET_SAMPLE_ID": F.col("S_SITE_ID"),
-        "TRIP_ID": F.col("S_TRIP_ID"),
-        "SAMPLE_TYPE": F.col("S_SAMPLE_TYPE"),
-        "START_DATE": iso_date(start),
-        "START_TIME": clock(start),
-        "END_DATE": iso_date(end),
-        "END_TIME": clock(end),
-        "START_DATETIME": start,
-        "END_DATETIME": end,
-        "RIVER_CODE": F.lit(config.RIVER_CODE),
-        "SIDE_CODE": F.col(side),
-        "START_RM": F.col("S_RM_START"),
-        "END_RM": F.col("S_RM_END"),
+    columns = _times(start, end) | {
+        "START_DATETIME": us_datetime(start), "END_DATETIME": us_datetime(end),
+        "SIDE_CODE": F.col(side), "START_RM": F.col("S_RM_START"), "END_RM": F.col("S_RM_END"),
         "STATION_ID": paste(F.lit("S"), F.col("S_SITE_ID"), sep=""),
         "GPS_START_WAYPOINT": F.col("S_SITE_ID"),
-        "CREW": F.col("S_CREW"),
-        "CLIPBOARD": F.col("S_CLIPBOARD"),
-        "GEAR_CODE": F.lit(config.ELECTROFISHING_GEAR),
-        "EF_AMPS": F.col("S_EF_AMPS"),
-        "EF_VOLTS": F.col("S_EF_VOLTS"),
-        "EF_TOTAL_SECONDS": F.col("EF_TOTAL_SECONDS"),
-        "HABITAT_CODE": F.col("S_HABITAT"),
-        "HYDRAULIC_CODE": F.col("S_HYDRAULIC"),
-        "SUBSTRATE_CODE": F.col("S_SUBSTRATE"),
-        "COVER_CODE": F.col("S_COVER"),
-        "TURBIDITY": F.lit(config.TURBIDITY_CODE),
-        "SAMPLE_NOTES": F.col("S_SAMPLE_NOTES"),
+        "GEAR_CODE": F.lit(config.ELECTROFISHING_GEAR), "TURBIDITY": F.lit(config.TURBIDITY_CODE),
+        "EF_AMPS": F.col("S_EF_AMPS"), "EF_VOLTS": F.col("S_EF_VOLTS"),
     }
-    rows = export.select(visit, *[c.alias(n) for n, c in columns.items()]).distinct()
-    return fill_blank(rows, ["SAMPLE_NOTES"])
-
-
-def sample_table_electrofishing(
-    export: DataFrame, visits: DataFrame, visit: str, side: str, water: DataFrame | None
-) -> DataFrame:
-    """`visits` holds ACCESS_SAMPLE_ID and TOTAL_CATCH per `visit`."""
-    rows = attach(sample_rows_electrofishing(export, side, visit), visits, [visit])
-    names = schemas.names(schemas.SAMPLE_ELECTROFISHING)
-    if water is not None:
-        rows = join_water(rows, water)
-        names = [*names, "TURBIDITY_NTU", "WATER_TEMP"]
-    return rows.withColumns({
-        "START_DATE": us_date(F.col("START_DATETIME")),
-        "END_DATE": us_date(F.col("END_DATETIME")),
-        "START_DATETIME": us_datetime(F.col("START_DATETIME")),
-        "END_DATETIME": us_datetime(F.col("END_DATETIME")),
-    }).select(*names)
-
-
-def sample_rows_hoop(export: DataFrame, keep: list[str]) -> DataFrame:
-    """As for electrofishing; `keep` names the columns the key and the catch hang on."""
-    start, end = F.col("S_START_DATE_TIME"), F.col("S_END_DATE_TIME")
-    columns: dict[str, Column] = {
-        "DATASHEET_SAMPLE_ID": F.col("S_SITE_ID"),
-        "TRIP_ID": F.col("S_TRIP_ID"),
-        "SAMPLE_TYPE": F.col("S_SAMPLE_TYPE"),
-        "START_DATE": iso_date(start),
-        "START_TIME": clock(start),
-        "END_DATE": iso_date(end),
-        "END_TIME": hoop_end_clock(F.col("S_GEAR"), clock(end)),
-        "START_DATETIME": start,
-        "END_DATETIME": end,
-        "TOTAL_HOURS": round_half_even(F.col("EFFORT_HOURS"), 2),
-        "RIVER_CODE": F.lit(config.RIVER_CODE),
-        "SIDE_CODE": F.col("S_SIDE"),
-        "START_RM": F.col("S_RIVER_MILE"),
-        "STATION_ID": F.col("S_GPS_ID"),
-        "CREW": F.col("S_CREW"),
-        "CLIPBOARD": F.col("S_CLIPBOARD"),
-        "GEAR_CODE": F.col("S_GEAR"),
-        "HABITAT_CODE": F.col("S_HABITAT"),
-        "HYDRAULIC_CODE": F.col("S_HYDRAULIC"),
-        "SUBSTRATE_CODE": F.col("S_SUBSTRATE"),
-        "COVER_CODE": F.col("S_COVER"),
-        "SAMPLE_NOTES": F.col("S_SAMPLE_NOTES"),
-    }
-    return export.select(*keep, *[c.alias(n) for n, c in columns.items()]).distinct()
+    table = rows.withColumns(columns).withColumnsRenamed(_RENAMED).select(*names)
+    return fill_blank(table, ["SAMPLE_NOTES"])
 
 
-def sample_table_hoop(rows: DataFrame, water: DataFrame | None, with_hours: bool = True) -> DataFrame:
-    """`rows` already carry ACCESS_SAMPLE_ID and TOTAL_CATCH."""
+def sample_table_hoop(samples: DataFrame, water: DataFrame | None, with_hours: bool = True) -> DataFrame:
+    """As for electrofishing; END_TIME depends on the gear, and net hours may be left out."""
     names = [n for n in schemas.names(schemas.SAMPLE_HOOP) if with_hours or n != "TOTAL_HOURS"]
-    if water is not None:
-        rows = join_water(rows, water)
-        names = [*names, "TURBIDITY_NTU", "WATER_TEMP"]
-    return rows.withColumns({
-        "START_DATE": us_date(F.col("START_DATETIME")),
-        "END_DATE": us_date(F.col("END_DATETIME")),
-    }).select(*names)
+    rows, names = _with_water(samples, water, names)
+    start, end = F.col("S_START_DATE_TIME"), F.col("S_END_DATE_TIME")
+    columns = _times(start, end) | {
+        "END_TIME": hoop_end_clock(F.col("S_GEAR"), clock(end)),
+        "TOTAL_HOURS": round_half_even(hours_between(start, end), 2),
+        "SIDE_CODE": first_capitals(F.col("S_SITE_ID")), "START_RM": F.col("S_RIVER_MILE"),
+        "STATION_ID": F.col("S_GPS_ID"), "GEAR_CODE": F.col("S_GEAR"),
+    }
+    return rows.withColumns(columns).withColumnsRenamed(_RENAMED).select(*names)
 
 
 def specimen_table(keyed: DataFrame, keep_codes: bool = False, blanks: bool = True) -> DataFrame:

@@ -138,8 +138,9 @@ class ElectrofishingTables:
 
     @cached_property
     def sample(self) -> DataFrame:
-        return tables.sample_table_electrofishing(
-            self.cleaned, self.visits, VISIT, self.side, self.water)
+        rows = tables.electrofishing_samples(self.cleaned, self.side).withColumn(VISIT, visit_key())
+        rows = lookups.attach(rows, self.visits, [VISIT])
+        return tables.sample_table_electrofishing(rows, self.side, self.water)
 
     @cached_property
     def specimen(self) -> DataFrame:
@@ -190,7 +191,8 @@ class HoopTables:
         self.order = (
             ["SAMPLE_ID", "S_END_DATE_TIME", "ID"] if key_by_site
             else ["START_DATE", "S_CLIPBOARD", "S_END_DATE_TIME", "ID"])
-        keyed = cleaned.withColumn(NET, F.col("S_SITE_ID") if key_by_site else boat_key())
+        self.net_key = (lambda: F.col("S_SITE_ID")) if key_by_site else boat_key
+        keyed = cleaned.withColumn(NET, self.net_key())
         self.cleaned = materialise(keyed, "cleaned") if store else keyed
 
     @cached_property
@@ -213,7 +215,7 @@ class HoopTables:
 
     @cached_property
     def sample(self) -> DataFrame:
-        rows = tables.sample_rows_hoop(self.cleaned, [NET, "S_SITE_ID"])
+        rows = tables.hoop_samples(self.cleaned).withColumn(NET, self.net_key())
         rows = lookups.attach(rows, self.nets, [NET])
         rows = lookups.attach(rows, self.totals, ["S_SITE_ID"])
         return tables.sample_table_hoop(rows, self.water, self.with_hours)

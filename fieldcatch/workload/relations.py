@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldcatch.config import TripConfig
+from fieldcatch.functions import times
 from fieldcatch.operators import catch, columns, corrections, lookups, ordering, quality, summary
 from fieldcatch.plans import field, trip
 from fieldcatch.workload.registry import query
@@ -70,7 +71,7 @@ def _(t):
 WITH d AS (SELECT DISTINCT SAMPLE_ID, strftime(S_START_DATE_TIME, '%Y-%m-%d') AS START_DATE FROM export)
 SELECT d.*, w.TURBIDITY_NTU, w.WATER_TEMP FROM d LEFT JOIN water w ON d.START_DATE = w.START_DATE""")
 def _(t):
-    day = F.date_format("S_START_DATE_TIME", "yyyy-MM-dd").alias("START_DATE")
+    day = times.iso_date(F.col("S_START_DATE_TIME")).alias("START_DATE")
     return lookups.join_water(t.export.select("SAMPLE_ID", day).distinct(), t.water)
 
 

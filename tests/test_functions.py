@@ -51,10 +51,12 @@ def test_parse_times(spark):
 def test_wall_clock_survives_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:  # 02:30 does not exist there on this day
-        got = values(spark, [("03/14/2021 02:30",)], "c string", times.parse_minute(F.col("c")))
+        at = times.parse_minute(F.col("c"))
+        got = values(spark, [("03/14/2021 02:30",)], "c string", at, times.clock(at), times.us_datetime(at),
+                     times.hours_between(at, times.plus_days(at, 1)), times.iso_text(at))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == [datetime(2021, 3, 14, 2, 30)]
+    assert got == [(datetime(2021, 3, 14, 2, 30), "02:30", "03/14/2021 02:30:00", 24.0, "2021-03-14 02:30:00")]
 
 
 def test_report_datetime_forms(spark):
