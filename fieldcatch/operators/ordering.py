@@ -46,7 +46,10 @@ def _start_of_ranges(sizes: DataFrame) -> DataFrame:
 
 
 def number_rows(df: DataFrame, order: list[str], out: str, offset: int = 0) -> DataFrame:
-    """Number rows 1, 2, 3 ... in the given order (missing values last), plus `offset`."""
+    """Number rows 1, 2, 3 ... in the given order (missing values last), plus `offset`.
+
+    End the order with a unique column: rows that compare equal share a range, and so a task.
+    """
     placed = _place(df, order)
     sizes = placed.groupBy(_RANGE).agg((F.max(_PLACE) + 1).alias("_size"))
     number = (F.col(_BEFORE) + F.col(_PLACE) + 1 + offset).cast("bigint").alias(out)

@@ -98,6 +98,13 @@ def sample_table_hoop(samples: DataFrame, water: DataFrame | None, with_hours: b
     return rows.withColumns(columns).withColumnsRenamed(_RENAMED).select(*names)
 
 
+# What a specimen row is made of.
+SPECIMEN_COLUMNS = [
+    "SPECIES", "TOTAL_LENGTH", "FORK_LENGTH", "WEIGHT", "SEX", "SEX_COND", "SEX_CHAR",
+    "RECAP_YES_NO", "FINCLIP1", "FISH_TAG", "DISPOSITION", "SPECIMEN_NOTES",
+]
+
+
 def specimen_table(keyed: DataFrame, keep_codes: bool = False, blanks: bool = True) -> DataFrame:
     """`keyed` is the export with both keys. `keep_codes` lets recapture codes outside the
     list through; `blanks` writes missing text as blank."""

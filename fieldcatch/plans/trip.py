@@ -116,6 +116,8 @@ class ElectrofishingTables:
     everything else read it from there; leave it on when both tables are wanted.
     """
 
+    order = ["SAMPLE_ID", "S_START_DATE_TIME", "ID", "S_RM_START", "S_RM_END"]
+
     def __init__(self, cleaned: DataFrame, cfg: TripConfig, side: str,
                  water: DataFrame | None = None, store: bool = True):
         self.cfg, self.side, self.water = cfg, side, water
@@ -128,13 +130,15 @@ class ElectrofishingTables:
         totals = catch.total_catch(self.cleaned, [VISIT])
         return ordering.number_rows(totals, [VISIT], "ACCESS_SAMPLE_ID", self.cfg.samples_before)
 
+    def _key(self, rows: DataFrame) -> DataFrame:
+        numbered = ordering.number_rows(
+            rows, self.order, "ACCESS_FISH_ID", self.cfg.specimens_before)
+        return lookups.attach(numbered, self.visits, [VISIT])
+
     @cached_property
     def keyed(self) -> DataFrame:
         """The corrected export with both keys and the catch of the visit."""
-        order = ["SAMPLE_ID", "S_START_DATE_TIME", "ID", "S_RM_START", "S_RM_END"]
-        numbered = ordering.number_rows(
-            self.cleaned, order, "ACCESS_FISH_ID", self.cfg.specimens_before)
-        return lookups.attach(numbered, self.visits, [VISIT])
+        return self._key(self.cleaned)
 
     @cached_property
     def sample(self) -> DataFrame:
@@ -144,7 +148,11 @@ class ElectrofishingTables:
 
     @cached_property
     def specimen(self) -> DataFrame:
-        return tables.specimen_table(self.keyed)
+        """Built on `keyed` where that exists; else only the columns of the table are sorted."""
+        if "keyed" in self.__dict__:
+            return tables.specimen_table(self.keyed)
+        narrow = self.cleaned.select(VISIT, *self.order, *tables.SPECIMEN_COLUMNS)
+        return tables.specimen_table(self._key(narrow))
 
 
 def clean_hoop(
@@ -204,11 +212,14 @@ class HoopTables:
     def totals(self) -> DataFrame:
         return catch.total_catch(self.cleaned, ["S_SITE_ID"])
 
+    def _key(self, rows: DataFrame) -> DataFrame:
+        numbered = ordering.number_rows(
+            rows, self.order, "ACCESS_FISH_ID", self.cfg.specimens_before)
+        return lookups.attach(numbered, self.nets, [NET])
+
     @cached_property
     def keyed(self) -> DataFrame:
-        numbered = ordering.number_rows(
-            self.cleaned, self.order, "ACCESS_FISH_ID", self.cfg.specimens_before)
-        keyed = lookups.attach(numbered, self.nets, [NET])
+        keyed = self._key(self.cleaned)
         if self.late_fixes is not None:
             keyed = corrections.apply_corrections(keyed, self.late_fixes)
         return keyed
@@ -222,7 +233,12 @@ class HoopTables:
 
     @cached_property
     def specimen(self) -> DataFrame:
-        return tables.specimen_table(self.keyed, self.keep_codes, blanks=False)
+        keyed = self.__dict__.get("keyed")
+        if keyed is None and self.late_fixes is None:
+            keyed = self._key(self.cleaned.select(NET, *self.order, *tables.SPECIMEN_COLUMNS))
+        if keyed is None:
+            keyed = self.keyed
+        return tables.specimen_table(keyed, self.keep_codes, blanks=False)
 
 
 LEGACY_SAMPLE = [
@@ -259,7 +275,7 @@ def write_trip(out, cfg: TripConfig, one_file: bool = False) -> None:
     `one_file` makes the single file per table that an import by hand needs; it is for one
     trip's worth of rows.
     """
+    exported = getattr(out, "keyed", out.cleaned)  # first, so that specimens are cut from it
+    write_delimited(exported, cfg.output_path("_errorchecked.csv"), one_file=one_file)
     write_delimited(out.sample, cfg.output_path("_sample.csv"), one_file=one_file)
     write_delimited(out.specimen, cfg.output_path("_specimen.csv"), one_file=one_file)
-    exported = getattr(out, "keyed", out.cleaned)
-    write_delimited(exported, cfg.output_path("_errorchecked.csv"), one_file=one_file)

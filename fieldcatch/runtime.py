@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_STORED: dict[str, list[str]] = {}
 
 
 def session(app: str = "fieldcatch", **conf: str) -> SparkSession:
@@ -56,4 +57,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> int:
+    """Delete the tables `materialise` wrote in this application, once all results are out.
+
+    Frames built on them can no longer be read. Returns the number of tables deleted.
+    """
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in map(hadoop.Path, paths):
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

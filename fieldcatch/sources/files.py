@@ -99,8 +99,12 @@ def write_delimited(
     """Write with a header; missing values as `missing` and blank text as quoted blank.
 
     `one_file` is for the hand-off of a single trip; leave it out at scale and partition by trip.
+    Rows are then gathered by partition before the write, which keeps the number of files
+    down; adaptive execution splits a partition that is too large for one task.
     """
     out = df.coalesce(1) if one_file else df
+    if partition_by:
+        out = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = out.write.option("header", True).option("sep", sep).option("nullValue", missing)
     writer = writer.option("emptyValue", '""').option("escape", '"')
     writer = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")

@@ -319,6 +319,17 @@ def _(t):
     return files.scan_export(t.spark, path, _FILE_COLUMNS)
 
 
+@query("scan_trips", """
+SELECT S_TRIP_ID AS trip, count(*) AS n_rows, count(DISTINCT SAMPLE_ID) AS n_samples, sum(WEIGHT)::bigint AS total_weight FROM raw_export GROUP BY 1""")
+def _(t):
+    path = _written(t.raw_export.withColumn("trip", F.col("S_TRIP_ID")), "trips", missing="NA", sep="\t", partition_by=("trip",))
+    rows = files.scan_trips(t.spark, f"{path}/trip=*", _FILE_COLUMNS)
+    trip_id = F.regexp_extract("TRIP_FILE", "trip=([^/]+)/", 1)
+    return rows.groupBy(trip_id.alias("trip")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("SAMPLE_ID").alias("n_samples"),
+        F.sum("WEIGHT").alias("total_weight"))
+
+
 _READR = ", ".join(f"nullif({n}, '') AS {n}" if k == "string" else n for n, k in _FILE_COLUMNS)
 
 

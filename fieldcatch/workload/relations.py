@@ -264,8 +264,9 @@ def _(t):
 SELECT DISTINCT S_CLIPBOARD, S_SAMPLE_TYPE, S_SITE_ID, S_START_DATE_TIME, SAMPLE_ID, S_SAMPLE_NOTES FROM export""")
 def _(t):
     shown = ["S_CLIPBOARD", "S_SAMPLE_TYPE", "S_SITE_ID", "S_START_DATE_TIME", "SAMPLE_ID", "S_SAMPLE_NOTES"]
-    return t.export.select(*shown).distinct().orderBy(
-        F.col("S_CLIPBOARD").asc_nulls_last(), F.col("S_START_DATE_TIME").asc_nulls_last())
+    # the sample id keeps rows of one boat and minute from having to share a task
+    order = ("S_CLIPBOARD", "S_START_DATE_TIME", "SAMPLE_ID")
+    return t.export.select(*shown).distinct().orderBy(*[F.col(c).asc_nulls_last() for c in order])
 
 
 # Quality -------------------------------------------------------------------------------------

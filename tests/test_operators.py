@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -207,6 +208,16 @@ def test_quality_flags(spark):
     assert {r.ID for r in quality.species_plausible(fish).filter("NOT SPECIES_CORRECT").collect()} == {"a", "b"}
 
 
+def test_stored_tables_can_be_dropped(spark):
+    from fieldcatch.runtime import drop_stored, materialise
+
+    stored = materialise(spark.range(3), "test")
+    path = stored.inputFiles()[0]
+    assert path.startswith("file:") and drop_stored(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert drop_stored(spark) == 0
+
+
 def test_shared_dir_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_dir(spark) == named

@@ -174,6 +174,29 @@ def test_hoop_trip_with_its_corrections(spark, tmp_path, water):
     assert sorted(r.ACCESS_FISH_ID for r in rows.values()) == list(range(2687, 2694))
 
 
+def test_hoop_template_numbers_sites(spark, tmp_path, river_sites):
+    export = table(tmp_path / "export.txt", schemas.HOOP_EXPORT, [
+        hoop_row("i1", "s2", "10.5R", "10/24/2019 09:00", "10/25/2019 09:00", "FMS"),
+        hoop_row("i2", "s1", "10.0l", "10/24/2019 09:10", "10/25/2019 09:10", "NFC"),
+        hoop_row("i3", "s3", "10.5R", "10/26/2019 09:00", "10/27/2019 09:00", "", S_RIVER_MILE="no")])
+    out = run.trip_tables(spark, presets.PRESETS["GC20191024_hoop"], export, river_sites)
+    assert "TOTAL_HOURS" not in out.sample.columns
+    assert {(r.ACCESS_SAMPLE_ID, r.DATASHEET_SAMPLE_ID, r.TOTAL_CATCH, r.START_RM) for r in out.sample.collect()} == {
+        (1, "10.0L", 0, 96.0), (2, "10.5R", 2, 96.0), (2, "10.5R", 2, None)}
+    assert {(r.ACCESS_FISH_ID, r.ACCESS_SAMPLE_ID, r.SPECIES_CODE) for r in out.specimen.collect()} == {
+        (1, 1, "NFC"), (2, 2, "FMS"), (3, 2, "")}
+
+
+def test_late_fixes_come_after_the_catch(spark, tmp_path):
+    from fieldcatch.operators.corrections import SCHEMA
+    export = table(tmp_path / "export.txt", schemas.HOOP_EXPORT, [
+        hoop_row("i1", "s1", "1R", "10/24/2019 09:00", "10/25/2019 09:00", "FMS", S_GPS_ID="g")])
+    rows = trip.parse_export_times(files.scan_export(spark, export, schemas.HOOP_EXPORT))
+    late = spark.createDataFrame([(1, "SPECIES", "S_GPS_ID", "G", "NFC")], SCHEMA)
+    out = trip.HoopTables(trip.clean_hoop(rows), TripConfig("GC20191024"), late_fixes=late)
+    assert out.specimen.first().SPECIES_CODE == "NFC" and out.sample.first().TOTAL_CATCH == 1
+
+
 def test_hoop_split_of_a_merged_sample(spark, tmp_path):
     export = table(tmp_path / "export.txt", schemas.HOOP_EXPORT, [
         hoop_row("i1", "1026_0930_42", "238.19R", "10/26/2020 09:00", "10/27/2020 09:00", "FMS", S_SAMPLE_TYPE=115, S_SAMPLE_NOTES="carried"),
