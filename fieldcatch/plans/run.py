@@ -40,19 +40,26 @@ def trip_tables(
     return trip.ElectrofishingTables(cleaned, preset.config, "RiverSide", daily, store=store)
 
 
-def run_trip(spark: SparkSession, preset: Preset, output_dir: str, *paths, one_file: bool = False):
+def run_trip(
+    spark: SparkSession, preset: Preset, output_dir: str, *paths, one_file: bool = False,
+    missing: str = "",
+):
     """`trip_tables`, written below `output_dir`."""
     out = trip_tables(spark, preset, *paths)
-    trip.write_trip(out, replace(preset.config, output_dir=output_dir), one_file)
+    trip.write_trip(out, replace(preset.config, output_dir=output_dir), one_file, missing)
     return out
 
 
 def legacy_tables(spark: SparkSession, export: str) -> trip.LegacyTables:
-    """The 2019 format. Its first column is the specimen id, whatever the header calls it."""
-    raw = files.scan_any(spark, export)
-    raw = raw.withColumnRenamed(raw.columns[0], "SPECIMEN_ID")
-    typed = [F.col(src).try_cast(kind).alias(src) for src, _, kind in schemas.LEGACY_EXPORT]
-    return trip.LegacyTables(raw.select(*typed))
+    return trip.LegacyTables(files.scan_legacy(spark, export))
+
+
+def run_legacy(spark: SparkSession, export: str, output_dir: str) -> trip.LegacyTables:
+    """The 2019 job: both tables, with NA for missing values."""
+    out = legacy_tables(spark, export)
+    files.write_delimited(out.specimen, f"{output_dir}/fish.csv", missing="NA")
+    files.write_delimited(out.sample, f"{output_dir}/site.csv", missing="NA")
+    return out
 
 
 def field_tables(spark: SparkSession, preset: Preset, export: str) -> field.FieldSummary:

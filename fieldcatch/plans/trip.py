@@ -269,13 +269,16 @@ class LegacyTables:
         self.specimen = self.cleaned.drop(*LEGACY_DROPS)
 
 
-def write_trip(out, cfg: TripConfig, one_file: bool = False) -> None:
-    """Both import tables with blanks for missing, and the corrected export.
+def write_trip(out, cfg: TripConfig, one_file: bool = False, missing: str = "") -> None:
+    """Both import tables and the corrected export; missing values are blank or as given.
 
     `one_file` makes the single file per table that an import by hand needs; it is for one
     trip's worth of rows.
     """
-    exported = getattr(out, "keyed", out.cleaned)  # first, so that specimens are cut from it
-    write_delimited(exported, cfg.output_path("_errorchecked.csv"), one_file=one_file)
-    write_delimited(out.sample, cfg.output_path("_sample.csv"), one_file=one_file)
-    write_delimited(out.specimen, cfg.output_path("_specimen.csv"), one_file=one_file)
+    parts = {
+        "_errorchecked.csv": getattr(out, "keyed", out.cleaned),  # first: specimens are cut from it
+        "_sample.csv": out.sample,
+        "_specimen.csv": out.specimen,
+    }
+    for name, df in parts.items():
+        write_delimited(df, cfg.output_path(name), missing=missing, one_file=one_file)

@@ -26,8 +26,11 @@ def _read_text(spark: SparkSession, path, sep: str) -> DataFrame:
 
 
 def _read_columns(spark: SparkSession, path, columns, sep: str) -> DataFrame:
-    """The named columns as text, whatever their order in the header."""
-    raw = _read_text(spark, path, sep)
+    return _pick(_read_text(spark, path, sep), columns, path)
+
+
+def _pick(raw: DataFrame, columns, path) -> DataFrame:
+    """The named columns, whatever their order and case in the header."""
     have = {c.lower(): c for c in raw.columns}
     missing = [c[0] for c in columns if c[0].lower() not in have]
     if missing:
@@ -53,6 +56,14 @@ def scan_export_readr(spark: SparkSession, path, columns, sep: str = "\t") -> Da
     return _typed(_read_columns(spark, path, columns, sep), columns, blanks_missing)
 
 
+def scan_legacy(spark: SparkSession, path) -> DataFrame:
+    """The 2019 export. Its first column is the specimen id, whatever the header calls it."""
+    raw = _read_text(spark, path, "\t")
+    raw = raw.withColumnRenamed(raw.columns[0], "SPECIMEN_ID")
+    columns = [(source, kind) for source, _, kind in schemas.LEGACY_EXPORT]
+    return _typed(_pick(raw, columns, path), columns, keep_blanks)
+
+
 def scan_any(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
     """Every column of an export whose columns are not known beforehand, as text."""
     raw = _read_text(spark, path, sep)

@@ -219,9 +219,12 @@ def test_legacy_format(spark, tmp_path):
     out = run.legacy_tables(spark, export)
     assert {r.ACCESS_FISH_ID for r in out.specimen.collect()} == {"i1", "i2", "i4"}
     got = {r.SAMPLE_NOTES: r for r in out.sample.collect()}
-    assert len(got) == 2 and (got[None].EF_TOTAL_SECONDS, got["ok"].EF_TOTAL_SECONDS) == (330, None)
-    assert (got[None].DATASHEET_SAMPLE_ID, got[None].START_RM, got[None].START_DATETIME) == ("-4.5L", -4.46, datetime(2019, 3, 11, 20, 0))
+    assert len(got) == 2 and (got[""].EF_TOTAL_SECONDS, got["ok"].EF_TOTAL_SECONDS) == (330, None)
+    assert (got[""].DATASHEET_SAMPLE_ID, got[""].START_RM, got[""].START_DATETIME) == ("-4.5L", -4.46, datetime(2019, 3, 11, 20, 0))
     assert "SAMPLE_NOTES" not in out.specimen.columns and "PITTAG_RECAP" in out.specimen.columns
+    run.run_legacy(spark, export, str(tmp_path / "out"))
+    site = files.scan_export(spark, str(tmp_path / "out" / "site.csv"), [("SAMPLE_NOTES", "string"), ("EF_TOTAL_SECONDS", "int"), ("WATER_TEMP", "double")], sep=",")
+    assert sorted(map(tuple, site.collect())) == [("", 330, None), ("ok", None, None)]
 
 
 def test_field_summary(spark, tmp_path):
