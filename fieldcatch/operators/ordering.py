@@ -64,20 +64,28 @@ def dense_keys(df: DataFrame, keys: list[str], out: str, offset: int = 0) -> Dat
 def neighbour(
     df: DataFrame, groups: list[str], order: list[str], values: dict[str, str], step: int
 ) -> DataFrame:
-    """Add values of the row `step` places on (negative: back) within the group.
+    """Add values of the next row of the group (`step=1`) or of the one before (`step=-1`).
 
-    `values` maps source column to new column. Rows meet on their running number, which is
-    unique, so a group of any size spreads over all tasks.
+    `values` maps source column to new column. The window looks along one range at a time, so
+    a group of any size spreads over many tasks; the row at the far side of a range's edge comes
+    from a table of one row per range.
     """
-    numbered = number_rows(df, groups + order, "_pos")
-    other = numbered.select(
-        (F.col("_pos") - step).alias("_at"),
-        *[F.col(g).alias(f"_g_{g}") for g in groups],
-        *[F.col(src).alias(new) for src, new in values.items()],
-    )
-    same_group = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-    on = reduce(lambda a, b: a & b, same_group, F.col("_pos") == F.col("_at"))
-    return numbered.join(other, on, "left").select(*df.columns, *values.values())
+    placed = _place(df, groups + order)
+    entry = F.struct(*[F.col(g).alias(f"_g_{g}") for g in groups], *[F.col(v) for v in values])
+    shift, edge = (F.lead, F.min_by) if step == 1 else (F.lag, F.max_by)
+    inside = Window.partitionBy(_RANGE).orderBy(_PLACE)
+    edges = placed.groupBy(_RANGE).agg(edge(entry, F.col(_PLACE)).alias("_edge"))
+    # one row per range, as in _start_of_ranges
+    across = edges.select(_RANGE, shift("_edge").over(Window.orderBy(_RANGE)).alias("_across"))
+    seen = placed.withColumn("_within", shift(entry).over(inside)).join(
+        F.broadcast(across), _RANGE
+    ).withColumn("_other", F.coalesce("_within", "_across"))
+    same_group = reduce(
+        lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"_other._g_{g}")) for g in groups], F.lit(True)
+    ) & F.col("_other").isNotNull()
+    return seen.select(*df.columns, *[
+        F.when(same_group, F.col(f"_other.{src}")).alias(new) for src, new in values.items()
+    ])
 
 
 def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float]) -> DataFrame:
