@@ -1 +1,8 @@
 """Operators for preparing language-model training data."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel with the job, so executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcatch.llm import license_index, rule_cascade, secret_index, twins
+from fieldcatch.llm import (
+    best_fit, language_codes, license_index, rule_cascade, secret_index, source_mix, twins,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +30,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_language_codes")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    marked = docs.withColumn("held_out", language_codes.held_out())
+    model = language_codes.fit(marked.filter(~F.col("held_out")))
+    return language_codes.predict(marked.select("doc_id", "text", "held_out"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "ambiguous"
+    )
+
+
+@query("op2_source_mix")
+def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return source_mix.mix_counts(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 @query("op3_secret_scan", twins.SECRETS)
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,3 +68,10 @@ def quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.col("base_failed"), "kept",
     )
+
+
+@query("op10_best_fit")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    capacity = best_fit.Capacity()
+    return best_fit.pack(best_fit.pieces(docs, capacity.longest), capacity)
