@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldcatch.llm import (
-    best_fit, language_codes, license_index, rule_cascade, secret_index, source_mix, twins,
+    best_fit, html_density, language_codes, license_index, pseudonyms, rule_cascade, secret_index,
+    source_mix, twins, va_file,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +54,12 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+@query("op4_va_file", twins.TOP_K)
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return va_file.top_k(rows, F.col("vec_id") % 50 == 0)
+
+
 @query("op6_license_scan", twins.LICENSES)
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +68,17 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_pseudonyms")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.hide(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_main_text")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_density.extract(pages)
+
+
 @query("op9_quality_cascade", twins.QUALITY)
 def quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

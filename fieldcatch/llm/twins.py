@@ -116,5 +116,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        OR stutter * 3 > n_words) AS kept
 FROM b"""
 
+TOP_K = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.vec) = len(c.vec)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5"""
+
 SECRETS = _secrets()
 LICENSES = _licenses()
