@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldcatch.llm import (
-    best_fit, html_density, language_codes, license_index, pseudonyms, rule_cascade, secret_index,
+    best_fit, group_matrix, html_density, language_codes, license_index, pseudonyms, rule_cascade, secret_index,
     source_mix, twins, va_file,
 )
 
@@ -60,6 +60,11 @@ def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.top_k(rows, F.col("vec_id") % 50 == 0)
 
 
+@query("op5_group_matrix")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_matrix.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op6_license_scan", twins.LICENSES)
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
