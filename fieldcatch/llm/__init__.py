@@ -1,4 +1,8 @@
-"""Operators for preparing language-model training data."""
+"""Operators for preparing language-model training data.
+
+Columns an operator adds replace input columns of the same name. Names that begin with an underscore
+are the operators' own: input columns so named may be missing from a result.
+"""
 
 import sys
 

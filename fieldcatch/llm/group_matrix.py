@@ -231,6 +231,39 @@ def _linked(tasks: DataFrame, rule: Threshold) -> DataFrame:
     return tasks.select("task", "doc_id", "tokens").groupBy("task").applyInPandas(open_, "a bigint, b bigint")
 
 
+def _linked_large(held: DataFrame, plain: DataFrame, rule: Threshold) -> DataFrame:
+    """Links where some candidate sets are too large for one task.
+
+    Every part of such a set also meets the documents most others were found by, which connects
+    nearly all of a group of copies. Documents still outside their set's largest component then
+    meet every part, in blocks.
+    """
+    task = F.xxhash64("set_id", "_block")
+    by_degree = Window.partitionBy("set_id").orderBy(F.desc("_degree"), "doc_id")
+    large = held.filter(F.col("_size") > BLOCK)
+    parts = large.select("set_id", "_block").distinct()
+    hubs = large.withColumn("_turn", F.row_number().over(by_degree)).filter(F.col("_turn") <= HUBS)
+    hub_rows = hubs.drop("_block").join(parts, "set_id").withColumn("task", task)
+    first = materialise(_linked(plain.unionByName(hub_rows.select("task", "doc_id", "tokens")), rule), "links")
+
+    known = large.drop("tokens").join(
+        components(first).withColumnRenamed("node", "doc_id"), "doc_id", "left"
+    ).withColumn("label", F.coalesce("label", "doc_id"))
+    counted = known.groupBy("set_id", "label").agg(F.count(F.lit(1)).alias("_n"))
+    core = counted.groupBy("set_id").agg(F.max_by("label", F.struct("_n", "label")).alias("_core"))
+    outside = materialise(known.join(core, "set_id").filter("label <> _core").select("doc_id", "set_id"), "outside")
+    many = outside.groupBy("set_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_asks"))
+    pair = F.xxhash64("set_id", "_block", "_ask")
+    asking = large.join(outside.select("doc_id"), "doc_id", "left_semi").join(many, "set_id").withColumn(
+        "_ask", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("_asks"))
+    ).drop("_block").join(parts, "set_id").withColumn("task", pair)
+    answering = large.join(many, "set_id").withColumn(
+        "_ask", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_asks") - 1))
+    ).withColumn("task", pair)
+    met = asking.select("task", "doc_id", "tokens").unionByName(answering.select("task", "doc_id", "tokens"))
+    return first.unionByName(_linked(met, rule))
+
+
 def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) of every row."""
     meta = materialise(_meta(docs, rule, text), "meta")
@@ -257,41 +290,11 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
     )
     held = materialise(_sets(docs, wanted, rule, text), "sets")
     task = F.xxhash64("set_id", "_block")
-    # large candidate sets: every part meets the documents most others were found by
-    by_degree = Window.partitionBy("set_id").orderBy(F.desc("_degree"), "doc_id")
-    large = held.filter(F.col("_size") > BLOCK)
-    hubs = large.withColumn("_turn", F.row_number().over(by_degree)).filter(F.col("_turn") <= HUBS)
-    parts = large.select("set_id", "_block").distinct()
-    hub_rows = hubs.drop("_block", "_turn").join(parts, "set_id")
-    first = materialise(
-        _linked(held.withColumn("task", task).select("task", "doc_id", "tokens").unionByName(
-            hub_rows.withColumn("task", task).select("task", "doc_id", "tokens")
-        ), rule), "links",
-    )
-    links = first
-    if parts.limit(1).count():
-        # documents outside their set's largest component so far meet every part, in blocks
-        label = components(first)
-        known = large.drop("tokens").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "label", F.coalesce("label", "doc_id")
-        )
-        counted = known.groupBy("set_id", "label").agg(F.count(F.lit(1)).alias("_n"))
-        core = counted.groupBy("set_id").agg(F.max_by("label", F.struct("_n", "label")).alias("_core"))
-        outside = materialise(
-            known.join(core, "set_id").filter("label <> _core").select("doc_id", "set_id"), "outside"
-        )
-        many = outside.groupBy("set_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts"))
-        asking = large.join(outside.select("doc_id"), "doc_id", "left_semi").join(many, "set_id").withColumn(
-            "_ask", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("_parts"))
-        )
-        task2 = F.xxhash64("set_id", "_block", "_ask")
-        answering = large.join(many, "set_id").withColumn(
-            "_ask", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))
-        )
-        more = _linked(asking.drop("_block").join(parts, "set_id").withColumn("task", task2).select(
-            "task", "doc_id", "tokens"
-        ).unionByName(answering.withColumn("task", task2).select("task", "doc_id", "tokens")), rule)
-        links = first.unionByName(more)
+    plain = held.withColumn("task", task).select("task", "doc_id", "tokens")
+    if not size.filter(F.col("_size") > BLOCK).limit(1).count():
+        links = _linked(plain, rule)
+    else:
+        links = _linked_large(held, plain, rule)
     labels = components(links).withColumnRenamed("node", "head")
     return rows.join(classes, ["s1", "s2"], "left").join(labels, "head", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),

@@ -101,8 +101,10 @@ class PageLines(HTMLParser):
             return
         self.count += 1
         dropped = bool(self.open and self.open[-1][2]) or self._furniture(tag, attrs)
-        if tag in HEADINGS and self.open and self.open[-1][0] == "header" and not self.open[-1][2]:
-            dropped = False
+        # of a header inside an article only its headings are content
+        top = next((at for at, (held, _, out) in enumerate(self.open) if held == "header" and not out), None)
+        if top is not None:
+            dropped = not (tag in HEADINGS or any(held in HEADINGS for held, _, _ in self.open[top:]))
         self.open.append((tag, self.count, dropped))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
