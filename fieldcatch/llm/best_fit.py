@@ -21,10 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcatch.llm.workers import per_worker
 from fieldcatch.runtime import materialise
 
-#: Token lists of so many distinct words are kept per Python worker, of words up to so many bytes.
-CACHED_WORDS, CACHED_BYTES = 300_000, 64
+#: Token lists of so many distinct words stay in a Python worker, of words up to so many bytes.
+CACHED_WORDS, CACHED_BYTES = 600_000, 32
+#: Punctuation that is a token of its own behind a letter or digit.
+TAIL = b".,;:!?"
 #: Pieces a shard holds on average: enough that its last half-filled sequences do not matter.
 SHARD_PIECES = 8192
 
@@ -45,35 +48,55 @@ class Capacity:
 class WordTokens:
     """Token ids of texts, word by word.
 
-    Its tokenizer never joins what white space parts, so a text's ids are those of its words one
-    after the other; each distinct word is tokenized once while it stays in the cache.
+    The tokenizer lower-cases and never joins what white space parts, nor a letter and punctuation
+    behind it, so a text's ids are those of its parts one after the other. Each distinct part is
+    tokenized once; when the cache is full, the words met first, among them all frequent ones, stay.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.asarray(c.ids, dtype="<u4").tobytes() for c in coded]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        """The word in lower case, and the punctuation split from its end."""
+        if b"<|" in word:  # a special token is written in lower case only
+            return word, b""
+        core = word.rstrip(TAIL)
+        if len(core) < len(word) and core and core.decode()[-1].isalnum():
+            return core.lower(), word[len(core):]
+        return word.lower(), b""
+
+    def _code(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of the given words."""
+        parts = {w: self._parts(w) for w in words}
+        known, found = self.parts, {b"": b""}
+        new = list({p for pair in parts.values() for p in pair if p and p not in known})
+        for i in range(0, len(new), 4096):
+            some = new[i:i + 4096]
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            found.update((w, np.asarray(c.ids, dtype="<u4").tobytes()) for w, c in zip(some, coded))
+        joined = {w: (known[a] if a in known else found[a]) + (known[b] if b in known else found[b])
+                  for w, (a, b) in parts.items()}
+        if len(known) < CACHED_WORDS:
+            known.update((w, ids) for w, ids in found.items() if 0 < len(w) <= CACHED_BYTES)
+        return joined
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         words = text.encode("utf-8", "replace").split()
-        new = [w for w in set(words) if w not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list(set(words))
-        long = {}
-        for i in range(0, len(new), 4096):
-            for w, ids in zip(new[i:i + 4096], self._ids(new[i:i + 4096])):
-                (self.known if len(w) <= CACHED_BYTES else long)[w] = ids
-        known = self.known
-        if long:
-            return b"".join([known[w] if w in known else long[w] for w in words])
-        return b"".join([known[w] for w in words])
+        held = self.words
+        new = list(set(words).difference(held))
+        if not new:
+            return b"".join(map(held.__getitem__, words))
+        found = self._code(new)
+        if len(held) < CACHED_WORDS and len(text) < 1 << 20:
+            held.update((w, ids) for w, ids in found.items() if len(w) <= CACHED_BYTES)
+        return b"".join([held[w] if w in held else found[w] for w in words])
 
 
 def tokenizer_path() -> str:
@@ -89,7 +112,7 @@ def pieces(docs: DataFrame, longest: int, path: str | None = None, end_id: int =
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = WordTokens(where)
+        coder = per_worker(f"tokens {where}", lambda: WordTokens(where))
         for batch in batches:
             rows = []
             for key, body in zip(batch["doc_id"], batch["text"]):

@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldcatch.llm.workers import per_worker
 from fieldcatch.runtime import materialise
 
 BUCKETS = 1 << 14
@@ -57,14 +58,9 @@ def codewords(n: int) -> np.ndarray:
     return best
 
 
-_LETTERS: np.ndarray | None = None
-
-
 def _letters() -> np.ndarray:
-    global _LETTERS
-    if _LETTERS is None:
-        _LETTERS = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-    return _LETTERS
+    """Which code points are letters."""
+    return per_worker("letters", lambda: np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
 
 
 def gram_counts(text: str | None) -> np.ndarray | None:
