@@ -11,8 +11,9 @@ from fieldcatch.runtime import materialise
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the smallest id reachable from each linked node.
 
-    Every round each node takes the smallest label among its neighbours and then its label's label,
-    so long chains halve. Rounds are written to the shared folder; only counts reach the driver.
+    Every round each node takes the smallest label among its neighbours, tells it to the node its old label
+    names, and then takes its label's label: whole trees are hung together, so the rounds grow with
+    the logarithm of the nodes. They are written to the shared folder; only counts reach the driver.
     """
     forth = links.select(F.col(a).alias("node"), F.col(b).alias("other")).filter("node <> other")
     edges = materialise(
@@ -27,10 +28,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         heard = edges.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(
             F.min("label").alias("_heard")
         )
-        nearer = labels.join(heard, "node").select("node", "label", F.least("label", "_heard").alias("_next"))
-        jump = labels.select(F.col("node").alias("_next"), F.col("label").alias("_jump"))
-        moved = materialise(nearer.join(jump, "_next", "left").select(
-            "node", F.least("_next", F.coalesce("_jump", "_next")).alias("label"), F.col("label").alias("_old")
+        nearer = labels.join(heard, "node")
+        told = nearer.groupBy(F.col("label").alias("node")).agg(F.min("_heard").alias("_told"))
+        hung = materialise(nearer.join(told, "node", "left").select(
+            "node", F.col("label").alias("_old"),
+            F.least("label", "_heard", F.coalesce("_told", "label")).alias("label"),
+        ), "labels")
+        jump = hung.select(F.col("node").alias("label"), F.col("label").alias("_jump"))
+        moved = materialise(hung.join(jump, "label", "left").select(
+            "node", "_old", F.coalesce("_jump", "label").alias("label")
         ), "labels")
         changed = moved.filter("label <> _old").limit(1).count()
         labels = moved.select("node", "label")

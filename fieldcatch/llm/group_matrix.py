@@ -2,8 +2,8 @@
 
 A document's tokens are the hashes of its distinct word shingles. Two documents that are similar enough must
 share a token among their first few in any common order of tokens; here tokens that a sketch of the
-whole corpus finds frequent come last. Documents joined by such shared tokens form candidate sets, and
-all links lie inside them.
+whole corpus finds more frequent come later. Documents joined by such shared tokens, without a gap in size
+between them that no link can bridge, form candidate sets, and all links lie inside them.
 
 Inside a set documents are taken in turn and put into groups of similar ones; the matrix tells in
 which groups' token unions a token occurs. A document's overlap with a group's union bounds its overlap with
@@ -19,23 +19,24 @@ Tokens are 64-bit hashes.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from fieldcatch.llm.components import components
 from fieldcatch.runtime import materialise
 
 #: Counters of the frequency sketch, and counters per row it is written in. The sketch only sets the order
 #: of tokens: with any counts the result is the same, with good ones there are fewer candidates.
-SKETCH_BITS, CHUNK_BITS = 21, 16
+SKETCH_BITS, CHUNK_BITS = 22, 18
 #: Buckets of the filter that picks the texts to read again.
 PICK_BITS = 22
 #: Documents compared in one task; larger candidate sets are split, and each part meets the hubs.
@@ -102,7 +103,7 @@ def _meta(docs: DataFrame, rule: Threshold, text: str) -> DataFrame:
             step = 1 << CHUNK_BITS
             yield pd.DataFrame({
                 "doc_id": None, "n": 0, "s1": 0, "s2": 0, "chunk": range(len(counters) // step),
-                "counts": [counters[i:i + step].tobytes() for i in range(0, len(counters), step)],
+                "counts": [zlib.compress(counters[i:i + step].tobytes(), 1) for i in range(0, len(counters), step)],
             })
 
     return docs.select(F.col("doc_id").cast("string"), F.col(text).alias("text")).mapInPandas(
@@ -110,12 +111,13 @@ def _meta(docs: DataFrame, rule: Threshold, text: str) -> DataFrame:
     )
 
 
-def _frequent(counted: DataFrame) -> bytes:
-    """A bit for each counter of the summed sketch: set where tokens are more frequent than chance."""
+def _levels(counted: DataFrame) -> bytes:
+    """How frequent the tokens of each counter of the summed sketch are: 0 if no more than chance
+    explains, else the logarithm of the rest. A byte for each counter, whatever the corpus."""
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(1 << CHUNK_BITS, dtype=np.int64)
         for counts in rows["counts"]:
-            total += np.frombuffer(counts, dtype=np.uint8)
+            total += np.frombuffer(zlib.decompress(counts), dtype=np.uint8)
         return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "total": [total.astype("<u4").tobytes()]})
 
     rows = counted.groupBy("chunk").applyInPandas(add, "chunk int, total binary").collect()
@@ -123,13 +125,15 @@ def _frequent(counted: DataFrame) -> bytes:
     for row in rows:  # as many as the sketch has chunks
         total[row["chunk"] << CHUNK_BITS:(row["chunk"] + 1) << CHUNK_BITS] = np.frombuffer(row["total"], dtype="<u4")
     mean = total.mean()
-    return np.packbits(total > mean + 6 * math.sqrt(mean) + 32).tobytes()
+    over = total - mean
+    levels = np.where(over > 4 * math.sqrt(mean) + 4, np.log2(np.maximum(over, 1)) + 1, 0)
+    return levels.astype(np.uint8).tobytes()
 
 
-def _prefixes(docs: DataFrame, rule: Threshold, frequent: bytes, text: str) -> DataFrame:
-    """(token, s1, s2, n): the first tokens of each class, frequent ones last in the order."""
+def _prefixes(docs: DataFrame, rule: Threshold, levels: bytes, text: str) -> DataFrame:
+    """(token, s1, s2, n): the first tokens of each class, ordered by level and hash."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        often = np.unpackbits(np.frombuffer(frequent, dtype=np.uint8)).astype(bool)
+        level = np.frombuffer(levels, dtype=np.uint8)
         shift = _M(64 - SKETCH_BITS)
         sent: set[bytes] = set()
         for batch in batches:
@@ -143,8 +147,8 @@ def _prefixes(docs: DataFrame, rule: Threshold, frequent: bytes, text: str) -> D
                     continue
                 if len(sent) < REMEMBERED:
                     sent.add(digest)
-                late = often[found >> shift]
-                first = np.concatenate((found[~late], found[late]))[:n - rule.overlap(n) + 1]
+                order = np.argsort(level[found >> shift], kind="stable")  # tokens are sorted by hash
+                first = found[order[:n - rule.overlap(n) + 1]]
                 parts.append(first)
                 keys.append(digest)
                 sizes.append(n)
@@ -183,8 +187,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, rule: Threshold, text: str) -> Dat
 
 
 def link_sets(ids: list[int], sets: list[np.ndarray], rule: Threshold) -> list[tuple[int, int]]:
-    """Links (id, other id) that connect what belongs together among the given sets."""
-    root = list(range(len(ids)))
+    """Links (id, other id) that connect what belongs together among the given token sets."""
+    many = len(ids)
+    if many < 2:
+        return []
+    root = list(range(many))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -192,21 +199,44 @@ def link_sets(ids: list[int], sets: list[np.ndarray], rule: Threshold) -> list[t
             i = root[i]
         return i
 
-    as_sets = [frozenset(s.tolist()) for s in sets]
+    sizes = [len(s) for s in sets]
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    owner = np.repeat(np.arange(many), sizes)[order]
+    begin = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
+    count = np.diff(np.r_[begin, len(flat)])
+    # the tokens of each document that another document has too
+    twice = np.repeat(count > 1, count)
+    by_owner = np.argsort(owner[twice], kind="stable")
+    shared = np.repeat(np.arange(len(begin)), count)[twice][by_owner]
+    ends = np.cumsum(np.bincount(owner[twice], minlength=many))
+
+    def own(x: int) -> np.ndarray:
+        return shared[ends[x - 1] if x else 0:ends[x]]
+
+    def overlaps(x: int) -> np.ndarray:
+        """Common tokens of x with every document."""
+        found = own(x)
+        n = count[found]
+        at = np.repeat(begin[found] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        return np.bincount(owner[at], minlength=many)
+
     matrix: dict[int, list[int]] = {}  # token -> groups whose union holds it
     members: list[list[int]] = []
     smallest: list[int] = []
-    for x in sorted(range(len(ids)), key=lambda i: len(sets[i])):
-        own, n = as_sets[x], len(sets[x])
-        bound = Counter(g for t in own for g in matrix.get(t, ()))
+    for x in sorted(range(many), key=sizes.__getitem__):
+        n, mine = sizes[x], own(x).tolist()
+        bound = Counter(chain.from_iterable(matrix[t] for t in mine if t in matrix))
+        common = None
         for g, most in bound.items():
             if most < rule.overlap(max(n, smallest[g])):
                 continue
             for y in members[g]:
-                m = len(as_sets[y])
-                if m < rule.overlap(n) or find(x) == find(y):
+                if sizes[y] < rule.overlap(n) or find(x) == find(y):
                     continue
-                if rule.linked(len(own & as_sets[y]), n, m):
+                if common is None:
+                    common = overlaps(x)
+                if rule.linked(int(common[y]), n, sizes[y]):
                     root[find(x)] = find(y)
         best = max(bound, key=lambda g: (bound[g], -g), default=-1)
         if best < 0 or 2 * bound[best] < n:
@@ -214,11 +244,11 @@ def link_sets(ids: list[int], sets: list[np.ndarray], rule: Threshold) -> list[t
             members.append([])
             smallest.append(n)
         members[best].append(x)
-        for t in own:
+        for t in mine:
             held = matrix.setdefault(t, [])
             if best not in held:
                 held.append(best)
-    return [(ids[i], ids[find(i)]) for i in range(len(ids)) if find(i) != i]
+    return [(ids[i], ids[find(i)]) for i in range(many) if find(i) != i]
 
 
 def _linked(tasks: DataFrame, rule: Threshold) -> DataFrame:
@@ -231,8 +261,8 @@ def _linked(tasks: DataFrame, rule: Threshold) -> DataFrame:
     return tasks.select("task", "doc_id", "tokens").groupBy("task").applyInPandas(open_, "a bigint, b bigint")
 
 
-def _linked_large(held: DataFrame, plain: DataFrame, rule: Threshold) -> DataFrame:
-    """Links where some candidate sets are too large for one task.
+def _linked_large(large: DataFrame, rule: Threshold) -> DataFrame:
+    """Links of the candidate sets that are too large for one task.
 
     Every part of such a set also meets the documents most others were found by, which connects
     nearly all of a group of copies. Documents still outside their set's largest component then
@@ -240,11 +270,11 @@ def _linked_large(held: DataFrame, plain: DataFrame, rule: Threshold) -> DataFra
     """
     task = F.xxhash64("set_id", "_block")
     by_degree = Window.partitionBy("set_id").orderBy(F.desc("_degree"), "doc_id")
-    large = held.filter(F.col("_size") > BLOCK)
     parts = large.select("set_id", "_block").distinct()
     hubs = large.withColumn("_turn", F.row_number().over(by_degree)).filter(F.col("_turn") <= HUBS)
     hub_rows = hubs.drop("_block").join(parts, "set_id").withColumn("task", task)
-    first = materialise(_linked(plain.unionByName(hub_rows.select("task", "doc_id", "tokens")), rule), "links")
+    own = large.withColumn("task", task).select("task", "doc_id", "tokens")
+    first = materialise(_linked(own.unionByName(hub_rows.select("task", "doc_id", "tokens")), rule), "links")
 
     known = large.drop("tokens").join(
         components(first).withColumnRenamed("node", "doc_id"), "doc_id", "left"
@@ -271,11 +301,15 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
     classes = materialise(
         rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("head")), "classes"
     )
-    frequent = _frequent(meta.filter("chunk >= 0").select("chunk", "counts"))
-    token = Window.partitionBy("token")
-    shared = _prefixes(docs, rule, frequent, text).repartition("token").withColumns({
-        "_low": F.min(F.struct("s1", "s2")).over(token), "_high": F.max(F.struct("s1", "s2")).over(token),
-        "_short": F.min("n").over(token),
+    levels = _levels(meta.filter("chunk >= 0").select("chunk", "counts"))
+    # along a token's documents, by size: where the next is too large for a link, a new run begins
+    by_size = Window.partitionBy("token").orderBy("n", "s1", "s2")
+    run = Window.partitionBy("token", "_run")
+    breaks = (F.lag("n").over(by_size) < F.lit(rule.percent) * F.col("n") / 100).cast("int")
+    shared = _prefixes(docs, rule, levels, text).repartition("token").withColumn("_break", F.coalesce(breaks, F.lit(0))).withColumn(
+        "_run", F.sum("_break").over(by_size)
+    ).withColumns({
+        "_low": F.min(F.struct("n", "s1", "s2")).over(run), "_high": F.max(F.struct("n", "s1", "s2")).over(run),
     }).filter("_low <> _high").select("s1", "s2", F.col("_low.s1").alias("h1"), F.col("_low.s2").alias("h2")).distinct()
     heads = classes.withColumnsRenamed({"s1": "h1", "s2": "h2", "head": "b"})
     pairs = materialise(
@@ -288,13 +322,12 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
         "doc_id", "set_id", "_size", F.coalesce("_degree", F.lit(0)).alias("_degree"),
         F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("_size") / BLOCK)).alias("_block"),
     )
-    held = materialise(_sets(docs, wanted, rule, text), "sets")
     task = F.xxhash64("set_id", "_block")
-    plain = held.withColumn("task", task).select("task", "doc_id", "tokens")
-    if not size.filter(F.col("_size") > BLOCK).limit(1).count():
-        links = _linked(plain, rule)
-    else:
-        links = _linked_large(held, plain, rule)
+    small = _sets(docs, wanted.filter(F.col("_size") <= BLOCK), rule, text)
+    links = _linked(small.withColumn("task", task), rule)
+    if size.filter(F.col("_size") > BLOCK).limit(1).count():
+        large = materialise(_sets(docs, wanted.filter(F.col("_size") > BLOCK), rule, text), "sets")
+        links = materialise(links, "links").unionByName(_linked_large(large, rule))
     labels = components(links).withColumnRenamed("node", "head")
     return rows.join(classes, ["s1", "s2"], "left").join(labels, "head", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
