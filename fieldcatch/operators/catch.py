@@ -11,6 +11,10 @@ from fieldcatch.functions.measures import significant
 from fieldcatch.operators.lookups import attach
 
 
+#: A crosstab has at most so many columns; its values are looked up in a first, bounded pass.
+MOST_COLUMNS = 500
+
+
 def total_catch(export: DataFrame, keys: list[str]) -> DataFrame:
     """Fish per visit; the row that says none were caught counts zero."""
     return export.groupBy(*keys).agg(F.sum(caught(F.col("SPECIES"))).alias("TOTAL_CATCH"))
@@ -33,13 +37,17 @@ def crosstab(fish: DataFrame, column: str, values: list[str] | None = None) -> D
     """One row per sample, one column per value, zero where there is none.
 
     `values` fixes the columns, and leaving a value out drops its column; without it the
-    values present are used, but for the one that says no fish was caught.
+    values present are used, but for the one that says no fish was caught. The column of the
+    blank value is called `blank`. More than `MOST_COLUMNS` different values are refused.
     """
-    grouped = fish.groupBy("ACCESS_SAMPLE_ID")
     if values is None:
-        wide = grouped.pivot(column).count()
-        return wide.drop(config.NO_FISH, config.NO_FISH + "NA", "null").na.fill(0)
-    return grouped.pivot(column, values).count().na.fill(0)
+        found = fish.select(column).distinct().limit(MOST_COLUMNS + 1).collect()
+        if len(found) > MOST_COLUMNS:
+            raise ValueError(f"{column} has more than {MOST_COLUMNS} values")
+        none = (None, config.NO_FISH, config.NO_FISH + "NA")
+        values = sorted(r[0] for r in found if r[0] not in none)
+    wide = fish.groupBy("ACCESS_SAMPLE_ID").pivot(column, values).count().na.fill(0)
+    return wide.toDF("ACCESS_SAMPLE_ID", *[v or "blank" for v in values])
 
 
 def effort_minutes(samples: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ where `key_column` equals `key_value`, `column` becomes `new_value`, which may b
 Rounds apply in order, so a later one may key on what an earlier one changed. Within a round every
 key is compared with the values the round started from; should two key columns both fix one
 field, the one named first in the alphabet wins.
+
+A correction whose key or new value is not of its column's type is left out, and so are all
+corrections of one field that disagree: the old value stays. `rejected` and `conflicts` return them.
 """
 
 from __future__ import annotations
@@ -23,12 +26,37 @@ def layout(corrections: DataFrame) -> list[tuple[int, str, str]]:
     return sorted((r["round"], r["key_column"], r["column"]) for r in rows)
 
 
+def _typed_as(value: str, column: str, types: dict[str, str]):
+    """Whether the text `value` fits the type of the column whose name stands in `column`."""
+    fits = F.lit(False)
+    for name, kind in types.items():
+        fits = F.when(F.col(column) == name, F.col(value).try_cast(kind).isNotNull()).otherwise(fits)
+    return fits
+
+
+def rejected(df: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Corrections of `df` that name no column or hold text that is not of the column's type."""
+    types = dict(df.dtypes)
+    known = F.col("column").isin(*types) & F.col("key_column").isin(*types)
+    key_fits = _typed_as("key_value", "key_column", types)
+    value_fits = F.col("new_value").isNull() | _typed_as("new_value", "column", types)
+    return corrections.filter(~(known & key_fits & value_fits))
+
+
+def conflicts(corrections: DataFrame) -> DataFrame:
+    """Fields that one round gives several values: (round, column, key_column, key_value, n_values)."""
+    field = ["round", "column", "key_column", "key_value"]
+    distinct = corrections.select(*field, "new_value").distinct()
+    several = distinct.groupBy(*field).agg(F.count(F.lit(1)).alias("n_values"))
+    return several.filter("n_values > 1")
+
+
 def apply_corrections(
     df: DataFrame, corrections: DataFrame, used: list[tuple[int, str, str]] | None = None
 ) -> DataFrame:
     """Apply all rounds; `used` saves looking up the layout when it is known."""
-    used = sorted(used) if used is not None else layout(corrections)
     types = dict(df.dtypes)
+    used = [u for u in sorted(used if used is not None else layout(corrections)) if {u[1], u[2]} <= set(types)]
     out = df
     for number in sorted({r for r, _, _ in used}):
         this_round = corrections.filter(F.col("round") == number)
@@ -38,10 +66,7 @@ def apply_corrections(
             per_key = (
                 this_round.filter(F.col("key_column") == key_column)
                 .groupBy(F.col("key_value").try_cast(types[key_column]).alias("_value"))
-                .agg(*[
-                    F.min(F.when(F.col("column") == c, F.struct("new_value"))).alias(f"_{key_column}_{c}")
-                    for c in columns
-                ])
+                .agg(*[_agreed(c, types[c]).alias(f"_{key_column}_{c}") for c in columns])
                 .filter(F.col("_value").isNotNull())
             )
             keyed = out.withColumn("_value", F.col(key_column))
@@ -59,6 +84,14 @@ def apply_corrections(
     return out
 
 
+def _agreed(column: str, kind: str):
+    """The one new value all usable corrections of `column` agree on, in a struct; else null."""
+    value = F.col("new_value")
+    usable = (F.col("column") == column) & (value.isNull() | value.try_cast(kind).isNotNull())
+    new = F.when(usable, F.struct("new_value"))
+    return F.when(F.min(new).eqNullSafe(F.max(new)), F.min(new))
+
+
 def recode(df: DataFrame, column: str, mapping: dict[str, str | None]) -> DataFrame:
     """Replace listed values of one column; for the short typo maps of a script."""
     value = F.col(column)

@@ -56,6 +56,20 @@ def number_rows(df: DataFrame, order: list[str], out: str, offset: int = 0) -> D
     return placed.join(_start_of_ranges(sizes), _RANGE).select(*df.columns, number)
 
 
+def number_within(df: DataFrame, group: str, order: list[str], out: str, before: DataFrame) -> DataFrame:
+    """Number the rows of each group 1, 2, 3 ... in order, plus the group's own offset.
+
+    `before` holds one row per group, (group, before); a group without one starts at 1. Rows are numbered
+    over all groups at once, so a group of any size spreads over many tasks, and the number of the group's
+    first row is taken off.
+    """
+    numbered = materialise(number_rows(df, [group, *order], out), "within")
+    first = numbered.groupBy(group).agg(F.min(out).alias("_first")).join(
+        before.select(F.col(group).alias("_group"), "before"), F.col(group).eqNullSafe(F.col("_group")), "left"
+    ).select(group, (F.col("_first") - 1 - F.coalesce("before", F.lit(0))).alias("_first"))
+    return attach(numbered, first, [group]).select(*df.columns, (F.col(out) - F.col("_first")).alias(out))
+
+
 def dense_keys(df: DataFrame, keys: list[str], out: str, offset: int = 0) -> DataFrame:
     """One row per distinct key with its dense rank in key order, plus `offset`."""
     return number_rows(df.select(*keys).distinct(), keys, out, offset)

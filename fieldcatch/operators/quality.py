@@ -79,11 +79,13 @@ def bad_side(export: DataFrame) -> DataFrame:
 def progression(samples: DataFrame) -> DataFrame:
     """Does each boat move downstream as time passes?
 
-    `samples` needs S_CLIPBOARD, S_START_DATE_TIME, SAMPLE_ID and S_RIVER_MILE.
+    `samples` needs S_CLIPBOARD, S_START_DATE_TIME, SAMPLE_ID and S_RIVER_MILE; trips are told
+    apart by S_TRIP_ID where there is one.
     """
+    groups = [c for c in ("S_TRIP_ID", "S_CLIPBOARD") if c in samples.columns]
     before = {"S_RIVER_MILE": "prev_mile", "S_START_DATE_TIME": "prev_time"}
     with_prev = neighbour(
-        samples, ["S_CLIPBOARD"], ["S_START_DATE_TIME", "SAMPLE_ID", "S_RIVER_MILE"], before, step=-1
+        samples, groups, ["S_START_DATE_TIME", "SAMPLE_ID", "S_RIVER_MILE"], before, step=-1
     )
     return with_prev.withColumn(
         "upstream_move", F.coalesce(F.col("S_RIVER_MILE") < F.col("prev_mile"), F.lit(False))
@@ -91,7 +93,7 @@ def progression(samples: DataFrame) -> DataFrame:
 
 
 def measurement_outliers(export: DataFrame, digits: int = 6) -> DataFrame:
-    """Rows outside the species' quartile fences of TL / FL or W / TL^3.
+    """Rows outside the species' quartile fences of TL / FL, W / TL^3 or W / FL^3.
 
     Ratios and fences are rounded, so that equal measurements compare equal.
     """
@@ -99,9 +101,10 @@ def measurement_outliers(export: DataFrame, digits: int = 6) -> DataFrame:
     ratios = export.withColumns({
         "length_ratio": F.round(F.try_divide(tl, fl), digits),
         "weight_ratio": F.round(F.try_divide(w * 1e6, tl * tl * tl), digits),
+        "fork_weight_ratio": F.round(F.try_divide(w * 1e6, fl * fl * fl), digits),
     })
-    # Both ratios go through one pass, told apart by name.
-    names = ("length_ratio", "weight_ratio")
+    # All ratios go through one pass, told apart by name.
+    names = ("length_ratio", "weight_ratio", "fork_weight_ratio")
     long = ratios.select("SPECIES", *names).unpivot("SPECIES", list(names), "_ratio", "_value")
     q = quantiles(long, ["SPECIES", "_ratio"], "_value", {"_q1": 0.25, "_q3": 0.75})
     reach = 1.5 * (F.col("_q3") - F.col("_q1"))
@@ -118,7 +121,7 @@ def measurement_outliers(export: DataFrame, digits: int = 6) -> DataFrame:
         for n in names
     }
     out = attach(ratios, fences, ["SPECIES"]).withColumns(flags)
-    return out.select(*ratios.columns, *flags).filter("length_ratio_outlier OR weight_ratio_outlier")
+    return out.select(*ratios.columns, *flags).filter(" OR ".join(flags))
 
 
 def species_plausible(export: DataFrame, rules=config.PLAUSIBLE) -> DataFrame:

@@ -33,6 +33,7 @@ _SURROUNDINGS = ["S_HABITAT", "S_HYDRAULIC", "S_SUBSTRATE", "S_COVER", "S_SAMPLE
 _ELECTROFISHING = [*_PLACE_AND_TIME, "S_RM_START", "S_RM_END", "S_EF_AMPS", "S_EF_VOLTS",
                    "EF_TOTAL_SECONDS", *_SURROUNDINGS]
 _HOOP = [*_PLACE_AND_TIME, "S_END_DATE_TIME", "S_GEAR", "S_RIVER_MILE", "S_GPS_ID", *_SURROUNDINGS]
+# Names of the tables and the report.
 _RENAMED = {
     "S_TRIP_ID": "TRIP_ID", "S_SAMPLE_TYPE": "SAMPLE_TYPE", "S_CREW": "CREW",
     "S_CLIPBOARD": "CLIPBOARD", "S_HABITAT": "HABITAT_CODE", "S_HYDRAULIC": "HYDRAULIC_CODE",
@@ -99,6 +100,7 @@ def sample_table_hoop(samples: DataFrame, water: DataFrame | None, with_hours: b
 
 
 # What a specimen row is made of.
+# Names of the tables and the report.
 SPECIMEN_COLUMNS = [
     "SPECIES", "TOTAL_LENGTH", "FORK_LENGTH", "WEIGHT", "SEX", "SEX_COND", "SEX_CHAR",
     "RECAP_YES_NO", "FINCLIP1", "FISH_TAG", "DISPOSITION", "SPECIMEN_NOTES",

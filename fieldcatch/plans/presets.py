@@ -30,7 +30,9 @@ class Preset:
 # Key offsets, typing errors and record corrections of past trips.
 PRESETS = {
     "GC20191024_hoop": Preset(
-        TripConfig("GC20191024"), "hoop", options={"key_by_site": True, "with_hours": False}),
+        TripConfig("GC20191024"), "hoop", options={
+            "key_by_site": True, "with_hours": False,
+            "upper": ["S_TRIP_ID", "S_SITE_ID", "S_CLIPBOARD", "S_CREW", "FISH_TAG"]}),
 
     "GC20200621_hoop": Preset(
         TripConfig("GC20200621", samples_before=267, specimens_before=2686), "hoop",

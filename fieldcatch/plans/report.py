@@ -12,6 +12,7 @@ from fieldcatch.functions import measures, text, times
 from fieldcatch.operators import catch, lookups, summary
 
 REPORT_SPECIES = ["BNT", "RBT"]
+# Names of the tables and the report.
 REPORT_GROUPS = [
     "BNT<200", "BNT>350", "BNT200-350", "RBT<152", "RBT152-305", "RBT306-405", "RBT>405",
 ]
@@ -21,7 +22,9 @@ GROUP_NAMES = {
     "RBT<152": "RBT.152", "RBT152-305": "RBT152.305", "RBT306-405": "RBT306.405",
     "RBT>405": "RBT.405",
 }
+# Names of the tables and the report.
 SUMMARY_COLUMNS = ["RBT", "RBT.152", "RBT152.305", "RBT306.405", "RBT.405", "BNT"]
+# Names of the tables and the report.
 SAMPLE_COLUMNS = ["DATASHEET_SAMPLE_ID", "START_RM", "START_DATETIME", "START_DATE", "SAMPLE_TYPE"]
 
 

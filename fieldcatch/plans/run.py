@@ -13,6 +13,7 @@ from fieldcatch.functions import times
 from fieldcatch.operators import columns
 from fieldcatch.plans import field, trip
 from fieldcatch.plans.presets import Preset, apply_preset
+from fieldcatch.runtime import drop_stored, stored_paths
 from fieldcatch.sources import files
 
 
@@ -28,7 +29,8 @@ def trip_tables(
         rows = trip.parse_export_times(files.scan_export(spark, export, schemas.HOOP_EXPORT))
         listed = files.scan_river_sites(spark, sites) if sites else None
         cleaned = trip.clean_hoop(
-            rows, listed, preset.config, correct, earliest=options.pop("earliest", None))
+            rows, listed, preset.config, correct, earliest=options.pop("earliest", None),
+            upper=options.pop("upper", trip.UPPER_HOOP))
         return trip.HoopTables(cleaned, preset.config, daily, store=store, **options)
     rows = trip.parse_export_times(files.scan_export(spark, export, schemas.ELECTROFISHING_EXPORT))
     if preset.gear == "backfilled":
@@ -42,12 +44,16 @@ def trip_tables(
 
 def run_trip(
     spark: SparkSession, preset: Preset, output_dir: str, *paths, one_file: bool = False,
-    missing: str = "",
-):
-    """`trip_tables`, written below `output_dir`."""
-    out = trip_tables(spark, preset, *paths)
-    trip.write_trip(out, replace(preset.config, output_dir=output_dir), one_file, missing)
-    return out
+    missing: str = "", export_missing: str | None = None,
+) -> None:
+    """`trip_tables`, written below `output_dir`; the stored tables of the job are deleted at its
+    end, also after a failure."""
+    before = stored_paths(spark)
+    try:
+        out = trip_tables(spark, preset, *paths)
+        trip.write_trip(out, replace(preset.config, output_dir=output_dir), one_file, missing, export_missing)
+    finally:
+        drop_stored(spark, keep=before)
 
 
 def legacy_tables(spark: SparkSession, export: str) -> trip.LegacyTables:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import cached_property
 
@@ -12,10 +13,11 @@ from pyspark.sql import functions as F
 from fieldcatch import config, schemas
 from fieldcatch.config import TripConfig
 from fieldcatch.functions import codes, measures, text, times
-from fieldcatch.operators import catch, columns, corrections, lookups, ordering, tables
+from fieldcatch.operators import catch, columns, corrections, lookups, ordering, summary, tables
 from fieldcatch.runtime import materialise
 from fieldcatch.sources.files import write_delimited
 
+# The columns the scripts put in capitals.
 UPPER_ELECTROFISHING = ["S_TRIP_ID", "S_SITE_ID", "S_CLIPBOARD", "S_CREW", "FISH_TAG"]
 UPPER_HOOP = [*UPPER_ELECTROFISHING, "S_GPS_ID"]
 Correction = Callable[[DataFrame], DataFrame]
@@ -23,6 +25,13 @@ VISIT = "S_SITE_ID_2"
 NET = "S_NET"
 
 
+def next_load(cfg: TripConfig, samples: DataFrame, specimens: DataFrame | None = None) -> TripConfig:
+    """`cfg` with its keys starting behind those of the tables loaded so far."""
+    most = summary.high_water(samples, "ACCESS_SAMPLE_ID").first()[0]
+    last = summary.high_water(specimens, "ACCESS_FISH_ID").first()[0] if specimens is not None else None
+    return replace(cfg, samples_before=most or 0, specimens_before=last or cfg.specimens_before)
+
+
 def end_miles(sites: DataFrame) -> DataFrame:
     """Add `end_rm`: the start mile of the next site down the same side. Only the two banks
     have a next site; others are dropped."""
@@ -158,13 +167,14 @@ class ElectrofishingTables:
 def clean_hoop(
     export: DataFrame, sites: DataFrame | None = None, cfg: TripConfig | None = None,
     correct: Correction | None = None, earliest: datetime | None = None,
+    upper: list[str] = UPPER_HOOP,
 ) -> DataFrame:
     """Corrected hoop-net export with effort hours and the side taken from the site id.
 
     All corrections come first and the site list is joined once, which gives what joining,
     correcting and joining again does.
     """
-    out = normalise(export, cfg, UPPER_HOOP)
+    out = normalise(export, cfg, upper)
     out = out.withColumns({
         c: F.col(c).try_cast("double")
         for c in ("S_RIVER_MILE", "TOTAL_LENGTH", "FORK_LENGTH", "WEIGHT")
@@ -210,7 +220,7 @@ class HoopTables:
 
     @cached_property
     def totals(self) -> DataFrame:
-        return catch.total_catch(self.cleaned, ["S_SITE_ID"])
+        return catch.total_catch(self.cleaned, ["S_TRIP_ID", "S_SITE_ID"])
 
     def _key(self, rows: DataFrame) -> DataFrame:
         numbered = ordering.number_rows(
@@ -228,7 +238,7 @@ class HoopTables:
     def sample(self) -> DataFrame:
         rows = tables.hoop_samples(self.cleaned).withColumn(NET, self.net_key())
         rows = lookups.attach(rows, self.nets, [NET])
-        rows = lookups.attach(rows, self.totals, ["S_SITE_ID"])
+        rows = lookups.attach(rows, self.totals, ["S_TRIP_ID", "S_SITE_ID"])
         return tables.sample_table_hoop(rows, self.water, self.with_hours)
 
     @cached_property
@@ -241,6 +251,7 @@ class HoopTables:
         return tables.specimen_table(keyed, self.keep_codes, blanks=False)
 
 
+# Columns of the 2019 tables.
 LEGACY_SAMPLE = [
     "SAMPLE_TYPE", "SAMPLE_NOTES", "CLIPBOARD", "WATER_TEMP", "TURBIDITY_NTU",
     "DATASHEET_SAMPLE_ID", "START_RM", "GEAR_CODE", "TRIP_ID", "SIDE_CODE", "END_DATETIME",
@@ -269,8 +280,11 @@ class LegacyTables:
         self.specimen = self.cleaned.drop(*LEGACY_DROPS)
 
 
-def write_trip(out, cfg: TripConfig, one_file: bool = False, missing: str = "") -> None:
-    """Both import tables and the corrected export; missing values are blank or as given.
+def write_trip(
+    out, cfg: TripConfig, one_file: bool = False, missing: str = "", export_missing: str | None = None,
+) -> None:
+    """Both import tables and the corrected export; missing values are blank or as given, in the
+    corrected export as `export_missing` if that is given.
 
     `one_file` makes the single file per table that an import by hand needs; it is for one
     trip's worth of rows.
@@ -281,4 +295,5 @@ def write_trip(out, cfg: TripConfig, one_file: bool = False, missing: str = "")
         "_specimen.csv": out.specimen,
     }
     for name, df in parts.items():
-        write_delimited(df, cfg.output_path(name), missing=missing, one_file=one_file)
+        marker = export_missing if export_missing is not None and name == "_errorchecked.csv" else missing
+        write_delimited(df, cfg.output_path(name), missing=marker, one_file=one_file)

@@ -44,8 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has been written to yet."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A path below the shared folder that nothing has been written to yet; `drop_stored` knows it."""
+    path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def stored_paths(spark: SparkSession) -> set[str]:
+    """What this application has written to the shared folder and not deleted."""
+    return set(_STORED.get(spark.sparkContext.applicationId, []))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -57,16 +64,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(spark: SparkSession) -> int:
-    """Delete the tables `materialise` wrote in this application, once all results are out.
+def drop_stored(spark: SparkSession, keep: set[str] = frozenset()) -> int:
+    """Delete what this application wrote to the shared folder, but for `keep`, once results are out.
 
-    Frames built on them can no longer be read. Returns the number of tables deleted.
+    Frames built on it can no longer be read. Returns the number of paths deleted.
     """
-    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    app = spark.sparkContext.applicationId
+    paths = [p for p in _STORED.get(app, []) if p not in keep]
+    _STORED[app] = [p for p in _STORED.get(app, []) if p in keep]
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in map(hadoop.Path, paths):

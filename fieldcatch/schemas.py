@@ -12,8 +12,8 @@ ELECTROFISHING_EXPORT = (
     ("S_EF_MINUTES", "int"), ("S_EF_SECONDS", "int"), ("S_EF_VOLTS", "double"),
     ("S_EF_AMPS", "double"), ("S_TRIP_ID", "string"), ("S_HABITAT", "string"),
     ("S_COVER", "string"), ("S_SUBSTRATE", "string"), ("S_HYDRAULIC", "string"),
-    ("S_SAMPLE_NOTES", "string"), ("SPECIES", "string"), ("TOTAL_LENGTH", "int"),
-    ("FORK_LENGTH", "int"), ("WEIGHT", "int"), ("SEX", "string"), ("SEX_COND", "string"),
+    ("S_SAMPLE_NOTES", "string"), ("SPECIES", "string"), ("TOTAL_LENGTH", "double"),
+    ("FORK_LENGTH", "double"), ("WEIGHT", "double"), ("SEX", "string"), ("SEX_COND", "string"),
     ("SEX_CHAR", "string"), ("RECAP_YES_NO", "string"), ("FINCLIP1", "string"),
     ("FISH_TAG", "string"), ("FISH_TAG_READER_TIME", "string"), ("DISPOSITION", "string"),
     ("SPECIMEN_NOTES", "string"), ("FISH_TAG_READER_NUM", "string"), ("ID", "string"),
@@ -46,10 +46,10 @@ LEGACY_EXPORT = (
     ("S_GEAR", "GEAR_CODE", "string"), ("S_SET_NUM", "EL_SECONDS", "string"),
     ("S_TRIP_ID", "TRIP_ID", "string"), ("S_END_DATE_TIME", "END_DATETIME", "string"),
     ("S_START_DATE_TIME", "START_DATETIME", "string"), ("RECAP_YES_NO", "RECAP_YES_NO", "string"),
-    ("WEIGHT", "WEIGHT", "int"), ("FORK_LENGTH", "FORK_LENGTH", "int"),
+    ("WEIGHT", "WEIGHT", "double"), ("FORK_LENGTH", "FORK_LENGTH", "double"),
     ("SEX_CHAR", "SEX_CHAR_CODE", "string"), ("SEX_COND", "SEX_COND_CODE", "string"),
     ("DISPOSITION", "DISPOSITION_CODE", "string"), ("SEX", "SEX_CODE", "string"),
-    ("TOTAL_LENGTH", "TOTAL_LENGTH", "int"), ("SPECIES", "SPECIES_CODE", "string"),
+    ("TOTAL_LENGTH", "TOTAL_LENGTH", "double"), ("SPECIES", "SPECIES_CODE", "string"),
 )
 
 # Site lists and water tables.
@@ -91,7 +91,7 @@ SAMPLE_HOOP = (
 )
 SPECIMEN = (
     ("ACCESS_FISH_ID", "bigint"), ("ACCESS_SAMPLE_ID", "bigint"), ("SPECIES_CODE", "string"),
-    ("TOTAL_LENGTH", "int"), ("FORK_LENGTH", "int"), ("WEIGHT", "int"), ("SEX_CODE", "string"),
+    ("TOTAL_LENGTH", "double"), ("FORK_LENGTH", "double"), ("WEIGHT", "double"), ("SEX_CODE", "string"),
     ("SEX_COND_CODE", "string"), ("SEX_CHAR_CODE", "string"), ("FINCLIP1_RECAP", "string"),
     ("FINCLIP1", "string"), ("PITTAG_RECAP", "string"), ("PITTAG", "string"),
     ("DISPOSITION_CODE", "string"), ("SPECIMEN_NOTES", "string"),

@@ -1,8 +1,12 @@
 """Delimited text in and out.
 
 Files are read as text under an explicit schema and then typed, so one odd value never changes
-the type of a column and never loses a row. A path may be a glob or a folder: many trips are
-read in one scan, split by Spark.
+the type of a column and never loses a row; `scan_rejects` lists the values that could not be typed.
+A path may be a glob or a folder: many trips are read in one scan.
+
+`multiline` lets quoted fields hold line breaks, as notes do. A file is then read by one task, which suits
+exports of a trip each. Without it Spark splits large files at line ends, and `scan_malformed` returns
+the lines that do not fit the header.
 """
 
 from __future__ import annotations
@@ -17,16 +21,35 @@ from fieldcatch.functions.text import blanks_missing, keep_blanks, without
 from fieldcatch.operators.columns import clean_header
 
 
-def _read_text(spark: SparkSession, path, sep: str) -> DataFrame:
+_LINE = "_malformed"
+
+
+def _reader(spark: SparkSession, sep: str, multiline: bool):
     reader = spark.read.option("sep", sep).option("header", True).option("escape", '"')
+    return reader.option("multiLine", multiline)
+
+
+def _read_text(spark: SparkSession, path, sep: str, multiline: bool = True) -> DataFrame:
+    reader = _reader(spark, sep, multiline)
     header = reader.csv(path).columns
     # A stated schema makes Spark compare the header of every file with it.
     named = reader.option("enforceSchema", False).schema(schemas.as_text([(c,) for c in header]))
     return clean_header(named.csv(path))
 
 
-def _read_columns(spark: SparkSession, path, columns, sep: str) -> DataFrame:
-    return _pick(_read_text(spark, path, sep), columns, path)
+def _read_columns(spark: SparkSession, path, columns, sep: str, multiline: bool = True) -> DataFrame:
+    return _pick(_read_text(spark, path, sep, multiline), columns, path)
+
+
+def scan_malformed(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
+    """(first_field, line): lines with too few or too many fields, read without `multiline`."""
+    reader = _reader(spark, sep, False)
+    names = [*reader.csv(path).columns, _LINE]
+    # all fields must be parsed, or lines that lack some are not noticed
+    reader = reader.option("columnNameOfCorruptRecord", _LINE).option("columnPruning", False)
+    full = reader.schema(schemas.as_text([(c,) for c in names])).csv(path)
+    odd = full.filter(F.col(_LINE).isNotNull())
+    return odd.select(F.col(f"`{names[0]}`").alias("first_field"), F.col(_LINE).alias("line"))
 
 
 def _pick(raw: DataFrame, columns, path) -> DataFrame:
@@ -38,22 +61,43 @@ def _pick(raw: DataFrame, columns, path) -> DataFrame:
     return raw.select(*[F.col(f"`{have[c[0].lower()]}`").alias(c[0]) for c in columns])
 
 
+def _number(c: Column, kind: str) -> Column:
+    """Text as a number. Whole numbers may be written with a decimal point; others are no integers."""
+    if kind not in ("int", "bigint"):
+        return F.trim(c).try_cast(kind)
+    wide = F.trim(c).try_cast("double")
+    return F.coalesce(F.trim(c).try_cast(kind), F.when(wide == F.floor(wide), wide.try_cast(kind)))
+
+
 def _typed(raw: DataFrame, columns, text_rule: Callable[[Column], Column]) -> DataFrame:
-    out = []
-    for name, kind in columns:
-        c = F.col(name)
-        out.append((text_rule(c) if kind == "string" else F.trim(c).try_cast(kind)).alias(name))
-    return raw.select(*out)
+    return raw.select(*[
+        (text_rule(F.col(name)) if kind == "string" else _number(F.col(name), kind)).alias(name)
+        for name, kind in columns
+    ])
+
+
+def scan_rejects(spark: SparkSession, path, columns, sep: str = "\t", multiline: bool = True) -> DataFrame:
+    """(column, value, n): what stands in a column of numbers and is neither one nor missing."""
+    raw = _read_columns(spark, path, columns, sep, multiline)
+    numeric = [(name, kind) for name, kind in columns if kind != "string"]
+    odd = F.array_compact(F.array(*[
+        F.when(_number(F.col(n), k).isNull() & ~F.trim(F.coalesce(F.col(n), F.lit(""))).isin("", "NA"),
+               F.struct(F.lit(n).alias("column"), F.col(n).alias("value")))
+        for n, k in numeric
+    ]))
+    return raw.select(F.explode(odd).alias("r")).groupBy("r.column", "r.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def scan_export(spark: SparkSession, path, columns, sep: str = "\t") -> DataFrame:
+def scan_export(spark: SparkSession, path, columns, sep: str = "\t", multiline: bool = True) -> DataFrame:
     """Export where a blank text field is blank and the text NA is missing."""
-    return _typed(_read_columns(spark, path, columns, sep), columns, keep_blanks)
+    return _typed(_read_columns(spark, path, columns, sep, multiline), columns, keep_blanks)
 
 
-def scan_export_readr(spark: SparkSession, path, columns, sep: str = "\t") -> DataFrame:
+def scan_export_readr(
+    spark: SparkSession, path, columns, sep: str = "\t", multiline: bool = True
+) -> DataFrame:
     """Export where blank fields are missing and outer spaces are dropped."""
-    return _typed(_read_columns(spark, path, columns, sep), columns, blanks_missing)
+    return _typed(_read_columns(spark, path, columns, sep, multiline), columns, blanks_missing)
 
 
 def scan_legacy(spark: SparkSession, path) -> DataFrame:

@@ -63,9 +63,9 @@ SPECIMEN_SIDE = {
     "SPECIES": "CASE WHEN l_partkey % 23 = 0 THEN cast(NULL as string) WHEN l_partkey % 29 = 0 THEN '' "
                "WHEN l_partkey % 31 = 0 THEN 'FHM' WHEN l_partkey % 10 < 5 THEN 'RBT' WHEN l_partkey % 10 < 7 THEN 'BNT' "
                "WHEN l_partkey % 10 = 7 THEN 'CRP' WHEN l_partkey % 10 = 8 THEN 'HBC' ELSE 'NFC' END",
-    "TOTAL_LENGTH": "CASE WHEN l_linenumber = 7 THEN cast(NULL as int) ELSE cast(floor(50 + l_quantity * 9) as int) END",
-    "FORK_LENGTH": "cast(floor(45 + l_quantity * 8) as int)",
-    "WEIGHT": "cast(floor(1 + l_extendedprice / 100) as int)",
+    "TOTAL_LENGTH": "CASE WHEN l_linenumber = 7 THEN cast(NULL as double) ELSE cast(floor(50 + l_quantity * 9) as double) END",
+    "FORK_LENGTH": "cast(floor(45 + l_quantity * 8) as double)",
+    "WEIGHT": "cast(floor(1 + l_extendedprice / 100) as double)",
     "SEX": "CASE l_suppkey % 3 WHEN 0 THEN 'U' WHEN 1 THEN 'M' ELSE 'F' END",
     "SEX_COND": "CASE l_suppkey % 4 WHEN 0 THEN 'R' WHEN 1 THEN 'G' WHEN 2 THEN 'N' ELSE cast(NULL as string) END",
     "SEX_CHAR": "CASE WHEN l_suppkey % 5 = 0 THEN cast(NULL as string) ELSE l_linestatus END",
@@ -111,13 +111,15 @@ SITES = {
     "reach": "c_mktsegment",
     "type": "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'nonnative' ELSE 'monitoring' END",
 }
-SITES_FROM = "customer WHERE c_acctbal >= 0"
+SITES_FROM = "customer"
 
-WATER_SQL = """
-SELECT substr(cast(o_orderdate as string), 1, 10) AS START_DATE,
+# Every seventh day of a month is a dry one: its water row stands under a date no sample has.
+_DAY = "substr(cast(o_orderdate as string), 1, 10)"
+WATER_SQL = f"""
+SELECT CASE WHEN substr({_DAY}, 9, 2) IN ('07', '14', '21', '28') THEN concat('18', substr({_DAY}, 3, 8)) ELSE {_DAY} END AS START_DATE,
        max(cast(floor(o_totalprice / 1000) as double)) AS TURBIDITY_NTU,
        min(cast(o_orderkey % 20 as double)) AS WATER_TEMP
-FROM orders WHERE o_totalprice >= 200000 GROUP BY substr(cast(o_orderdate as string), 1, 10)"""
+FROM orders GROUP BY {_DAY}"""
 
 # Stage-one tables as the report reads them.
 REPORT_SAMPLES = {
@@ -153,10 +155,16 @@ SELECT DISTINCT 1, 'WEIGHT', 'ID', {id}, cast(NULL as string) FROM lineitem WHER
 UNION ALL
 SELECT DISTINCT 2, 'S_GPS_ID', 'S_SITE_ID',
        concat(cast(cast(floor(o_custkey / 10) as bigint) as string), '.', cast(o_custkey % 10 as string), 'R'), 'moved'
-FROM orders WHERE o_totalprice > 480000""".format(id=SPECIMEN_SIDE["ID"])
+FROM orders WHERE o_totalprice > 480000
+UNION ALL
+SELECT DISTINCT 1, 'FORK_LENGTH', 'ID', {id}, '37O' FROM lineitem WHERE l_extendedprice > 102500
+UNION ALL
+SELECT DISTINCT 1, 'SEX', 'ID', {id}, 'M' FROM lineitem WHERE l_extendedprice > 102500
+UNION ALL
+SELECT DISTINCT 1, 'SEX', 'ID', {id}, 'F' FROM lineitem WHERE l_extendedprice > 102500""".format(id=SPECIMEN_SIDE["ID"])
 CORRECTIONS_LAYOUT = [
     (1, "SAMPLE_ID", "S_SITE_ID"), (1, "SAMPLE_ID", "S_SAMPLE_NOTES"),
-    (1, "ID", "TOTAL_LENGTH"), (1, "ID", "WEIGHT"), (2, "S_SITE_ID", "S_GPS_ID"),
+    (1, "ID", "TOTAL_LENGTH"), (1, "ID", "WEIGHT"), (1, "ID", "FORK_LENGTH"), (1, "ID", "SEX"), (2, "S_SITE_ID", "S_GPS_ID"),
 ]
 
 
@@ -208,7 +216,7 @@ class Tables:
 
     @property
     def sites(self) -> DataFrame:
-        return self._project(self.table("customer").filter("c_acctbal >= 0"), SITES)
+        return self._project(self.table("customer"), SITES)
 
     @property
     def water(self) -> DataFrame:

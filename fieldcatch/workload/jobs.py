@@ -195,18 +195,19 @@ def _report(t):
 @query("species_crosstab", """
 SELECT ACCESS_SAMPLE_ID, count(*) FILTER (WHERE SPECIES_CODE = 'BNT') AS BNT, count(*) FILTER (WHERE SPECIES_CODE = 'CRP') AS CRP,
   count(*) FILTER (WHERE SPECIES_CODE = 'FHM') AS FHM, count(*) FILTER (WHERE SPECIES_CODE = 'HBC') AS HBC,
-  count(*) FILTER (WHERE SPECIES_CODE = 'RBT') AS RBT FROM report_fish GROUP BY 1""")
+  count(*) FILTER (WHERE SPECIES_CODE = 'RBT') AS RBT, count(*) FILTER (WHERE SPECIES_CODE = '') AS blank FROM report_fish GROUP BY 1""")
 def _(t):
-    return catch.crosstab(t.report_fish, "SPECIES_CODE", ["BNT", "CRP", "FHM", "HBC", "RBT"])
+    return catch.crosstab(t.report_fish, "SPECIES_CODE")
 
 
-_GROUPS = [*report.REPORT_GROUPS, "CRPNA", "FHMNA", "HBCNA"]
+# A blank species pastes as the bare label of a missing size class.
+_GROUPS = [*report.REPORT_GROUPS, "CRPNA", "FHMNA", "HBCNA", "NA"]
 
 
 @query("group_crosstab", f"""WITH {SQL_FISH} SELECT ACCESS_SAMPLE_ID,
-  {', '.join(f"count(*) FILTER (WHERE grp = '{g}') AS " + chr(34) + g + chr(34) for g in _GROUPS)} FROM fish GROUP BY 1""")
+  {', '.join(f"count(*) FILTER (WHERE grp = '{g}' AND SPECIES_CODE IS NOT NULL) AS " + chr(34) + g + chr(34) for g in _GROUPS)} FROM fish GROUP BY 1""")
 def _(t):
-    return catch.crosstab(report.with_measures(t.report_fish), "group", _GROUPS)
+    return catch.crosstab(report.with_measures(t.report_fish), "group")
 
 
 @query("cpue_by_species", f"WITH {_WIDE} SELECT ACCESS_SAMPLE_ID, round(BNT / minutes, 6) AS CPUE_BNT, round(RBT / minutes, 6) AS CPUE_RBT FROM wide")
@@ -327,7 +328,35 @@ def _(t):
     trip_id = F.regexp_extract("TRIP_FILE", "trip=([^/]+)/", 1)
     return rows.groupBy(trip_id.alias("trip")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("SAMPLE_ID").alias("n_samples"),
-        F.sum("WEIGHT").alias("total_weight"))
+        F.sum("WEIGHT").cast("bigint").alias("total_weight"))
+
+
+_CLIPPED = "cast(SAMPLE_ID as bigint) % 13"
+
+
+def _with_odd_numbers(t):
+    """The raw export with whole numbers typed in other ways and weights in fractions of a gram."""
+    return t.raw_export.withColumns({
+        "S_EF_MINUTES": F.expr(
+            f"CASE {_CLIPPED} WHEN 0 THEN '12.5' WHEN 1 THEN 'x1' WHEN 2 THEN concat(cast(S_EF_MINUTES as string), '.0') "
+            "ELSE cast(S_EF_MINUTES as string) END"),
+        "WEIGHT": F.col("WEIGHT") / 8,
+    })
+
+
+@query("scan_export_decimals", f"""
+SELECT ID, WEIGHT / 8 AS WEIGHT, CASE WHEN {_CLIPPED} IN (0, 1) THEN NULL ELSE S_EF_MINUTES END AS S_EF_MINUTES FROM raw_export""")
+def _(t):
+    path = _written(_with_odd_numbers(t), "export", missing="NA", sep="\t")
+    return files.scan_export(t.spark, path, _FILE_COLUMNS).select("ID", "WEIGHT", "S_EF_MINUTES")
+
+
+@query("scan_rejects", f"""
+SELECT 'S_EF_MINUTES' AS "column", CASE {_CLIPPED} WHEN 0 THEN '12.5' ELSE 'x1' END AS value, count(*) AS n
+FROM raw_export WHERE {_CLIPPED} IN (0, 1) GROUP BY 2""")
+def _(t):
+    path = _written(_with_odd_numbers(t), "export", missing="NA", sep="\t")
+    return files.scan_rejects(t.spark, path, _FILE_COLUMNS)
 
 
 _READR = ", ".join(f"nullif({n}, '') AS {n}" if k == "string" else n for n, k in _FILE_COLUMNS)
@@ -364,8 +393,15 @@ def _(t):
     return report.with_times(scanned)
 
 
+@query("report_fish_inputs", "SELECT * FROM report_fish")
+def _(t):
+    kinds = {**dict(schemas.SPECIMEN), "ACCESS_FISH_ID": "string"}
+    path = _written(t.report_fish, "report", missing="NA")
+    return files.scan_export(t.spark, path, [(n, kinds[n]) for n in t.report_fish.columns], sep=",")
+
+
 _SINK = ["ID", "SAMPLE_ID", "SPECIES", "SEX_COND", "SPECIMEN_NOTES", "FISH_TAG", "TOTAL_LENGTH", "S_RM_START"]
-_SINK_SCHEMA = [(n, {"TOTAL_LENGTH": "int", "S_RM_START": "double"}.get(n, "string")) for n in _SINK]
+_SINK_SCHEMA = [(n, {"TOTAL_LENGTH": "double", "S_RM_START": "double"}.get(n, "string")) for n in _SINK]
 _SINK_BLANK = ", ".join(f"coalesce({n}, '') AS {n}" if k == "string" else n for n, k in _SINK_SCHEMA)
 
 
@@ -387,12 +423,21 @@ def _(t):
     return files.scan_export(t.spark, path, _SINK_SCHEMA)
 
 
+@query("sink_roundtrip_multiline", """
+SELECT ID, concat('line one', chr(10), 'line "two"', chr(9), ID, chr(10)) AS SPECIMEN_NOTES, TOTAL_LENGTH FROM export""")
+def _(t):
+    note = F.concat(F.lit('line one\nline "two"\t'), F.col("ID"), F.lit("\n"))
+    path = _written(t.export.select("ID", note.alias("SPECIMEN_NOTES"), "TOTAL_LENGTH"), "sink", missing="NA", sep="\t")
+    columns = [("ID", "string"), ("SPECIMEN_NOTES", "string"), ("TOTAL_LENGTH", "double")]
+    return files.scan_export(t.spark, path, columns)
+
+
 @query("cleaned_export", f"""WITH fix AS (SELECT key_value, "column" AS col, min(new_value) AS v, round FROM corrections GROUP BY ALL),
 listed AS (SELECT S_SITE_ID, start_rm, lead(start_rm) OVER (PARTITION BY RiverSide ORDER BY site_seq) AS end_rm, RiverSide
   FROM sites WHERE RiverSide IN ('L', 'R')),
 x AS (SELECT e.ID, coalesce(s.v, upper(e.S_SITE_ID)) AS S_SITE_ID, upper(e.FISH_TAG) AS FISH_TAG, e.SPECIES,
-    CASE WHEN tl.key_value IS NOT NULL THEN try_cast(tl.v AS integer) ELSE e.TOTAL_LENGTH END AS TOTAL_LENGTH,
-    CASE WHEN w.key_value IS NOT NULL THEN try_cast(w.v AS integer) ELSE e.WEIGHT END AS WEIGHT,
+    CASE WHEN tl.key_value IS NOT NULL THEN try_cast(tl.v AS double) ELSE e.TOTAL_LENGTH END AS TOTAL_LENGTH,
+    CASE WHEN w.key_value IS NOT NULL THEN try_cast(w.v AS double) ELSE e.WEIGHT END AS WEIGHT,
     coalesce(n.v, e.S_SAMPLE_NOTES) AS S_SAMPLE_NOTES, S_EF_MINUTES * 60 + S_EF_SECONDS AS EF_TOTAL_SECONDS,
     {_SEX_COND} AS SEX_COND, {_TAG.format(other='')} AS PITTAG_RECAP
   FROM export e LEFT JOIN fix s ON s.col = 'S_SITE_ID' AND s.key_value = e.SAMPLE_ID
@@ -405,7 +450,7 @@ def _(t):
     cleaned = trip.clean_electrofishing(
         t.export, _sites(t), _CFG, lambda d: apply_corrections(d, t.corrections, CORRECTIONS_LAYOUT))
     shown = [("ID", "string"), ("S_SITE_ID", "string"), ("FISH_TAG", "string"), ("SPECIES", "string"),
-             ("TOTAL_LENGTH", "int"), ("WEIGHT", "int"), ("S_SAMPLE_NOTES", "string"), ("EF_TOTAL_SECONDS", "int"),
+             ("TOTAL_LENGTH", "double"), ("WEIGHT", "double"), ("S_SAMPLE_NOTES", "string"), ("EF_TOTAL_SECONDS", "int"),
              ("SEX_COND", "string"), ("PITTAG_RECAP", "string"), ("S_RM_START", "double"), ("S_RM_END", "double")]
     path = _written(cleaned, "cleaned", missing="")
     return files.scan_export(t.spark, path, shown, sep=",")

@@ -228,6 +228,33 @@ def _(t):
     return summary.high_water(lookups.attach(numbered, visits, ["visit"]), "ACCESS_FISH_ID", "ACCESS_SAMPLE_ID")
 
 
+@query("next_load_keys", f"""
+SELECT visit, dense_rank() OVER (ORDER BY visit) + (SELECT max(o_orderkey) FROM orders) AS ACCESS_SAMPLE_ID
+FROM (SELECT DISTINCT {_VISIT} AS visit FROM export)""")
+def _(t):
+    cfg = trip.next_load(TripConfig("GC20210403"), t.report_samples)
+    visits = t.export.select(trip.visit_key().alias("visit"))
+    return ordering.dense_keys(visits, ["visit"], "ACCESS_SAMPLE_ID", cfg.samples_before)
+
+
+@query("trips_total_catch", """
+SELECT upper(S_TRIP_ID) AS S_TRIP_ID, upper(S_SITE_ID) AS S_SITE_ID, cast(sum(CASE WHEN SPECIES = 'NFC' THEN 0 ELSE 1 END) AS bigint) AS TOTAL_CATCH
+FROM export GROUP BY 1, 2""")
+def _(t):
+    rows = trip.normalise(t.export.select("S_TRIP_ID", "S_SITE_ID", "SPECIES"), None, ["S_TRIP_ID", "S_SITE_ID"])
+    return catch.total_catch(rows, ["S_TRIP_ID", "S_SITE_ID"])
+
+
+@query("trips_sample_keys", f"""
+WITH v AS (SELECT DISTINCT S_TRIP_ID, {_VISIT} AS visit FROM export)
+SELECT S_TRIP_ID, visit, row_number() OVER (PARTITION BY S_TRIP_ID ORDER BY visit)
+  + cast(substr(S_TRIP_ID, 3, 4) AS bigint) AS ACCESS_SAMPLE_ID FROM v""")
+def _(t):
+    visits = t.export.select("S_TRIP_ID", trip.visit_key().alias("visit")).distinct()
+    settings = t.export.select("S_TRIP_ID").distinct().withColumn("before", F.substring("S_TRIP_ID", 3, 4).cast("bigint"))
+    return ordering.number_within(visits, "S_TRIP_ID", ["visit"], "ACCESS_SAMPLE_ID", settings)
+
+
 @query("duplicate_tags", """
 WITH d AS (SELECT ID, FISH_TAG, S_START_DATE_TIME, row_number() OVER (PARTITION BY FISH_TAG ORDER BY S_START_DATE_TIME, ID) AS k
   FROM export WHERE FISH_TAG IS NOT NULL AND FISH_TAG <> '') SELECT ID, FISH_TAG, S_START_DATE_TIME FROM d WHERE k > 1""")
@@ -245,13 +272,13 @@ def _(t):
 
 
 @query("progression_check", """
-WITH s AS (SELECT DISTINCT S_CLIPBOARD, S_START_DATE_TIME, SAMPLE_ID, S_RIVER_MILE FROM export),
+WITH s AS (SELECT DISTINCT S_TRIP_ID, S_CLIPBOARD, S_START_DATE_TIME, SAMPLE_ID, S_RIVER_MILE FROM export),
 p AS (SELECT *, lag(S_RIVER_MILE) OVER w AS prev_mile, lag(S_START_DATE_TIME) OVER w AS prev_time FROM s
-  WINDOW w AS (PARTITION BY S_CLIPBOARD ORDER BY S_START_DATE_TIME, SAMPLE_ID, S_RIVER_MILE))
+  WINDOW w AS (PARTITION BY S_TRIP_ID, S_CLIPBOARD ORDER BY S_START_DATE_TIME, SAMPLE_ID, S_RIVER_MILE))
 SELECT *, coalesce(S_RIVER_MILE < prev_mile, false) AS upstream_move FROM p""")
 def _(t):
     return quality.progression(
-        t.export.select("S_CLIPBOARD", "S_START_DATE_TIME", "SAMPLE_ID", "S_RIVER_MILE").distinct())
+        t.export.select("S_TRIP_ID", "S_CLIPBOARD", "S_START_DATE_TIME", "SAMPLE_ID", "S_RIVER_MILE").distinct())
 
 
 @query("sort_export", "SELECT SAMPLE_ID, S_START_DATE_TIME, FISH_TAG, ID FROM export")
@@ -318,13 +345,16 @@ def _(t):
 
 @query("measurement_outliers", """
 WITH r AS (SELECT ID, SPECIES, round(TOTAL_LENGTH / cast(nullif(FORK_LENGTH, 0) AS double), 6) AS length_ratio,
-    round(WEIGHT * cast(1000000 AS double) / nullif(cast(TOTAL_LENGTH AS double) * TOTAL_LENGTH * TOTAL_LENGTH, 0), 6) AS weight_ratio FROM export),
+    round(WEIGHT * cast(1000000 AS double) / nullif(cast(TOTAL_LENGTH AS double) * TOTAL_LENGTH * TOTAL_LENGTH, 0), 6) AS weight_ratio,
+    round(WEIGHT * cast(1000000 AS double) / nullif(cast(FORK_LENGTH AS double) * FORK_LENGTH * FORK_LENGTH, 0), 6) AS fork_weight_ratio FROM export),
 q AS (SELECT SPECIES, quantile_cont(length_ratio, 0.25) AS l1, quantile_cont(length_ratio, 0.75) AS l3,
-    quantile_cont(weight_ratio, 0.25) AS w1, quantile_cont(weight_ratio, 0.75) AS w3 FROM r GROUP BY 1),
+    quantile_cont(weight_ratio, 0.25) AS w1, quantile_cont(weight_ratio, 0.75) AS w3,
+    quantile_cont(fork_weight_ratio, 0.25) AS f1, quantile_cont(fork_weight_ratio, 0.75) AS f3 FROM r GROUP BY 1),
 f AS (SELECT r.*, coalesce(length_ratio < round(l1 - 1.5 * (l3 - l1), 6) OR length_ratio > round(l3 + 1.5 * (l3 - l1), 6), false) AS length_ratio_outlier,
-    coalesce(weight_ratio < round(w1 - 1.5 * (w3 - w1), 6) OR weight_ratio > round(w3 + 1.5 * (w3 - w1), 6), false) AS weight_ratio_outlier
+    coalesce(weight_ratio < round(w1 - 1.5 * (w3 - w1), 6) OR weight_ratio > round(w3 + 1.5 * (w3 - w1), 6), false) AS weight_ratio_outlier,
+    coalesce(fork_weight_ratio < round(f1 - 1.5 * (f3 - f1), 6) OR fork_weight_ratio > round(f3 + 1.5 * (f3 - f1), 6), false) AS fork_weight_ratio_outlier
   FROM r JOIN q ON r.SPECIES IS NOT DISTINCT FROM q.SPECIES)
-SELECT * FROM f WHERE length_ratio_outlier OR weight_ratio_outlier""")
+SELECT * FROM f WHERE length_ratio_outlier OR weight_ratio_outlier OR fork_weight_ratio_outlier""")
 def _(t):
     rows = t.export.select("ID", "SPECIES", "TOTAL_LENGTH", "FORK_LENGTH", "WEIGHT")
     return quality.measurement_outliers(rows).drop("TOTAL_LENGTH", "FORK_LENGTH", "WEIGHT")

@@ -237,23 +237,38 @@ def _(t):
 @query("point_corrections", """
 WITH fix AS (SELECT key_value, "column" AS col, min(new_value) AS v, round, key_column FROM corrections GROUP BY ALL),
 one AS (
-  SELECT e.ID, e.SAMPLE_ID,
+  SELECT e.ID, e.SAMPLE_ID, e.FORK_LENGTH, e.SEX,
     coalesce(s.v, e.S_SITE_ID) AS S_SITE_ID, coalesce(n.v, e.S_SAMPLE_NOTES) AS S_SAMPLE_NOTES, e.S_GPS_ID,
-    CASE WHEN tl.key_value IS NOT NULL THEN try_cast(tl.v AS integer) ELSE e.TOTAL_LENGTH END AS TOTAL_LENGTH,
-    CASE WHEN w.key_value IS NOT NULL THEN try_cast(w.v AS integer) ELSE e.WEIGHT END AS WEIGHT
+    CASE WHEN tl.key_value IS NOT NULL THEN try_cast(tl.v AS double) ELSE e.TOTAL_LENGTH END AS TOTAL_LENGTH,
+    CASE WHEN w.key_value IS NOT NULL THEN try_cast(w.v AS double) ELSE e.WEIGHT END AS WEIGHT
   FROM export e
   LEFT JOIN fix s ON s.col = 'S_SITE_ID' AND s.round = 1 AND s.key_value = e.SAMPLE_ID
   LEFT JOIN fix n ON n.col = 'S_SAMPLE_NOTES' AND n.round = 1 AND n.key_value = e.SAMPLE_ID
   LEFT JOIN fix tl ON tl.col = 'TOTAL_LENGTH' AND tl.key_value = e.ID
   LEFT JOIN fix w ON w.col = 'WEIGHT' AND w.key_value = e.ID)
-SELECT one.ID, one.SAMPLE_ID, one.S_SITE_ID, one.S_SAMPLE_NOTES, coalesce(g.v, one.S_GPS_ID) AS S_GPS_ID, one.TOTAL_LENGTH, one.WEIGHT
+SELECT one.ID, one.SAMPLE_ID, one.S_SITE_ID, one.S_SAMPLE_NOTES, coalesce(g.v, one.S_GPS_ID) AS S_GPS_ID, one.TOTAL_LENGTH, one.WEIGHT,
+  one.FORK_LENGTH, one.SEX
 FROM one LEFT JOIN fix g ON g.round = 2 AND g.col = 'S_GPS_ID' AND g.key_value = one.S_SITE_ID""")
 def _(t):
     rows = t.export.select(
-        "ID", "SAMPLE_ID", "S_SITE_ID", "S_SAMPLE_NOTES", "S_GPS_ID", "TOTAL_LENGTH", "WEIGHT")
+        "ID", "SAMPLE_ID", "S_SITE_ID", "S_SAMPLE_NOTES", "S_GPS_ID", "TOTAL_LENGTH", "WEIGHT",
+        "FORK_LENGTH", "SEX")
     return corrections.apply_corrections(rows, t.corrections, CORRECTIONS_LAYOUT)
 
 
+@query("corrections_rejected", """
+SELECT round, "column", key_column, key_value, new_value FROM corrections WHERE "column" = 'FORK_LENGTH'""")
+def _(t):
+    return corrections.rejected(t.export, t.corrections)
+
+
+@query("corrections_conflicts", """
+SELECT round, "column", key_column, key_value, count(DISTINCT new_value) AS n_values FROM corrections
+GROUP BY round, "column", key_column, key_value HAVING count(DISTINCT new_value) > 1""")
+def _(t):
+    return corrections.conflicts(t.corrections)
+
+
 @query("split_sample_id", """
 SELECT ID, CASE WHEN S_SITE_ID LIKE '%3R' THEN concat(SAMPLE_ID, 'a') WHEN S_SAMPLE_TYPE = 120 THEN concat(SAMPLE_ID, S_SITE_ID)
   ELSE SAMPLE_ID END AS SAMPLE_ID FROM export""")

@@ -92,3 +92,18 @@ def test_conformance_report():
 
     assert schemas.conforms(Frame, (("a", "int"), ("b", "string"), ("c", "int"))) == []
     assert len(schemas.conforms(Frame, (("a", "int"), ("b", "int")))) == 2
+
+
+def test_decimals_line_breaks_and_rejects(spark, tmp_path):
+    columns = (("ID", "string"), ("NOTE", "string"), ("N", "int"), ("W", "double"))
+    rows = [("a", 'one\ntwo\t"three"', "5", "12.5"), ("b", "", "370.0", "1e2"), ("c", None, "37O", "x"), ("d", "n", "12.5", None)]
+    df = spark.createDataFrame(rows, "ID string, NOTE string, N string, W string")
+    path = str(tmp_path / "odd")
+    files.write_delimited(df, path, missing="NA", sep="\t")
+    got = {r["ID"]: tuple(r)[1:] for r in files.scan_export(spark, path, columns).collect()}
+    assert got == {"a": ('one\ntwo\t"three"', 5, 12.5), "b": ("", 370, 100.0), "c": (None, None, None), "d": ("n", None, None)}
+    odd = {(r["column"], r["value"], r["n"]) for r in files.scan_rejects(spark, path, columns).collect()}
+    assert odd == {("N", "37O", 1), ("N", "12.5", 1), ("W", "x", 1)}
+    split = files.scan_malformed(spark, path).collect()
+    assert any(r["line"].endswith("one") for r in split)
+    assert files.scan_export(spark, path, columns, multiline=False).count() == 5

@@ -141,7 +141,21 @@ def test_corrections_rounds_missing_targets_and_snapshot(spark):
         (2, "WEIGHT", "SAMPLE_ID", "s2", "not a number"),
     ], corrections.SCHEMA)
     got = {r.ID: tuple(r)[1:] for r in corrections.apply_corrections(export, fixes).collect()}
-    assert got == {"i1": ("s1", "AN, CH", 370, 50), "i2": ("s9", "late", 310, None), "i3": ("s2", "XX", None, None)}
+    assert got == {"i1": ("s1", "AN, CH", 370, 50), "i2": ("s9", "late", 310, None), "i3": ("s2", "XX", None, 70)}
+    refused = corrections.rejected(export, fixes).collect()
+    assert [(r["column"], r["new_value"]) for r in refused] == [("WEIGHT", "not a number")]
+
+
+def test_corrections_that_disagree_keep_the_old_value(spark):
+    rows = spark.createDataFrame([("i1", 300.0), ("i2", 310.0)], "ID string, TOTAL_LENGTH double")
+    fixes = spark.createDataFrame([
+        (1, "TOTAL_LENGTH", "ID", "i1", "12.5"), (1, "TOTAL_LENGTH", "ID", "i2", "1"), (1, "TOTAL_LENGTH", "ID", "i2", None),
+        (1, "NO_COLUMN", "ID", "i1", "1"),
+    ], corrections.SCHEMA)
+    got = {r.ID: r.TOTAL_LENGTH for r in corrections.apply_corrections(rows, fixes).collect()}
+    assert got == {"i1": 12.5, "i2": 310.0}
+    assert [(r["key_value"], r["n_values"]) for r in corrections.conflicts(fixes).collect()] == [("i2", 2)]
+    assert [r["column"] for r in corrections.rejected(rows, fixes).collect()] == ["NO_COLUMN"]
 
 
 def test_recode_keeps_other_and_missing(spark):

@@ -11,6 +11,7 @@ import pytest
 from fieldcatch import schemas
 from fieldcatch.config import TripConfig
 from fieldcatch.plans import presets, report, run, trip
+from fieldcatch.runtime import stored_paths
 from fieldcatch.sources import files
 
 
@@ -87,7 +88,9 @@ def test_electrofishing_trip(spark, tmp_path, river_sites, water):
 def test_written_trip_reads_back_and_feeds_the_report(spark, tmp_path, river_sites, water):
     export = table(tmp_path / "export.txt", schemas.ELECTROFISHING_EXPORT, EF_ROWS)
     preset = presets.Preset(TripConfig("GC20210403"), "electrofishing")
+    before = stored_paths(spark)
     run.run_trip(spark, preset, str(tmp_path / "out"), export, river_sites, water, one_file=True)
+    assert stored_paths(spark) == before
     made = {p.rsplit("/", 1)[1] for p in glob.glob(str(tmp_path / "out" / "*"))}
     assert made == {"GC20210403_sample.csv", "GC20210403_specimen.csv", "GC20210403_errorchecked.csv"}
     cfg = replace(preset.config, output_dir=str(tmp_path / "out"))
@@ -258,3 +261,30 @@ def test_end_miles(spark):
     rows = [("a", 1, 1.0, "L"), ("b", 2, 2.0, "R"), ("c", 3, 3.0, "L"), ("d", 4, 4.0, "C"), ("e", 5, 5.0, "R")]
     df = spark.createDataFrame(rows, "S_SITE_ID string, site_seq int, start_rm double, RiverSide string")
     assert {r.S_SITE_ID: r.end_rm for r in trip.end_miles(df).collect()} == {"a": 3.0, "b": 5.0, "c": None, "e": None}
+
+
+def test_trips_loaded_together_are_kept_apart(spark):
+    from fieldcatch.operators import catch, ordering, quality
+
+    rows = spark.createDataFrame(
+        [("T1", "1R", "RBT"), ("T2", "1R", "RBT"), ("T2", "2R", "NFC")], "S_TRIP_ID string, S_SITE_ID string, SPECIES string")
+    got = {(r["S_TRIP_ID"], r["S_SITE_ID"]): r["TOTAL_CATCH"] for r in catch.total_catch(rows, ["S_TRIP_ID", "S_SITE_ID"]).collect()}
+    assert got == {("T1", "1R"): 1, ("T2", "1R"): 1, ("T2", "2R"): 0}
+    before = spark.createDataFrame([("T2", 100)], "S_TRIP_ID string, before bigint")
+    keys = ordering.number_within(rows.select("S_TRIP_ID", "S_SITE_ID"), "S_TRIP_ID", ["S_SITE_ID"], "k", before)
+    assert {(r[0], r[1]): r[2] for r in keys.collect()} == {("T1", "1R"): 1, ("T2", "1R"): 101, ("T2", "2R"): 102}
+    from datetime import datetime
+    moves = spark.createDataFrame(
+        [("T1", "b", datetime(2020, 1, 1), "s1", 5.0), ("T2", "b", datetime(2020, 2, 1), "s2", 1.0)],
+        "S_TRIP_ID string, S_CLIPBOARD string, S_START_DATE_TIME timestamp_ntz, SAMPLE_ID string, S_RIVER_MILE double")
+    assert [r["prev_mile"] for r in quality.progression(moves).collect()] == [None, None]
+
+
+def test_next_load_starts_behind_the_tables(spark):
+    from fieldcatch.config import TripConfig
+    from fieldcatch.plans import trip
+
+    held = spark.createDataFrame([(7,), (9,)], "ACCESS_SAMPLE_ID bigint")
+    cfg = trip.next_load(TripConfig("GC20210403", specimens_before=3), held)
+    assert (cfg.samples_before, cfg.specimens_before) == (9, 3)
+    assert trip.next_load(cfg, held.limit(0)).samples_before == 0
