@@ -130,16 +130,17 @@ def base_fails() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def rank_rules(measured: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[dict]:
+def rank_rules(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
     """Seconds and rejected share of each rule on a sample, most rejections per second first.
 
-    The sample is a fraction of the rows that gives about `sample_rows` at any size; it is written
-    to the shared folder once, so that each rule is timed alone.
+    The sample is a fraction of the rows that gives about `sample_rows` at any size; it is measured
+    and written to the shared folder once, so that each rule is timed alone.
     """
-    total = measured.count()
+    total = docs.count()
     if not total:
         return [{"rule": r, "seconds": 0.0, "rejected": 0.0} for r in rules]
-    sample = materialise(measured.sample(fraction=min(1.0, sample_rows / total), seed=7), "rules")
+    rows = docs.select(text).sample(fraction=min(1.0, sample_rows / total), seed=7)
+    sample = materialise(measure(rows, text), "rules")
     n = sample.count()
     figures = []
     for rule in rules:
@@ -164,9 +165,8 @@ def judge(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = S
 
     The base rules come first for every row; the ranked cascade decides about those that pass.
     """
-    measured = measure(docs, text)
-    ranked = [f["rule"] for f in rank_rules(measured, rules, sample_rows)]
-    judged = cascade(measured, [Rule("base", base_fails), *ranked])
+    ranked = [f["rule"] for f in rank_rules(docs, rules, text, sample_rows)]
+    judged = cascade(measure(docs, text), [Rule("base", base_fails), *ranked])
     return judged.withColumns({
         "base_failed": base_fails(), "kept": F.col("rejected_by").isNull(),
     }).drop("_flat", "_solid")
