@@ -261,12 +261,13 @@ def _linked(tasks: DataFrame, rule: Threshold) -> DataFrame:
     return tasks.select("task", "doc_id", "tokens").groupBy("task").applyInPandas(open_, "a bigint, b bigint")
 
 
-def _linked_large(large: DataFrame, rule: Threshold) -> DataFrame:
+def _linked_large(large: DataFrame, runs: DataFrame, rule: Threshold) -> DataFrame:
     """Links of the candidate sets that are too large for one task.
 
     Every part of such a set also meets the documents most others were found by, which connects
-    nearly all of a group of copies. Documents still outside their set's largest component then
-    meet every part, in blocks.
+    nearly all of a group of copies. What is connected then is a group; a document visits the groups
+    of which some member shares one of its first tokens, and no others. `runs` are those tokens:
+    (token, _run, doc_id). Groups and their visitors are split where they are many.
     """
     task = F.xxhash64("set_id", "_block")
     by_degree = Window.partitionBy("set_id").orderBy(F.desc("_degree"), "doc_id")
@@ -276,21 +277,29 @@ def _linked_large(large: DataFrame, rule: Threshold) -> DataFrame:
     own = large.withColumn("task", task).select("task", "doc_id", "tokens")
     first = materialise(_linked(own.unionByName(hub_rows.select("task", "doc_id", "tokens")), rule), "links")
 
-    known = large.drop("tokens").join(
+    known = materialise(large.select("doc_id").distinct().join(
         components(first).withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ).withColumn("label", F.coalesce("label", "doc_id"))
-    counted = known.groupBy("set_id", "label").agg(F.count(F.lit(1)).alias("_n"))
-    core = counted.groupBy("set_id").agg(F.max_by("label", F.struct("_n", "label")).alias("_core"))
-    outside = materialise(known.join(core, "set_id").filter("label <> _core").select("doc_id", "set_id"), "outside")
-    many = outside.groupBy("set_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_asks"))
-    pair = F.xxhash64("set_id", "_block", "_ask")
-    asking = large.join(outside.select("doc_id"), "doc_id", "left_semi").join(many, "set_id").withColumn(
-        "_ask", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("_asks"))
-    ).drop("_block").join(parts, "set_id").withColumn("task", pair)
-    answering = large.join(many, "set_id").withColumn(
-        "_ask", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_asks") - 1))
-    ).withColumn("task", pair)
-    met = asking.select("task", "doc_id", "tokens").unionByName(answering.select("task", "doc_id", "tokens"))
+    ).select("doc_id", F.coalesce("label", "doc_id").alias("label")), "known")
+    marks = runs.join(known, "doc_id")
+    groups = marks.select("token", "_run", F.col("label").alias("group")).distinct()
+    visits = materialise(
+        marks.join(groups, ["token", "_run"]).filter("group < label").select("doc_id", "group").distinct(), "visits"
+    )
+    guests = visits.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_asks"))
+    plan = guests.join(
+        known.groupBy(F.col("label").alias("group")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts")), "group"
+    )
+    sets = large.select("doc_id", "tokens")
+    pair = F.xxhash64("group", "_part", "_ask")
+    home = known.withColumnRenamed("label", "group").join(plan, "group").select(
+        "doc_id", "group", F.pmod(F.xxhash64("doc_id"), F.col("_parts")).alias("_part"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_asks") - 1)).alias("_ask"),
+    )
+    away = visits.join(plan, "group").select(
+        "doc_id", "group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part"),
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("_asks")).alias("_ask"),
+    )
+    met = home.unionByName(away).withColumn("task", pair).join(sets, "doc_id").select("task", "doc_id", "tokens")
     return first.unionByName(_linked(met, rule))
 
 
@@ -306,11 +315,14 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
     by_size = Window.partitionBy("token").orderBy("n", "s1", "s2")
     run = Window.partitionBy("token", "_run")
     breaks = (F.lag("n").over(by_size) < F.lit(rule.percent) * F.col("n") / 100).cast("int")
-    shared = _prefixes(docs, rule, levels, text).repartition("token").withColumn("_break", F.coalesce(breaks, F.lit(0))).withColumn(
+    runs = materialise(_prefixes(docs, rule, levels, text).repartition("token").withColumn("_break", F.coalesce(breaks, F.lit(0))).withColumn(
         "_run", F.sum("_break").over(by_size)
     ).withColumns({
         "_low": F.min(F.struct("n", "s1", "s2")).over(run), "_high": F.max(F.struct("n", "s1", "s2")).over(run),
-    }).filter("_low <> _high").select("s1", "s2", F.col("_low.s1").alias("h1"), F.col("_low.s2").alias("h2")).distinct()
+    }).filter("_low <> _high").select(
+        "token", "_run", "s1", "s2", F.col("_low.s1").alias("h1"), F.col("_low.s2").alias("h2")
+    ), "runs")
+    shared = runs.select("s1", "s2", "h1", "h2").distinct()
     heads = classes.withColumnsRenamed({"s1": "h1", "s2": "h2", "head": "b"})
     pairs = materialise(
         shared.join(classes, ["s1", "s2"]).join(heads, ["h1", "h2"]).select(F.col("head").alias("a"), "b"), "pairs"
@@ -327,7 +339,9 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
     links = _linked(small.withColumn("task", task), rule)
     if size.filter(F.col("_size") > BLOCK).limit(1).count():
         large = materialise(_sets(docs, wanted.filter(F.col("_size") > BLOCK), rule, text), "sets")
-        links = materialise(links, "links").unionByName(_linked_large(large, rule))
+        links = materialise(links, "links").unionByName(
+            _linked_large(large, runs.join(classes, ["s1", "s2"]).select("token", "_run", F.col("head").alias("doc_id")), rule)
+        )
     labels = components(links).withColumnRenamed("node", "head")
     return rows.join(classes, ["s1", "s2"], "left").join(labels, "head", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
