@@ -25,7 +25,7 @@ from fieldcatch.llm.workers import per_worker
 from fieldcatch.runtime import materialise
 
 #: Token lists of so many distinct words stay in a Python worker, of words up to so many bytes.
-CACHED_WORDS, CACHED_BYTES = 600_000, 32
+CACHED_WORDS, CACHED_BYTES = 900_000, 32
 #: Punctuation that is a token of its own behind a letter or digit.
 TAIL = b".,;:!?"
 #: Pieces a shard holds on average: enough that its last half-filled sequences do not matter.
