@@ -2,9 +2,11 @@
 
 The standard library's parser streams a page's events; they are cut into lines, one per block element.
 Each line has a ratio of text to tags; the ratios are smoothed with a Gaussian and split in two
-clusters by a threshold. The dense lines select the content region: the article or main element that
-holds most of them, or, in pages without one, the dense lines and those beside them in the same
-containers. Menus, headers, footers, sidebars, adverts, forms and comments are never part of a region.
+clusters by a threshold. The dense lines select the content region: the innermost container that holds
+most of their text, with everything in it, and what belongs to it beside it. Where article or main elements
+hold the text, only what is in the outermost of them counts. Menus, headers, footers, sidebars, adverts,
+forms and comments are never part of a region; a class or id tells them, unless it names the
+layout of an element that holds most of the page's text.
 
 Null, empty and textless pages give an empty text.
 """
@@ -34,13 +36,24 @@ DROPPED = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROOTS = frozenset(("article", "main"))
+#: Elements that hold lines of any kind, as opposed to a heading, an item or a row.
+CONTAINERS = frozenset("article body center div fieldset html main section".split())
 #: Words in class, id or role that mark page furniture.
 FURNITURE = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies "
     "disclaimer disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo "
     "related search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Of these, what is not content even where it is most of the text; and words of classes that say what
+#: an element has beside it or lacks, as in has-sidebar.
+CERTAIN = frozenset(
+    "ad ads advert advertisement advertising comment comments cookie cookies disqus newsletter popup promo "
+    "related sponsor sponsored subscribe".split()
+)
+BESIDE = frozenset("has with no without".split())
 SIGMA = 1.0
+#: Share of the dense text a region has to hold.
+MOST = 0.75
 
 
 @dataclass
@@ -49,43 +62,57 @@ class Line:
 
     text: str
     tags: int
-    root: int  # number of the enclosing article or main element, 0 outside
-    parent: int  # number of the innermost open block element
+    links: int  # characters of links
+    root: int  # number of the outermost enclosing article or main element, 0 outside
+    path: tuple[int, ...]  # numbers of the enclosing containers, outermost first
+    marks: tuple[int, ...]  # numbers of the enclosing elements whose class marks furniture
+    heading: bool
 
 
 class PageLines(HTMLParser):
-    """Collects the lines of a page that are not furniture."""
+    """Collects the lines of a page; those in an element marked by its class are told by `content`."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.open: list[tuple[str, int, bool]] = []  # tag, its number, whether its text is dropped
+        self.marked: dict[int, bool] = {}  # number of an element marked by its class: whether for certain
         self.parts: list[str] = []
-        self.tags = self.count = 0
+        self.tags = self.count = self.links = 0
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            root = next((n for tag, n, _ in reversed(self.open) if tag in ROOTS), 0)
-            parent = next((n for tag, n, _ in reversed(self.open) if tag in BLOCK and tag != "p"), 0)
-            self.lines.append(Line(text, self.tags, root, parent))
-        self.parts, self.tags = [], 0
-
-    def _furniture(self, tag: str, attrs) -> bool:
-        in_root = any(t in ROOTS for t, _, _ in self.open)
-        if tag in DROPPED or tag == "header" and not in_root:
-            return True
-        if tag in ("html", "body"):
-            return False
-        marks = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
-        return bool(FURNITURE.intersection(re.split(r"[^a-z]+", marks))) if marks and tag != "header" else False
+            root = next((n for tag, n, _ in self.open if tag in ROOTS), 0)
+            path = tuple(n for tag, n, _ in self.open if tag in CONTAINERS)
+            marks = tuple(n for _, n, _ in self.open if n in self.marked)
+            heading = any(tag in HEADINGS for tag, _, _ in self.open)
+            self.lines.append(Line(text, self.tags, self.links, root, path, marks, heading))
+        self.parts, self.tags, self.links = [], 0, 0
+
+    def _dropped(self, tag: str) -> bool:
+        return tag in DROPPED or tag == "header" and not any(t in ROOTS for t, _, _ in self.open)
+
+    def _words(self, tag: str, attrs) -> frozenset[str]:
+        """The words in class, id and role that mark the element as furniture."""
+        if tag in ("html", "body", "header"):
+            return frozenset()
+        found: set[str] = set()
+        for name in " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower().split():
+            words = re.split(r"[^a-z]+", name)
+            # the names of an article tell its topics too, as in tag-ad
+            if not BESIDE.intersection(words) and (tag not in ROOTS or len(words) == 1):
+                found.update(FURNITURE.intersection(words))
+        return frozenset(found - {"header"} if tag in HEADINGS else found)
 
     def _close(self, at: int) -> None:
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs) -> None:
-        if tag in BLOCK:
+        words = self._words(tag, attrs)
+        if tag in BLOCK or words and tag in ("td", "th"):
             self._flush()
+        if tag in BLOCK:
             # a block ends an open paragraph, an item the item before it
             for at in range(len(self.open) - 1, -1, -1):
                 held = self.open[at][0]
@@ -100,7 +127,11 @@ class PageLines(HTMLParser):
         if tag in VOID:
             return
         self.count += 1
-        dropped = bool(self.open and self.open[-1][2]) or self._furniture(tag, attrs)
+        dropped = bool(self.open and self.open[-1][2]) or self._dropped(tag)
+        if words and (tag in BLOCK or tag in ("td", "th")):
+            self.marked[self.count] = bool(words & CERTAIN)
+        elif words:
+            dropped = True
         # of a header inside an article only its headings are content
         top = next((at for at, (held, _, out) in enumerate(self.open) if held == "header" and not out), None)
         if top is not None:
@@ -115,7 +146,7 @@ class PageLines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                if tag in BLOCK or any(t in BLOCK for t, _, _ in self.open[at:]):
+                if any(t in BLOCK or n in self.marked for t, n, _ in self.open[at:]):
                     self._flush()
                 self._close(at)
                 break
@@ -124,11 +155,32 @@ class PageLines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not (self.open and (self.open[-1][2] or self.open[-1][0] == "header")):
             self.parts.append(data)
+            if any(tag == "a" for tag, _, _ in self.open):
+                self.links += len(" ".join(data.split()))
+
+    def content(self) -> list[Line]:
+        """The lines outside furniture. A class does not make furniture of an element with most of the
+        page's text, unless an article or main element elsewhere has text too."""
+        if not self.marked:
+            return self.lines
+        held: dict[int, int] = {}
+        for line in self.lines:
+            for n in line.marks:
+                held[n] = held.get(n, 0) + max(0, len(line.text) - line.links)
+        total = sum(max(0, len(x.text) - x.links) for x in self.lines)
+        lifted: set[int] = set()
+        for n in sorted(held):  # an element comes before those in it
+            if 2 * held[n] <= total or self.marked[n] and held[n] < total:
+                continue
+            roots = {x.root for x in self.lines if n in x.marks}
+            if not any(x.root and x.root not in roots and lifted.issuperset(x.marks) for x in self.lines):
+                lifted.add(n)
+        return [x for x in self.lines if lifted.issuperset(x.marks)]
 
     def finish(self) -> list[Line]:
         self.close()
         self._flush()
-        return self.lines
+        return self.content()
 
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -157,6 +209,52 @@ def dense(ratios: np.ndarray) -> np.ndarray:
     return ratios > threshold
 
 
+def region(lines: list[Line], size: np.ndarray, chosen: np.ndarray, paths: list[tuple[int, ...]]) -> list[Line]:
+    """The lines in the innermost container with most dense text, and those that belong to it.
+
+    Beside it, a branch of the page belongs to it that has dense lines or is a title, and a line
+    that stands in a container around it and is not made of links.
+    """
+    weight: dict[int, float] = {}
+    number: dict[int, int] = {}
+    for path, n, take in zip(paths, size, chosen):
+        for c in path:
+            weight[c] = weight.get(c, 0.0) + n * take
+            number[c] = number.get(c, 0) + 1
+    whole = size[chosen].sum()
+    least = min(2, len(lines))  # a container of one line is a paragraph
+    around: tuple[int, ...] = ()
+    for path in paths:
+        depth = sum(weight[c] >= MOST * whole and number[c] >= least for c in path)
+        if depth > len(around):
+            around = path[:depth]
+    known = set(around)
+
+    def branch(path: tuple[int, ...]) -> int:
+        return next((c for c in path if c not in known), 0)
+
+    titles = {branch(p) for p in paths} - {branch(p) for x, p in zip(lines, paths) if not x.heading}
+    dense_ones = {branch(p) for p, take in zip(paths, chosen) if take}
+    kept = []
+    for line, path, take in zip(lines, paths, chosen):
+        linked = 2 * line.links > len(line.text)
+        at = branch(path)
+        if path[:len(around)] == around or take or not linked and (not at or at in titles or at in dense_ones):
+            kept.append(line)
+    return kept
+
+
+def _unlinked_ends(kept: list[Line], lines: list[Line], chosen: np.ndarray) -> list[Line]:
+    """`kept` without the lines of links, in containers without dense lines, before the first
+    dense line and behind the last: menus that no class tells."""
+    spots = np.flatnonzero(chosen)
+    if not len(spots):
+        return kept
+    text = {x.path for x, take in zip(lines, chosen) if take}
+    ends = {id(x) for x in lines[:spots[0]] + lines[spots[-1] + 1:] if x.path not in text and 2 * x.links > len(x.text)}
+    return [x for x in kept if id(x) not in ends]
+
+
 def main_text(html: str | None) -> str:
     """The content lines of a page, joined by line breaks."""
     if not isinstance(html, str) or not html:
@@ -167,17 +265,20 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     size = np.array([len(x.text) for x in lines], dtype=float)
-    chosen = dense(smoothed(size / np.array([max(1, x.tags) for x in lines])))
-    weight: dict[int, float] = {}
-    for line, n, take in zip(lines, size, chosen):
-        weight[line.root] = weight.get(line.root, 0.0) + n * take
-    roots = {r for r in weight if r}
-    if roots:
-        best = max(sorted(roots), key=lambda r: (weight[r], sum(n for x, n in zip(lines, size) if x.root == r)))
-        if weight[best] >= 0.5 * weight.get(0, 0.0):
-            return "\n".join(x.text for x in lines if x.root == best)
-    beside = {x.parent for x, take in zip(lines, chosen) if take}
-    return "\n".join(x.text for x in lines if x.parent in beside)
+    ratios = size / np.array([max(1, x.tags) for x in lines])
+    smooth = smoothed(ratios)
+    chosen = dense(smooth)
+    # a long line between short ones is dense, a line of links beside a long one is not
+    told = (chosen | (ratios >= smooth[chosen].min())) & np.array([2 * x.links <= len(x.text) for x in lines])
+    chosen = told if told.any() else chosen
+    inside = np.array([x.root > 0 for x in lines])
+    paths = [x.path for x in lines]
+    if inside.any() and size[inside & chosen].sum() >= 0.5 * size[~inside & chosen].sum():
+        lines = [x for x in lines if x.root]
+        size, chosen = size[inside], chosen[inside]
+        # whole articles: the region is a container of them
+        return "\n".join(x.text for x in region(lines, size, chosen, [x.path[:x.path.index(x.root)] for x in lines]))
+    return "\n".join(x.text for x in _unlinked_ends(region(lines, size, chosen, paths), lines, chosen))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

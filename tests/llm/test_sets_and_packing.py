@@ -196,6 +196,35 @@ def test_main_text():
     assert html_density.main_text("<article><p>cut off &am").startswith("cut off")
 
 
+def test_main_text_keeps_headings_lists_and_tables():
+    long = [f"{'words of a long text ' * 30}{i}" for i in range(4)]
+    inner = (f"<h1>T</h1><p>{long[0]}</p><p>{long[1]}</p><h2>S</h2><ul><li>one</li><li>two</li></ul>"
+             f"<table><tr><th>k</th><td>v</td></tr></table><blockquote>q</blockquote><p>{long[2]}</p>")
+    want = ["T", long[0], long[1], "S", "one", "two", "k v", "q", long[2]]
+    menu = "<div><a href=a>Home</a> <a href=b>News</a></div>"
+    for page in (
+        f"<div>{inner}</div>", f"<body>{menu}<div>{inner}</div>{menu}</body>", f"<body>{menu}{inner}{menu}</body>",
+        f"<div class='content-with-sidebar'>{menu}<div>{inner}</div><div class=sidebar>more</div></div>",
+        f"<body>{menu}<div id='page-header-layout'>{inner}</div></body>",
+        f"<main class='has-banner'><article>{inner}</article></main>",
+        f"<div><table><tr><td>{menu}</td><td class='col-widget'>{inner}</td></tr></table></div>",
+        f"<body><div id=content>{inner}</div><div id=comments><p>{long[3] * 9}</p></div></body>",
+        f"<article>{inner}</article><div class=sidebar><p>{long[3] * 20}</p></div>",
+    ):
+        assert html_density.main_text(page).split("\n") == want, page
+
+
+def test_main_text_of_several_articles():
+    long = [f"{'words of a long text ' * 30}{i}" for i in range(3)]
+    one, two = (f"<article class='tag-ad'><h2>{t}</h2><p>{x}</p></article>" for t, x in zip("ab", long))
+    want = ["a", long[0], "b", long[1]]
+    for page in (f"<div>{one}{two}</div>", f"<div>{one}</div><div>{two}</div>", f"<main>{one}{two}</main>"):
+        assert html_density.main_text(page).split("\n") == want
+    assert html_density.main_text(f"<main><p>intro</p>{one}</main>").split("\n") == ["intro", *want[:2]]
+    outer = f"<body><div><h1>T</h1><div><h2>a</h2><p>{long[0]}</p></div><div><h2>b</h2><p>{long[1]}</p></div></div></body>"
+    assert html_density.main_text(outer).split("\n") == ["T", *want]
+
+
 def test_extract_table(spark):
     df = spark.createDataFrame([(1, "u", PAGE, 5), (2, None, None, 6), (3, "v", "<p>" + "w " * 50_000, 7)],
                                "page_id bigint, url string, html string, n_chars int")
