@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms for personal data.
 
-Values are found by pattern and validated (checksums, calendar, ranges). The digits of a number are permuted by
+Values are found by pattern and validated (checksums, calendar, ranges). At a place every kind and every end
+a value may have there is tried; where none is valid, the search goes on one word later. The digits of a number are permuted by
 a keyed Feistel network over strings of that length; a date moves to another day of its range; in an
 e-mail address letters and digits are permuted among themselves. Punctuation, length and case stay, so
 does validity: card numbers and IBANs get a fitting check digit again. The permutation depends only on the key
@@ -35,7 +36,28 @@ PATTERNS = {
     "card": r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|[.-][0-9])",
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-][0-9]{4}(?![\w]|[.-][0-9])",
 }
-_ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
+#: Solid length of an IBAN by country.
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+).split()}
+#: The longest run a card or IBAN may begin, whatever stands behind it.
+_RUNS = {
+    "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){8,30}",
+    "card": r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}",
+}
+_COMPILED = {k: re.compile(_RUNS.get(k, p)) for k, p in PATTERNS.items()}
+_ANY = re.compile("|".join(f"(?:{p.pattern})" for p in _COMPILED.values()))
+_IBAN = re.compile(PATTERNS["iban"])
+_IBAN_SHAPE = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?")
+_CARD_SHAPE = re.compile(r"[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -]?)[0-9]{6}\2[0-9]{5}")
+_CARD_END = re.compile(r"(?![\w]|[.-][0-9])")
+_INNER_END = re.compile(r"-[0-9]")
+#: Groups of four digits, as they occur in the middle of card numbers and IBANs.
+_FOURS = re.compile(r"[0-9]{4}(?:[ .-]?[0-9]{4})+")
+_WORD = re.compile(r"[A-Za-z0-9]+|.", re.DOTALL)
 _HINT = re.compile(r"[0-9@]")
 
 
@@ -194,21 +216,71 @@ def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
     if not _HINT.search(text):
         return text, counts
 
-    def put(match: re.Match) -> str:
-        # the first pattern that matches may fail its check; the others are tried at the same place
-        for kind, pattern in PATTERNS.items():
-            again = _COMPILED[kind].match(text, match.start())
-            if again and again.end() == match.end():
-                new = _MAKERS[kind](again[0], key)
-                if new is not None:
-                    counts[kind] += 1
-                    return new
-        return match[0]
-
-    return _ANY.sub(put, text), counts
-
-
-_COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
+    parts, done, at, run_end = [], 0, 0, 0
+    while match := _ANY.search(text, at):
+        start = match.start()
+        for kind, pattern in _COMPILED.items():
+            again = pattern.match(text, start)
+            if not again:
+                continue
+            # four digits and four are part of the number they stand in, not a phone of their own
+            if kind == "phone" and start < run_end and _FOURS.fullmatch(again[0]):
+                continue
+            end, new = _first_valid(kind, text, again, key)
+            if new is not None:
+                counts[kind] += 1
+                parts += text[done:start], new
+                done = at = end
+                break
+            if kind == "iban" or kind == "card" and _FOURS.match(again[0]):
+                run_end = max(run_end, again.end())
+        else:
+            at = _WORD.match(text, start).end()
+    return "".join(parts) + text[done:], counts
+
+
+def _ends(kind: str, text: str, found: re.Match) -> list[int]:
+    """Where a value of the kind may end that begins where `found` does, in the order they are tried."""
+    start, end = found.span()
+    if kind not in _RUNS and kind != "phone":
+        return [end]
+    # digits before a card may look like a phone with its first groups, or pass the check by chance
+    later = end if kind == "iban" else next(
+        (i for i in range(start + 1, end) if text[i - 1] == " " and _holds_card(text, i)), end)
+    if kind == "phone":
+        return [end] if later == end else []
+    solid = [i + 1 for i in range(start, end) if text[i] not in " -"]
+    if kind == "card":
+        shaped = {e for e in solid[12:] if _CARD_SHAPE.fullmatch(text, start, e)}
+        return [e for e in reversed(solid[12:]) if (e in shaped or e <= later)
+                and (_CARD_END.match(text, e) or e in shaped and _INNER_END.match(text, e))]
+    whole = _IBAN.match(text, start)
+    known = IBAN_LENGTHS.get(text[start:start + 2])
+    if known:
+        # the check digits hold for a number of this length, so letters may follow at once
+        ends = [e for e in solid[known - 1:known] if not re.match("[0-9]", text[e:e + 1])]
+        ends += [whole.end()] if whole else []
+    else:
+        ends = [e for e in reversed(solid[11:]) if not re.match(r"\w", text[e:e + 1])]
+    return [e for e in ends if _IBAN_SHAPE.fullmatch(text, start, e)]
+
+
+def _holds_card(text: str, at: int) -> bool:
+    """Whether a card in one of the usual groupings begins at this place."""
+    found = _CARD_SHAPE.match(text, at)
+    if not found or not _CARD_END.match(text, found.end()):
+        return False
+    digits = _digits(found[0])
+    return luhn_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1
+
+
+def _first_valid(kind: str, text: str, found: re.Match, key: bytes) -> tuple[int, str | None]:
+    """The end of the first valid value and what replaces it; None if there is no valid one."""
+    for end in _ends(kind, text, found):
+        new = _MAKERS[kind](text[found.start():end], key)
+        if new is not None:
+            return end, new
+    return found.end(), None
 
 
 def hide(docs: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame:
