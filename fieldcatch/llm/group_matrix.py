@@ -315,7 +315,9 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
     by_size = Window.partitionBy("token").orderBy("n", "s1", "s2")
     run = Window.partitionBy("token", "_run")
     breaks = (F.lag("n").over(by_size) < F.lit(rule.percent) * F.col("n") / 100).cast("int")
-    runs = materialise(_prefixes(docs, rule, levels, text).repartition("token").withColumn("_break", F.coalesce(breaks, F.lit(0))).withColumn(
+    # a row without an id is in no class and must not begin a run
+    named = docs.filter(F.col("doc_id").cast("bigint").isNotNull())
+    runs = materialise(_prefixes(named, rule, levels, text).repartition("token").withColumn("_break", F.coalesce(breaks, F.lit(0))).withColumn(
         "_run", F.sum("_break").over(by_size)
     ).withColumns({
         "_low": F.min(F.struct("n", "s1", "s2")).over(run), "_high": F.max(F.struct("n", "s1", "s2")).over(run),

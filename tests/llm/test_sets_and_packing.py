@@ -173,6 +173,17 @@ def test_join_odd_tables(spark):
     assert group_matrix.jaccard_join(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 2])
+def test_join_with_a_short_row_without_id(spark, monkeypatch, block):
+    monkeypatch.setattr(group_matrix, "BLOCK", block)
+    core = " ".join(f"w{i}" for i in range(60))
+    copies = [(i, f"{core} x{i} y{i} z{i}") for i in range(1, 7)]
+    df = spark.createDataFrame([*copies, (None, core), (None, core)], PLAIN)
+    rows_ = group_matrix.jaccard_join(df, group_matrix.Threshold(80, 4)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows_} == {None: None, **{i: 1 for i in range(1, 7)}}
+    assert len(rows_) == 8
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in components(chain).collect()}
