@@ -165,7 +165,7 @@ def _prefixes(docs: DataFrame, rule: Threshold, levels: bytes, text: str) -> Dat
 
 def _sets(docs: DataFrame, wanted: DataFrame, rule: Threshold, text: str) -> DataFrame:
     """(doc_id, n, tokens) of the wanted ids. A filter of fixed size picks the texts to read again."""
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(1 << PICK_BITS)).cast("int")
+    bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(1 << PICK_BITS)).cast("int")
     marks = np.zeros(1 << PICK_BITS, dtype=bool)
     marks[wanted.select(bucket.alias("bucket")).distinct().toPandas()["bucket"].to_numpy(dtype=int)] = True
     packed = np.packbits(marks).tobytes()

@@ -184,6 +184,14 @@ def test_join_with_a_short_row_without_id(spark, monkeypatch, block):
     assert len(rows_) == 8
 
 
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_join_of_other_id_types(spark, kind):
+    core = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(i, f"{core} x{i}") for i in range(1, 9)], PLAIN)
+    rows_ = group_matrix.jaccard_join(df.withColumn("doc_id", F.col("doc_id").cast(kind))).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows_} == {i: 1 for i in range(1, 9)}
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in components(chain).collect()}
