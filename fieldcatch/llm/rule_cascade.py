@@ -111,8 +111,8 @@ def _only(kept: str) -> Column:
     return F.length(F.regexp_replace("_solid", f"[^{kept}]+", ""))
 
 
-#: The method's own rules; the thresholds leave ordinary prose of any language alone. The last ones
-#: read the text again, which the cascade spares the rows an earlier rule has rejected.
+#: The method's own rules; the thresholds leave ordinary prose alone in languages that part words by white
+#: space. long_words rejects Chinese, Japanese or Thai prose, parted only by sentences. The last ones read the text again, which the cascade spares the rows an earlier rule has rejected.
 RULES = (
     Rule("symbols", lambda: F.col("n_symbols") * 4 > F.col("n_words")),
     Rule("dup_lines", lambda: F.col("n_dup_lines") * 10 > F.col("n_words")),
