@@ -192,6 +192,18 @@ def test_join_of_other_id_types(spark, kind):
     assert {r["doc_id"]: r["component_id"] for r in rows_} == {i: 1 for i in range(1, 9)}
 
 
+def test_pipeline_keeps_texts_that_share_an_id(spark):
+    import corpus_pipeline
+
+    core = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    data = [(5, core + " x", "b"), (5, core + " x", "a"), (5, other, "a"), (3, core, "a"), (7, core + " y", "a"),
+            (8, "lone text", "a"), (None, core, "a"), (None, None, "a"), (9, None, "a"), (9, "", "a")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    kept = [tuple(r) for r in corpus_pipeline.keep_one_of_each_group(spark, df, "").collect()]
+    assert sorted(kept, key=str) == sorted([data[2], data[3], *data[5:]], key=str)
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in components(chain).collect()}
