@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldcatch.llm import (
-    best_fit, group_matrix, html_density, language_codes, license_index, pseudonyms, rule_cascade, secret_index,
-    source_mix, twins, va_file,
+    best_fit, group_matrix, html_density, language_codes, license_index, merkle_proofs, permuterm, pivot_index,
+    pseudonyms, rule_cascade, secret_index, source_mix, twins, va_file,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,21 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     capacity = best_fit.Capacity()
     return best_fit.pack(best_fit.pieces(docs, capacity.longest), capacity)
+
+
+@query("op11_pivot_index", twins.NEAR_VECTORS)
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op12_permuterm", twins.VARIANTS)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.variants(permuterm.words(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op13_merkle_proofs", twins.MANIFEST)
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle_proofs.FIELDS)
+    return merkle_proofs.verify(
+        merkle_proofs.manifest(docs, merkle_proofs.tampered(F.col("text"), F.col("doc_id")))
+    )
