@@ -58,10 +58,18 @@ def backfill_side(own: Column, listed: Column, site: Column) -> Column:
     )
 
 
-def backfill_note(note: Column, ts: Column, cutoff: datetime, text: str) -> Column:
+def backfill_note(note: Column, ts: Column, cutoff: datetime | Column, text: str | Column) -> Column:
     """Fill a blank note of work done before the cutoff."""
-    early = ts < F.lit(cutoff).cast("timestamp_ntz")
-    return F.when(early & (note == ""), F.lit(text)).otherwise(note)
+    edge = cutoff if isinstance(cutoff, Column) else F.lit(cutoff).cast("timestamp_ntz")
+    filled = text if isinstance(text, Column) else F.lit(text)
+    return F.when((ts < edge) & (note == ""), filled).otherwise(note)
+
+
+def pick(flag: bool | Column, yes: Column, no: Column) -> Column:
+    """`yes` or `no`, as a setting of the job or of each row says."""
+    if isinstance(flag, Column):
+        return F.when(flag, yes).otherwise(no)
+    return yes if flag else no
 
 
 def hoop_end_clock(gear: Column, end_clock: Column) -> Column:

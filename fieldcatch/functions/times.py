@@ -103,13 +103,17 @@ def sampling_night(ts: Column, first_night: Column) -> Column:
     return F.when(hour > 6, days + 1).when(hour < 6, days)
 
 
-def type_by_cutoff(ts: Column, cutoff: datetime, before: int, after: int) -> Column:
+def _edge(moment: datetime | Column) -> Column:
+    return moment if isinstance(moment, Column) else F.lit(moment).cast("timestamp_ntz")
+
+
+def type_by_cutoff(ts: Column, cutoff: datetime | Column, before: int, after: int) -> Column:
     """Sample type by start time; exactly at the cutoff, or without a time, it is missing."""
-    edge = F.lit(cutoff).cast("timestamp_ntz")
+    edge = _edge(cutoff)
     return F.when(ts < edge, F.lit(before)).when(ts > edge, F.lit(after))
 
 
-def repair_year(ts: Column, earliest: datetime, days: int = 366) -> Column:
+def repair_year(ts: Column, earliest: datetime | Column, days: int = 366) -> Column:
     """Times before `earliest` carry last year's date; move them forward."""
-    edge = F.lit(earliest).cast("timestamp_ntz")
+    edge = _edge(earliest)
     return F.when(ts < edge, plus_days(ts, days)).otherwise(ts)

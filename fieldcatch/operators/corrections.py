@@ -3,11 +3,14 @@
 A correction row is (round, column, key_column, key_value, new_value), all text but the round:
 where `key_column` equals `key_value`, `column` becomes `new_value`, which may be missing.
 Rounds apply in order, so a later one may key on what an earlier one changed. Within a round every
-key is compared with the values the round started from; should two key columns both fix one
-field, the one named first in the alphabet wins.
+key is compared, as a value of its column's type, with the values the round started from; should
+two key columns both fix one field, the one named first in the alphabet wins. Corrections may belong to a
+trip each: `by` names columns that must agree as well.
 
 A correction whose key or new value is not of its column's type is left out, and so are all
-corrections of one field that disagree: the old value stays. `rejected` and `conflicts` return them.
+corrections of one field that disagree: the old value stays. `rejected` and `conflicts` return them,
+`unmatched` those that no row answers. `apply_logged` also returns what was changed, by what, and what else
+had been asked for.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcatch.operators.lookups import attach
+from fieldcatch.runtime import materialise
 
 SCHEMA = "round int, column string, key_column string, key_value string, new_value string"
 
@@ -43,21 +47,72 @@ def rejected(df: DataFrame, corrections: DataFrame) -> DataFrame:
     return corrections.filter(~(known & key_fits & value_fits))
 
 
-def conflicts(corrections: DataFrame) -> DataFrame:
-    """Fields that one round gives several values: (round, column, key_column, key_value, n_values)."""
-    field = ["round", "column", "key_column", "key_value"]
-    distinct = corrections.select(*field, "new_value").distinct()
+def _key_text(types: dict[str, str] | None):
+    """The key as a value of its column's type, as text again, so that 7 and 07 are one number."""
+    text = F.col("key_value")
+    for name, kind in (types or {}).items():
+        if kind != "string":
+            number = F.col("key_value").try_cast(kind).cast("string")
+            text = F.when(F.col("key_column") == name, F.coalesce(number, F.col("key_value"))).otherwise(text)
+    return text.alias("key_value")
+
+
+def conflicts(corrections: DataFrame, df: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Fields that one round gives several values: (round, column, key_column, key_value, n_values).
+
+    Keys are compared as values of `df`'s columns, as `apply_corrections` does; without `df` as text.
+    """
+    field = [*by, "round", "column", "key_column", "key_value"]
+    typed = corrections.withColumn("key_value", _key_text(dict(df.dtypes) if df is not None else None))
+    distinct = typed.select(*field, "new_value").distinct()
     several = distinct.groupBy(*field).agg(F.count(F.lit(1)).alias("n_values"))
     return several.filter("n_values > 1")
 
 
+def unmatched(df: DataFrame, corrections: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Corrections whose key stands in no row of `df` as it is before the first round.
+
+    Keys that an earlier round makes are not in `df` yet; ask again with the rows that round returns.
+    """
+    types, out = dict(df.dtypes), None
+    for key in sorted({r[0] for r in corrections.select("key_column").distinct().collect()} & set(types)):
+        asked = corrections.filter(F.col("key_column") == key).withColumn("_value", F.col("key_value").try_cast(types[key]))
+        held = df.select(*by, F.col(key).alias("_value")).distinct()
+        lost = asked.join(held, [*by, "_value"], "left_anti").select(*corrections.columns)
+        out = lost if out is None else out.unionByName(lost)
+    return out if out is not None else corrections.limit(0)
+
+
 def apply_corrections(
-    df: DataFrame, corrections: DataFrame, used: list[tuple[int, str, str]] | None = None
+    df: DataFrame, corrections: DataFrame, used: list[tuple[int, str, str]] | None = None, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Apply all rounds; `used` saves looking up the layout when it is known."""
+    return _apply(df, corrections, used, by, None).select(*df.columns)
+
+
+def apply_logged(
+    df: DataFrame, corrections: DataFrame, row: str = "ID", used: list[tuple[int, str, str]] | None = None,
+    by: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """The corrected rows, and the log: (row, round, column, before, after, key_column, key_value, overruled).
+
+    Values are text. `overruled` lists the key columns whose correction of the same field gave way. A correction
+    that leaves a value as it is is logged too. Rows and log are cut from one stored table.
+    """
+    stored = materialise(_apply(df, corrections, used, by, F.array().cast(_LOG)), "corrected")
+    log = stored.select(*by, row, F.explode("_log").alias("_l")).select(*by, row, "_l.*")
+    return stored.select(*df.columns), log
+
+
+_LOG = ("array<struct<round:int,column:string,before:string,after:string,key_column:string,key_value:string,"
+        "overruled:array<string>>>")
+
+
+def _apply(df: DataFrame, corrections: DataFrame, used, by: tuple[str, ...], log) -> DataFrame:
     types = dict(df.dtypes)
     used = [u for u in sorted(used if used is not None else layout(corrections)) if {u[1], u[2]} <= set(types)]
-    out = df
+    out = df if log is None else df.withColumn("_log", log)
+    kept = out.columns
     for number in sorted({r for r, _, _ in used}):
         this_round = corrections.filter(F.col("round") == number)
         fixes: dict[str, list[str]] = {}
@@ -65,22 +120,35 @@ def apply_corrections(
             columns = [c for r, k, c in used if r == number and k == key_column]
             per_key = (
                 this_round.filter(F.col("key_column") == key_column)
-                .groupBy(F.col("key_value").try_cast(types[key_column]).alias("_value"))
+                .groupBy(*by, F.col("key_value").try_cast(types[key_column]).alias("_value"))
                 .agg(*[_agreed(c, types[c]).alias(f"_{key_column}_{c}") for c in columns])
                 .filter(F.col("_value").isNotNull())
             )
             keyed = out.withColumn("_value", F.col(key_column))
-            out = attach(keyed, per_key, ["_value"]).drop("_value")
+            out = attach(keyed, per_key, [*by, "_value"]).drop("_value")
             for c in columns:
-                fixes.setdefault(c, []).append(f"_{key_column}_{c}")
-        replaced = {}
+                fixes.setdefault(c, []).append(key_column)
+        replaced, entries = {}, []
         for c, found in fixes.items():
-            value = F.col(c)
-            for f in reversed(found):
-                new = F.col(f)["new_value"].try_cast(types[c])
-                value = F.when(F.col(f).isNotNull(), new).otherwise(value)
+            value = entry = None
+            for k in reversed(found):
+                fix = F.col(f"_{k}_{c}")
+                new = fix["new_value"].try_cast(types[c])
+                value = F.when(fix.isNotNull(), new).otherwise(F.col(c) if value is None else value)
+                others = F.array_compact(F.array(*[
+                    F.when(F.col(f"_{o}_{c}").isNotNull(), F.lit(o)) for o in found if o > k
+                ])) if found[-1] > k else F.array().cast("array<string>")
+                told = F.struct(
+                    F.lit(number).alias("round"), F.lit(c).alias("column"), F.col(c).cast("string").alias("before"),
+                    new.cast("string").alias("after"), F.lit(k).alias("key_column"),
+                    F.col(k).cast("string").alias("key_value"), others.alias("overruled"),
+                )
+                entry = F.when(fix.isNotNull(), told) if entry is None else F.when(fix.isNotNull(), told).otherwise(entry)
             replaced[c] = value
-        out = out.withColumns(replaced).select(*df.columns)
+            entries.append(entry)
+        if log is not None and entries:
+            replaced["_log"] = F.concat("_log", F.array_compact(F.array(*entries)))
+        out = out.withColumns(replaced).select(*kept)
     return out
 
 

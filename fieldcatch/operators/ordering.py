@@ -59,15 +59,20 @@ def number_rows(df: DataFrame, order: list[str], out: str, offset: int = 0) -> D
 def number_within(df: DataFrame, group: str, order: list[str], out: str, before: DataFrame) -> DataFrame:
     """Number the rows of each group 1, 2, 3 ... in order, plus the group's own offset.
 
-    `before` holds one row per group, (group, before); a group without one starts at 1. Rows are numbered
-    over all groups at once, so a group of any size spreads over many tasks, and the number of the group's
-    first row is taken off.
+    `before` holds one row per group, (group, before); a group without one starts at 1. Groups lie one after
+    the other in one range layout, so a group of any size spreads over many tasks. What its rows in earlier
+    ranges come to is summed over one row per range and group and met by both, which no group can make a hot key.
     """
-    numbered = materialise(number_rows(df, [group, *order], out), "within")
-    first = numbered.groupBy(group).agg(F.min(out).alias("_first")).join(
-        before.select(F.col(group).alias("_group"), "before"), F.col(group).eqNullSafe(F.col("_group")), "left"
-    ).select(group, (F.col("_first") - 1 - F.coalesce("before", F.lit(0))).alias("_first"))
-    return attach(numbered, first, [group]).select(*df.columns, (F.col(out) - F.col("_first")).alias(out))
+    placed = _place(df, [group, *order])
+    parts = placed.groupBy(_RANGE, group).agg(F.min(_PLACE).alias("_from"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    done = parts.withColumn("_done", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    starts = attach(done, before.select(group, "before"), [group]).select(
+        _RANGE, group, (F.col("_done") + F.coalesce("before", F.lit(0)) - F.col("_from") + 1).alias("_add")
+    )
+    return attach(placed, starts, [_RANGE, group]).select(
+        *df.columns, (F.col(_PLACE) + F.col("_add")).cast("bigint").alias(out)
+    )
 
 
 def dense_keys(df: DataFrame, keys: list[str], out: str, offset: int = 0) -> DataFrame:

@@ -10,6 +10,7 @@ from fieldcatch.functions.codes import (
     clip_recap,
     clip_recap_or_code,
     hoop_end_clock,
+    pick,
     tag_recap,
     tag_recap_or_code,
 )
@@ -41,13 +42,13 @@ _RENAMED = {
 }
 
 
-def electrofishing_samples(export: DataFrame, side: str) -> DataFrame:
-    """Distinct samples, still under the export's names."""
-    return export.select(side, *_ELECTROFISHING).distinct()
+def electrofishing_samples(export: DataFrame, side: str, extra: list[str] = ()) -> DataFrame:
+    """Distinct samples, still under the export's names, with `extra` columns that follow from the others."""
+    return export.select(side, *_ELECTROFISHING, *extra).distinct()
 
 
-def hoop_samples(export: DataFrame) -> DataFrame:
-    return export.select(*_HOOP).distinct()
+def hoop_samples(export: DataFrame, extra: list[str] = ()) -> DataFrame:
+    return export.select(*_HOOP, *extra).distinct()
 
 
 def _times(start: Column, end: Column) -> dict[str, Column]:
@@ -85,14 +86,15 @@ def sample_table_electrofishing(samples: DataFrame, side: str, water: DataFrame
     return fill_blank(table, ["SAMPLE_NOTES"])
 
 
-def sample_table_hoop(samples: DataFrame, water: DataFrame | None, with_hours: bool = True) -> DataFrame:
-    """As for electrofishing; END_TIME depends on the gear, and net hours may be left out."""
-    names = [n for n in schemas.names(schemas.SAMPLE_HOOP) if with_hours or n != "TOTAL_HOURS"]
+def sample_table_hoop(samples: DataFrame, water: DataFrame | None, with_hours: bool | Column = True) -> DataFrame:
+    """As for electrofishing; END_TIME depends on the gear, and net hours may be left out: as a column, or,
+    where each row says so, as values."""
+    names = [n for n in schemas.names(schemas.SAMPLE_HOOP) if with_hours is not False or n != "TOTAL_HOURS"]
     rows, names = _with_water(samples, water, names)
     start, end = F.col("S_START_DATE_TIME"), F.col("S_END_DATE_TIME")
     columns = _times(start, end) | {
         "END_TIME": hoop_end_clock(F.col("S_GEAR"), clock(end)),
-        "TOTAL_HOURS": round_half_even(hours_between(start, end), 2),
+        "TOTAL_HOURS": pick(with_hours, round_half_even(hours_between(start, end), 2), F.lit(None).cast("double")),
         "SIDE_CODE": first_capitals(F.col("S_SITE_ID")), "START_RM": F.col("S_RIVER_MILE"),
         "STATION_ID": F.col("S_GPS_ID"), "GEAR_CODE": F.col("S_GEAR"),
     }
@@ -107,20 +109,22 @@ SPECIMEN_COLUMNS = [
 ]
 
 
-def specimen_table(keyed: DataFrame, keep_codes: bool = False, blanks: bool = True) -> DataFrame:
-    """`keyed` is the export with both keys. `keep_codes` lets recapture codes outside the
-    list through; `blanks` writes missing text as blank."""
-    tag = tag_recap_or_code if keep_codes else tag_recap
-    clip = clip_recap_or_code if keep_codes else clip_recap
+def specimen_table(
+    keyed: DataFrame, keep_codes: bool | Column = False, blanks: bool = True, extra: list[Column] = ()
+) -> DataFrame:
+    """`keyed` is the export with both keys. `keep_codes`, for all rows or as each row says, lets recapture
+    codes outside the list through; `blanks` writes missing text as blank; `extra` columns come last."""
     code = F.col("RECAP_YES_NO")
-    finclip = F.coalesce(F.col("FINCLIP1"), F.lit("")) if keep_codes else F.col("FINCLIP1")
+    tag = pick(keep_codes, tag_recap_or_code(code), tag_recap(code))
+    clip = pick(keep_codes, clip_recap_or_code(code), clip_recap(code))
+    finclip = pick(keep_codes, F.coalesce(F.col("FINCLIP1"), F.lit("")), F.col("FINCLIP1"))
     table = keyed.select(
         "ACCESS_FISH_ID", "ACCESS_SAMPLE_ID", F.col("SPECIES").alias("SPECIES_CODE"),
         "TOTAL_LENGTH", "FORK_LENGTH", "WEIGHT",
         F.col("SEX").alias("SEX_CODE"), F.col("SEX_COND").alias("SEX_COND_CODE"),
-        F.col("SEX_CHAR").alias("SEX_CHAR_CODE"), clip(code).alias("FINCLIP1_RECAP"),
-        finclip.alias("FINCLIP1"), tag(code).alias("PITTAG_RECAP"),
+        F.col("SEX_CHAR").alias("SEX_CHAR_CODE"), clip.alias("FINCLIP1_RECAP"),
+        finclip.alias("FINCLIP1"), tag.alias("PITTAG_RECAP"),
         F.col("FISH_TAG").alias("PITTAG"), F.col("DISPOSITION").alias("DISPOSITION_CODE"),
-        "SPECIMEN_NOTES",
+        "SPECIMEN_NOTES", *extra,
     )
     return fill_blank(table, schemas.SPECIMEN_TEXT) if blanks else table

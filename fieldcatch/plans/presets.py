@@ -25,6 +25,9 @@ class Preset:
     rounds: tuple = ()
     splits: tuple = ()  # (before round, key column, key value, suffix or None)
     options: dict = field(default_factory=dict)
+    late: tuple = ()  # rounds that come after the catch has been counted
+    missing: str = ""  # how the tables print missing values
+    export_missing: str | None = ""  # how the corrected export prints them; None: none is written
 
 
 # Key offsets, typing errors and record corrections of past trips.
@@ -32,7 +35,7 @@ PRESETS = {
     "GC20191024_hoop": Preset(
         TripConfig("GC20191024"), "hoop", options={
             "key_by_site": True, "with_hours": False,
-            "upper": ["S_TRIP_ID", "S_SITE_ID", "S_CLIPBOARD", "S_CREW", "FISH_TAG"]}),
+            "upper": ["S_TRIP_ID", "S_SITE_ID", "S_CLIPBOARD", "S_CREW", "FISH_TAG"]}, export_missing=None),
 
     "GC20200621_hoop": Preset(
         TripConfig("GC20200621", samples_before=267, specimens_before=2686), "hoop",
@@ -74,7 +77,7 @@ PRESETS = {
                 ("ID_20200630_0844_03_986_2315cb95", "179"), ("ID_20200629_0834_58_852_93d93a24", None)])],
         ),
         splits=((2, "S_SITE_ID", "253.73R", "a"),),
-        options={"earliest": datetime(2020, 1, 1, 1, 1, 1)}),
+        options={"earliest": datetime(2020, 1, 1, 1, 1, 1)}, export_missing=None),
 
     "GC20201025_hoop": Preset(
         TripConfig("GC20201025", samples_before=126, specimens_before=895), "hoop",
@@ -100,7 +103,7 @@ PRESETS = {
                 ("ID_20201026_0944_18_121_c5d33d12", None), ("ID_20201026_1007_22_978_a42e7e00", None)]),
              ("TOTAL_LENGTH", "ID", [("ID_20201028_1004_58_543_4aaf6c5c", "334")])],
         ),
-        splits=((1, "SAMPLE_ID", "1026_0930_42", None),)),
+        splits=((1, "SAMPLE_ID", "1026_0930_42", None),), export_missing=None),
 
     "GC20210403_hoop": Preset(
         TripConfig("GC20210403", samples_before=217, specimens_before=1737), "hoop",
@@ -110,8 +113,10 @@ PRESETS = {
                 ("0414_1134_54", "250.08R"), ("0409_0843_31", "144.82R"),
                 ("0414_0959_06", "246.3R"), ("0415_1028_34", "262.53R")]),
              ("S_RIVER_MILE", "SAMPLE_ID", [
-                ("0412_0940_35", "207.28"), ("0404_0906_46", "9.79"), ("0415_0947_05", "260.28")]),
-             ("SPECIES", "ID", [
+                ("0412_0940_35", "207.28"), ("0404_0906_46", "9.79"), ("0415_0947_05", "260.28")])],
+        ),
+        late=(
+            [("SPECIES", "ID", [
                 ("ID_20210414_1032_11_524_b8e3f7cf", "HBC"), ("ID_20210411_0910_44_718_cacb6cbc", "FMS"),
                 ("ID_20210416_0859_59_516_fec9fa37", "RBT"), ("ID_20210416_0847_15_807_e6ed789a", "HBC")]),
              ("FORK_LENGTH", "ID", [
@@ -123,7 +128,7 @@ PRESETS = {
                 ("ID_20210416_0823_07_289_b97c5bb7", "151"), ("ID_20210414_1214_55_428_08198733", None)])],
             [("SPECIES", "SPECIES", [("", "FMS")])],
         ),
-        options={"keep_codes": True}),
+        options={"keep_codes": True}, export_missing="NA"),
 
     "GC20210403_electrofishing": Preset(
         TripConfig("GC20210403", samples_before=175, specimens_before=1536), "electrofishing",
@@ -132,7 +137,7 @@ PRESETS = {
                 ("218.17R", "218.17L"), ("218.80L", "218.8L"), ("275.8L", "275.80L"),
                 ("277.8L", "277.80L"), ("279.6R", "279.60R")]),
              ("S_CREW", "S_CREW", [("AN,CH,JB,SW", "AN, CH")])],
-        )),
+        ), missing="NA", export_missing="NA"),
 
     "LF20210308_electrofishing": Preset(
         TripConfig("LF20210308"), "backfilled",
@@ -153,17 +158,17 @@ PRESETS = {
 }
 
 
-def correction_rows(preset: Preset) -> list[tuple]:
+def correction_rows(preset: Preset, late: bool = False) -> list[tuple]:
     return [
         (number, column, key_column, value, new)
-        for number, entries in enumerate(preset.rounds, start=1)
+        for number, entries in enumerate(preset.late if late else preset.rounds, start=1)
         for column, key_column, pairs in entries
         for value, new in pairs
     ]
 
 
-def corrections_frame(spark: SparkSession, preset: Preset) -> DataFrame:
-    return spark.createDataFrame(correction_rows(preset), SCHEMA)
+def corrections_frame(spark: SparkSession, preset: Preset, late: bool = False) -> DataFrame:
+    return spark.createDataFrame(correction_rows(preset, late), SCHEMA)
 
 
 def apply_preset(df: DataFrame, preset: Preset) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from fieldcatch import schemas
 from fieldcatch.functions import times
 from fieldcatch.operators import columns
-from fieldcatch.plans import field, trip
-from fieldcatch.plans.presets import Preset, apply_preset
+from fieldcatch.plans import field, trip, trips
+from fieldcatch.plans.presets import Preset, apply_preset, corrections_frame
 from fieldcatch.runtime import drop_stored, stored_paths
 from fieldcatch.sources import files
 
@@ -21,8 +21,14 @@ def trip_tables(
     spark: SparkSession, preset: Preset, export: str, sites: str | None = None,
     water: str | None = None, store: bool = True,
 ):
-    """SAMPLE and SPECIMEN tables of one trip; the paths may be globs or folders."""
+    """SAMPLE and SPECIMEN tables of one trip; the paths may be globs or folders of its files.
+
+    Files named after another trip are refused: `trips` takes several trips at once.
+    """
     options = dict(preset.options)
+    others = trips.named_otherwise(spark.read.text(export).inputFiles(), preset.config.trip_id)
+    if others:
+        raise ValueError(f"files of other trips than {preset.config.trip_id}: {others[:5]}")
     daily = files.scan_water(spark, water) if water else None
     correct = partial(apply_preset, preset=preset) if preset.rounds else None
     if preset.gear == "hoop":
@@ -31,6 +37,8 @@ def trip_tables(
         cleaned = trip.clean_hoop(
             rows, listed, preset.config, correct, earliest=options.pop("earliest", None),
             upper=options.pop("upper", trip.UPPER_HOOP))
+        if preset.late:
+            options["late_fixes"] = corrections_frame(spark, preset, late=True)
         return trip.HoopTables(cleaned, preset.config, daily, store=store, **options)
     rows = trip.parse_export_times(files.scan_export(spark, export, schemas.ELECTROFISHING_EXPORT))
     if preset.gear == "backfilled":
@@ -43,15 +51,18 @@ def trip_tables(
 
 
 def run_trip(
-    spark: SparkSession, preset: Preset, output_dir: str, *paths, one_file: bool = False,
-    missing: str = "", export_missing: str | None = None,
+    spark: SparkSession, preset: Preset | list[Preset], output_dir: str, *paths, one_file: bool = False,
 ) -> None:
-    """`trip_tables`, written below `output_dir`; the stored tables of the job are deleted at its
-    end, also after a failure."""
+    """`trip_tables`, written below `output_dir` as the trip's script does; the stored tables of the job are
+    deleted at its end, also after a failure. A list of presets runs their trips as one job."""
+    if isinstance(preset, list):
+        trips.run_trips(spark, preset, output_dir, *paths)
+        return
     before = stored_paths(spark)
     try:
         out = trip_tables(spark, preset, *paths)
-        trip.write_trip(out, replace(preset.config, output_dir=output_dir), one_file, missing, export_missing)
+        trip.write_trip(
+            out, replace(preset.config, output_dir=output_dir), one_file, preset.missing, preset.export_missing)
     finally:
         drop_stored(spark, keep=before)
 

@@ -7,7 +7,7 @@ from dataclasses import replace
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldcatch import config, schemas
@@ -23,6 +23,7 @@ UPPER_HOOP = [*UPPER_ELECTROFISHING, "S_GPS_ID"]
 Correction = Callable[[DataFrame], DataFrame]
 VISIT = "S_SITE_ID_2"
 NET = "S_NET"
+TRIP = "S_TRIP_ID"
 
 
 def next_load(cfg: TripConfig, samples: DataFrame, specimens: DataFrame | None = None) -> TripConfig:
@@ -70,10 +71,10 @@ def _decoded(export: DataFrame) -> DataFrame:
 
 def clean_electrofishing(
     export: DataFrame, sites: DataFrame, cfg: TripConfig | None = None,
-    correct: Correction | None = None, on_duplicate: str = "all",
+    correct: Correction | None = None, on_duplicate: str = "all", upper: list[str] = UPPER_ELECTROFISHING,
 ) -> DataFrame:
     """Corrected export with list miles, effort and decoded recaptures (river list)."""
-    out = normalise(export, cfg, UPPER_ELECTROFISHING)
+    out = normalise(export, cfg, upper)
     if correct is not None:
         out = correct(out)
     out = lookups.join_sites(out, sites, ["start_rm", "end_rm", "RiverSide", "reach"], on_duplicate)
@@ -87,7 +88,7 @@ def clean_electrofishing(
 def clean_backfilled(
     export: DataFrame, sites: DataFrame, cfg: TripConfig | None = None,
     correct: Correction | None = None, cutoff: datetime | None = None,
-    early_note: str | None = None, on_duplicate: str = "all",
+    early_note: str | None = None, on_duplicate: str = "all", upper: list[str] = UPPER_ELECTROFISHING,
 ) -> DataFrame:
     """As above for the reach with a slough: only monitoring sites are listed, and miles and
     sides missing from the list are backfilled. With a `cutoff`, work before it is recoded
@@ -95,7 +96,7 @@ def clean_backfilled(
     listed = sites.filter(F.col("type") == "monitoring").select(
         "S_SITE_ID", "side", "rm_start", "rm_end", *(["site_seq"] if on_duplicate == "first" else [])
     ).distinct()
-    out = normalise(export, cfg, UPPER_ELECTROFISHING)
+    out = normalise(export, cfg, upper)
     if correct is not None:
         out = correct(out)
     out = lookups.join_sites(out, listed, ["side", "rm_start", "rm_end"], on_duplicate)
@@ -117,32 +118,52 @@ def clean_backfilled(
     return _decoded(out)
 
 
-class ElectrofishingTables:
-    """SAMPLE and SPECIMEN tables of a cleaned electrofishing export.
+class _Tables:
+    """What the tables of all gears share: the stored cleaned export, and keys by trip or for one trip.
 
     Each table is planned when it is first asked for, so a job that wants only samples does not
     number specimens. `store` writes the cleaned export to the shared folder once and lets
-    everything else read it from there; leave it on when both tables are wanted.
+    everything else read it from there, pruned to the columns it needs.
+
+    With `many`, rows of several trips are kept apart by their trip id: keys are dense in each trip, behind
+    the offsets of `before`, a frame of (S_TRIP_ID, samples_before, specimens_before).
     """
 
+    def __init__(self, cleaned: DataFrame, cfg: TripConfig, unit: str, store: bool, many: bool):
+        self.cfg, self.unit, self.many = cfg, unit, many
+        self.keys = [TRIP, unit] if many else [unit]
+        self.before: DataFrame | None = None
+        self.cleaned = materialise(cleaned, "cleaned") if store else cleaned
+
+    def _number(self, rows: DataFrame, order: list[str], out: str, before: str) -> DataFrame:
+        if not self.many:
+            return ordering.number_rows(rows, order, out, getattr(self.cfg, before))
+        return ordering.number_within(rows, TRIP, order, out, self.before.select(TRIP, F.col(before).alias("before")))
+
+    def _trip(self) -> list[Column]:
+        """The trip beside rows that do not name it otherwise."""
+        return [F.col(TRIP).alias("trip")] if self.many else []
+
+
+class ElectrofishingTables(_Tables):
+    """SAMPLE and SPECIMEN tables of a cleaned electrofishing export."""
+
     order = ["SAMPLE_ID", "S_START_DATE_TIME", "ID", "S_RM_START", "S_RM_END"]
 
     def __init__(self, cleaned: DataFrame, cfg: TripConfig, side: str,
-                 water: DataFrame | None = None, store: bool = True):
-        self.cfg, self.side, self.water = cfg, side, water
-        keyed = cleaned.withColumn(VISIT, visit_key())
-        self.cleaned = materialise(keyed, "cleaned") if store else keyed
+                 water: DataFrame | None = None, store: bool = True, many: bool = False):
+        self.side, self.water = side, water
+        super().__init__(cleaned.withColumn(VISIT, visit_key()), cfg, VISIT, store, many)
 
     @cached_property
     def visits(self) -> DataFrame:
         """Key and catch of every visit to a site."""
-        totals = catch.total_catch(self.cleaned, [VISIT])
-        return ordering.number_rows(totals, [VISIT], "ACCESS_SAMPLE_ID", self.cfg.samples_before)
+        totals = catch.total_catch(self.cleaned, self.keys)
+        return self._number(totals, [VISIT], "ACCESS_SAMPLE_ID", "samples_before")
 
     def _key(self, rows: DataFrame) -> DataFrame:
-        numbered = ordering.number_rows(
-            rows, self.order, "ACCESS_FISH_ID", self.cfg.specimens_before)
-        return lookups.attach(numbered, self.visits, [VISIT])
+        numbered = self._number(rows, self.order, "ACCESS_FISH_ID", "specimens_before")
+        return lookups.attach(numbered, self.visits, self.keys)
 
     @cached_property
     def keyed(self) -> DataFrame:
@@ -151,22 +172,23 @@ class ElectrofishingTables:
 
     @cached_property
     def sample(self) -> DataFrame:
-        rows = tables.electrofishing_samples(self.cleaned, self.side).withColumn(VISIT, visit_key())
-        rows = lookups.attach(rows, self.visits, [VISIT])
-        return tables.sample_table_electrofishing(rows, self.side, self.water)
+        rows = tables.electrofishing_samples(self.cleaned, self.side, [VISIT])
+        rows = lookups.attach(rows, self.visits, self.keys)
+        made = tables.sample_table_electrofishing(rows, self.side, self.water)
+        return made.withColumn("trip", F.col("TRIP_ID")) if self.many else made
 
     @cached_property
     def specimen(self) -> DataFrame:
         """Built on `keyed` where that exists; else only the columns of the table are sorted."""
         if "keyed" in self.__dict__:
-            return tables.specimen_table(self.keyed)
-        narrow = self.cleaned.select(VISIT, *self.order, *tables.SPECIMEN_COLUMNS)
-        return tables.specimen_table(self._key(narrow))
+            return tables.specimen_table(self.keyed, extra=self._trip())
+        narrow = self.cleaned.select(*self.keys, *self.order, *tables.SPECIMEN_COLUMNS)
+        return tables.specimen_table(self._key(narrow), extra=self._trip())
 
 
 def clean_hoop(
     export: DataFrame, sites: DataFrame | None = None, cfg: TripConfig | None = None,
-    correct: Correction | None = None, earliest: datetime | None = None,
+    correct: Correction | None = None, earliest: datetime | Column | None = None,
     upper: list[str] = UPPER_HOOP,
 ) -> DataFrame:
     """Corrected hoop-net export with effort hours and the side taken from the site id.
@@ -193,7 +215,7 @@ def clean_hoop(
     })
 
 
-class HoopTables:
+class HoopTables(_Tables):
     """SAMPLE and SPECIMEN tables of a cleaned hoop-net export, planned when asked for.
 
     The catch of a net is that of its site. `key_by_site` numbers sites instead of lifts.
@@ -202,53 +224,55 @@ class HoopTables:
     """
 
     def __init__(self, cleaned: DataFrame, cfg: TripConfig, water: DataFrame | None = None,
-                 key_by_site: bool = False, with_hours: bool = True, keep_codes: bool = False,
-                 late_fixes: DataFrame | None = None, store: bool = True):
-        self.cfg, self.water, self.with_hours = cfg, water, with_hours
-        self.keep_codes, self.late_fixes = keep_codes, late_fixes
-        self.order = (
+                 key_by_site: bool | Column = False, with_hours: bool | Column = True,
+                 keep_codes: bool | Column = False, late_fixes: DataFrame | None = None, store: bool = True,
+                 many: bool = False, order: list[str] | None = None, flags: list[str] = ()):
+        self.water, self.with_hours = water, with_hours
+        self.keep_codes, self.late_fixes, self.late_layout = keep_codes, late_fixes, None
+        self.flags = list(flags)  # columns of settings that the tables still need
+        self.order = order or (
             ["SAMPLE_ID", "S_END_DATE_TIME", "ID"] if key_by_site
             else ["START_DATE", "S_CLIPBOARD", "S_END_DATE_TIME", "ID"])
-        self.net_key = (lambda: F.col("S_SITE_ID")) if key_by_site else boat_key
-        keyed = cleaned.withColumn(NET, self.net_key())
-        self.cleaned = materialise(keyed, "cleaned") if store else keyed
+        net = codes.pick(key_by_site, F.col("S_SITE_ID"), boat_key())
+        super().__init__(cleaned.withColumn(NET, net), cfg, NET, store, many)
 
     @cached_property
     def nets(self) -> DataFrame:
-        return ordering.dense_keys(
-            self.cleaned, [NET], "ACCESS_SAMPLE_ID", self.cfg.samples_before)
+        return self._number(self.cleaned.select(*self.keys).distinct(), [NET], "ACCESS_SAMPLE_ID", "samples_before")
 
     @cached_property
     def totals(self) -> DataFrame:
         return catch.total_catch(self.cleaned, ["S_TRIP_ID", "S_SITE_ID"])
 
     def _key(self, rows: DataFrame) -> DataFrame:
-        numbered = ordering.number_rows(
-            rows, self.order, "ACCESS_FISH_ID", self.cfg.specimens_before)
-        return lookups.attach(numbered, self.nets, [NET])
+        numbered = self._number(rows, self.order, "ACCESS_FISH_ID", "specimens_before")
+        return lookups.attach(numbered, self.nets, self.keys)
 
     @cached_property
     def keyed(self) -> DataFrame:
         keyed = self._key(self.cleaned)
         if self.late_fixes is not None:
-            keyed = corrections.apply_corrections(keyed, self.late_fixes)
+            keyed = corrections.apply_corrections(
+                keyed, self.late_fixes, self.late_layout, by=(TRIP,) if self.many else ())
         return keyed
 
     @cached_property
     def sample(self) -> DataFrame:
-        rows = tables.hoop_samples(self.cleaned).withColumn(NET, self.net_key())
-        rows = lookups.attach(rows, self.nets, [NET])
-        rows = lookups.attach(rows, self.totals, ["S_TRIP_ID", "S_SITE_ID"])
-        return tables.sample_table_hoop(rows, self.water, self.with_hours)
+        rows = tables.hoop_samples(self.cleaned, [NET, *self.flags])
+        rows = lookups.attach(rows, self.nets, self.keys)
+        rows = lookups.attach(rows, self.totals, [TRIP, "S_SITE_ID"])
+        made = tables.sample_table_hoop(rows, self.water, self.with_hours)
+        return made.withColumn("trip", F.col("TRIP_ID")) if self.many else made
 
     @cached_property
     def specimen(self) -> DataFrame:
         keyed = self.__dict__.get("keyed")
         if keyed is None and self.late_fixes is None:
-            keyed = self._key(self.cleaned.select(NET, *self.order, *tables.SPECIMEN_COLUMNS))
+            columns = [*self.keys, *self.order, *tables.SPECIMEN_COLUMNS, *self.flags]
+            keyed = self._key(self.cleaned.select(*columns))
         if keyed is None:
             keyed = self.keyed
-        return tables.specimen_table(keyed, self.keep_codes, blanks=False)
+        return tables.specimen_table(keyed, self.keep_codes, blanks=False, extra=self._trip())
 
 
 # Columns of the 2019 tables.
@@ -281,19 +305,17 @@ class LegacyTables:
 
 
 def write_trip(
-    out, cfg: TripConfig, one_file: bool = False, missing: str = "", export_missing: str | None = None,
+    out, cfg: TripConfig, one_file: bool = False, missing: str = "", export_missing: str | None = "",
 ) -> None:
-    """Both import tables and the corrected export; missing values are blank or as given, in the
-    corrected export as `export_missing` if that is given.
+    """Both import tables, with missing values as `missing`, and the corrected export, with missing values as
+    `export_missing`; none is written if that is None.
 
     `one_file` makes the single file per table that an import by hand needs; it is for one
     trip's worth of rows.
     """
-    parts = {
-        "_errorchecked.csv": getattr(out, "keyed", out.cleaned),  # first: specimens are cut from it
-        "_sample.csv": out.sample,
-        "_specimen.csv": out.specimen,
-    }
-    for name, df in parts.items():
-        marker = export_missing if export_missing is not None and name == "_errorchecked.csv" else missing
+    parts = {}
+    if export_missing is not None:  # first: specimens are cut from it
+        parts["_errorchecked.csv"] = out.keyed, export_missing
+    parts |= {"_sample.csv": (out.sample, missing), "_specimen.csv": (out.specimen, missing)}
+    for name, (df, marker) in parts.items():
         write_delimited(df, cfg.output_path(name), missing=marker, one_file=one_file)

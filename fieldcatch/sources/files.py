@@ -149,10 +149,12 @@ def canonical_water(raw: DataFrame) -> DataFrame:
 
 def write_delimited(
     df: DataFrame, path: str, missing: str = "", sep: str = ",", one_file: bool = False,
-    partition_by: tuple[str, ...] = (),
+    partition_by: tuple[str, ...] = (), replace: bool = False,
 ) -> None:
     """Write with a header; missing values as `missing` and blank text as quoted blank.
 
+    `replace` overwrites what is there: with `partition_by` only the partitions that `df` has rows of.
+
     `one_file` is for the hand-off of a single trip; leave it out at scale and partition by trip.
     Rows are then gathered by partition before the write, which keeps the number of files
     down; adaptive execution splits a partition that is too large for one task.
@@ -166,4 +168,6 @@ def write_delimited(
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by else "static")
     writer.csv(path)
