@@ -194,9 +194,9 @@ def tables_of(spark: SparkSession, presets: list[Preset], export, sites: str | N
     return out
 
 
-def sizes(out, gear: str) -> DataFrame:
-    """(trip, gear, n_samples, n_specimens): the keys each trip of a job needs."""
-    counted = out.cleaned.groupBy(F.col(TRIP).alias("trip"), out.unit).agg(F.count(F.lit(1)).alias("_n"))
+def sizes(cleaned: DataFrame, unit: str, gear: str) -> DataFrame:
+    """(trip, gear, n_samples, n_specimens): the keys each trip of a job needs, a sample for each `unit`."""
+    counted = cleaned.groupBy(F.col(TRIP).alias("trip"), unit).agg(F.count(F.lit(1)).alias("_n"))
     return counted.groupBy("trip").agg(
         F.count(F.lit(1)).alias("n_samples"), F.sum("_n").cast("bigint").alias("n_specimens")
     ).withColumn("gear", F.lit(gear))
@@ -215,7 +215,7 @@ def run_trips(spark: SparkSession, presets: list[Preset], output_dir: str, expor
         register = os.path.join(output_dir, "_loads")
         taken = None
         if continue_keys:
-            taken = loads.register(sizes(out, gear), register)
+            taken = loads.register(sizes(out.cleaned, out.unit, gear), register)
             out.before = taken.select(F.col("trip").alias(TRIP), "samples_before", "specimens_before")
         for marker in sorted({p.missing for p in presets}):
             ids = [p.config.trip_id for p in presets if p.missing == marker]

@@ -14,10 +14,11 @@ from fieldcatch.operators.corrections import apply_corrections
 from fieldcatch.plans import report, trip
 from fieldcatch.runtime import fresh_path
 from fieldcatch.sources import files
-from fieldcatch.workload.adapter import CORRECTIONS_LAYOUT, REPORT_SAMPLES
+from fieldcatch.workload.adapter import CORRECTIONS_LAYOUT, REPORT_SAMPLES, SPECIMEN_SIDE
 from fieldcatch.workload.registry import query
 from fieldcatch.workload.scalars import SQL_FISH
 
+SPECIMEN_ID = SPECIMEN_SIDE["ID"]
 _CFG = TripConfig("GC20210403", samples_before=175, specimens_before=1536)
 _TAG = "CASE WHEN RECAP_YES_NO IN ('BY', 'PY') THEN 'Y' WHEN RECAP_YES_NO IN ('BN', 'FY') THEN 'N' {other} END"
 _CLIP = "CASE WHEN RECAP_YES_NO IN ('BY', 'FY') THEN 'Y' WHEN RECAP_YES_NO IN ('BN', 'PY') THEN 'N' {other} END"
@@ -45,7 +46,7 @@ def _sites(t):
 
 def _electrofishing(t):
     cleaned = trip.clean_electrofishing(t.export, _sites(t), _CFG)
-    return trip.ElectrofishingTables(cleaned, _CFG, "RiverSide", t.water, store=False)
+    return trip.ElectrofishingTables(cleaned, _CFG, "RiverSide", t.water)
 
 
 def _sample_sql(side: str, water: bool) -> str:
@@ -100,7 +101,7 @@ v AS (SELECT visit, dense_rank() OVER (ORDER BY visit) + 175 AS ACCESS_SAMPLE_ID
 def _(t):
     cleaned = trip.clean_backfilled(
         t.export, t.sites, _CFG, cutoff=datetime(1998, 3, 8, 22, 15), early_note="rate set too low")
-    return trip.ElectrofishingTables(cleaned, _CFG, "S_SIDE", store=False).sample
+    return trip.ElectrofishingTables(cleaned, _CFG, "S_SIDE").sample
 
 
 # Hoop nets.
@@ -119,7 +120,7 @@ _HOOP_CFG = TripConfig("GC20200621", samples_before=267, specimens_before=2686)
 
 def _hoop(t, **options):
     cleaned = trip.clean_hoop(t.export, cfg=_HOOP_CFG, earliest=datetime(1996, 1, 1, 1, 1, 1))
-    return trip.HoopTables(cleaned, _HOOP_CFG, t.water, store=False, **options)
+    return trip.HoopTables(cleaned, _HOOP_CFG, t.water, **options)
 
 
 @query("sample_table_hoop", f"""WITH {_HOOP}
