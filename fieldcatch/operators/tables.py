@@ -42,6 +42,11 @@ _RENAMED = {
 }
 
 
+def sample_columns(gear_columns: str, side: str | None = None) -> list[str]:
+    """What samples are made of, for a job that stores no more than it needs."""
+    return [*([side] if side else []), *(_HOOP if gear_columns == "hoop" else _ELECTROFISHING), "SPECIES"]
+
+
 def electrofishing_samples(export: DataFrame, side: str, extra: list[str] = ()) -> DataFrame:
     """Distinct samples, still under the export's names, with `extra` columns that follow from the others."""
     return export.select(side, *_ELECTROFISHING, *extra).distinct()

@@ -123,16 +123,20 @@ class _Tables:
 
     Each table is planned when it is first asked for, so a job that wants only samples does not
     number specimens. `store` writes the cleaned export to the shared folder once and lets
-    everything else read it from there, pruned to the columns it needs.
+    everything else read it from there, pruned to the columns it needs. Where `only` names the one table that
+    is wanted, `sample` or `specimen`, no other columns are stored.
 
     With `many`, rows of several trips are kept apart by their trip id: keys are dense in each trip, behind
     the offsets of `before`, a frame of (S_TRIP_ID, samples_before, specimens_before).
     """
 
-    def __init__(self, cleaned: DataFrame, cfg: TripConfig, unit: str, store: bool, many: bool):
+    def __init__(self, cleaned: DataFrame, cfg: TripConfig, unit: str, store: bool, many: bool,
+                 needs: dict[str, list[str]], only: str | None):
         self.cfg, self.unit, self.many = cfg, unit, many
         self.keys = [TRIP, unit] if many else [unit]
         self.before: DataFrame | None = None
+        if only:
+            cleaned = cleaned.select(*dict.fromkeys([TRIP, unit, *needs[only]]))
         self.cleaned = materialise(cleaned, "cleaned") if store else cleaned
 
     def _number(self, rows: DataFrame, order: list[str], out: str, before: str) -> DataFrame:
@@ -151,9 +155,11 @@ class ElectrofishingTables(_Tables):
     order = ["SAMPLE_ID", "S_START_DATE_TIME", "ID", "S_RM_START", "S_RM_END"]
 
     def __init__(self, cleaned: DataFrame, cfg: TripConfig, side: str,
-                 water: DataFrame | None = None, store: bool = True, many: bool = False):
+                 water: DataFrame | None = None, store: bool = True, many: bool = False, only: str | None = None):
         self.side, self.water = side, water
-        super().__init__(cleaned.withColumn(VISIT, visit_key()), cfg, VISIT, store, many)
+        needs = {"sample": tables.sample_columns("electrofishing", side),
+                 "specimen": [*self.order, *tables.SPECIMEN_COLUMNS]}
+        super().__init__(cleaned.withColumn(VISIT, visit_key()), cfg, VISIT, store, many, needs, only)
 
     @cached_property
     def visits(self) -> DataFrame:
@@ -226,7 +232,7 @@ class HoopTables(_Tables):
     def __init__(self, cleaned: DataFrame, cfg: TripConfig, water: DataFrame | None = None,
                  key_by_site: bool | Column = False, with_hours: bool | Column = True,
                  keep_codes: bool | Column = False, late_fixes: DataFrame | None = None, store: bool = True,
-                 many: bool = False, order: list[str] | None = None, flags: list[str] = ()):
+                 many: bool = False, order: list[str] | None = None, flags: list[str] = (), only: str | None = None):
         self.water, self.with_hours = water, with_hours
         self.keep_codes, self.late_fixes, self.late_layout = keep_codes, late_fixes, None
         self.flags = list(flags)  # columns of settings that the tables still need
@@ -234,7 +240,9 @@ class HoopTables(_Tables):
             ["SAMPLE_ID", "S_END_DATE_TIME", "ID"] if key_by_site
             else ["START_DATE", "S_CLIPBOARD", "S_END_DATE_TIME", "ID"])
         net = codes.pick(key_by_site, F.col("S_SITE_ID"), boat_key())
-        super().__init__(cleaned.withColumn(NET, net), cfg, NET, store, many)
+        needs = {"sample": [*tables.sample_columns("hoop"), *self.flags],
+                 "specimen": [*self.order, *tables.SPECIMEN_COLUMNS, *self.flags]}
+        super().__init__(cleaned.withColumn(NET, net), cfg, NET, store, many, needs, only)
 
     @cached_property
     def nets(self) -> DataFrame:

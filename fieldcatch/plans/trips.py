@@ -120,7 +120,8 @@ def _layout(presets: list[Preset], late: bool) -> list[tuple[int, str, str]]:
     })
 
 
-def many_hoop_tables(cleaned: DataFrame, water: DataFrame | None = None, store: bool = True) -> trip.HoopTables:
+def many_hoop_tables(cleaned: DataFrame, water: DataFrame | None = None, store: bool = True,
+                     only: str | None = None) -> trip.HoopTables:
     """`HoopTables` whose options come from the settings of each trip, which `cleaned` carries."""
     by_site = F.col("_key_by_site")
     ordered = cleaned.withColumns({
@@ -130,6 +131,7 @@ def many_hoop_tables(cleaned: DataFrame, water: DataFrame | None = None, store:
     return trip.HoopTables(
         ordered, config.TripConfig(""), water, by_site, F.col("_with_hours"), F.col("_keep_codes"), store=store,
         many=True, order=["_order_1", "_order_2", "S_END_DATE_TIME", "ID"], flags=["_with_hours", "_keep_codes"],
+        only=only,
     )
 
 

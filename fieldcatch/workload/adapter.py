@@ -195,10 +195,12 @@ class Tables:
 
     def _specimens(self, columns: dict[str, str]) -> DataFrame:
         """Specimens with their sample. Each side is projected before the join: sample columns
-        are computed once per sample, and neither projection outgrows the code generator."""
-        orders = self._project(self.table("orders"), {
+        are computed once per sample, and neither projection outgrows the code generator. Both are dealt out
+        by the key of the join first, so the shuffle moves the tables' own short columns, and the texts made
+        of them are computed in as many tasks as the shuffle has, however few files there are."""
+        orders = self._project(self.table("orders").repartition("o_orderkey"), {
             "o_orderkey": "o_orderkey", **{n: e for n, e in columns.items() if n in SAMPLE_SIDE}})
-        items = self._project(self.table("lineitem"), {
+        items = self._project(self.table("lineitem").repartition("l_orderkey"), {
             "l_orderkey": "l_orderkey", **{n: e for n, e in columns.items() if n in SPECIMEN_SIDE}})
         return items.join(orders, items["l_orderkey"] == orders["o_orderkey"]).select(*columns)
 

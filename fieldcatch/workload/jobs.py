@@ -44,9 +44,9 @@ def _sites(t):
     return trip.end_miles(t.sites.select("S_SITE_ID", "site_seq", "RiverSide", "start_rm", "reach"))
 
 
-def _electrofishing(t):
+def _electrofishing(t, only):
     cleaned = trip.clean_electrofishing(t.export, _sites(t), _CFG)
-    return trip.ElectrofishingTables(cleaned, _CFG, "RiverSide", t.water)
+    return trip.ElectrofishingTables(cleaned, _CFG, "RiverSide", t.water, only=only)
 
 
 def _sample_sql(side: str, water: bool) -> str:
@@ -63,7 +63,7 @@ FROM d JOIN v USING (visit){" LEFT JOIN water w ON w.START_DATE = strftime(S_STA
 
 @query("sample_table_ef", f"WITH {_EF} {_sample_sql('RiverSide', True)}")
 def _(t):
-    return _electrofishing(t).sample
+    return _electrofishing(t, "sample").sample
 
 
 _SPECIMEN = f"""SELECT row_number() OVER (ORDER BY SAMPLE_ID, S_START_DATE_TIME, ID, S_RM_START, S_RM_END) + 1536 AS ACCESS_FISH_ID,
@@ -75,7 +75,7 @@ _SPECIMEN = f"""SELECT row_number() OVER (ORDER BY SAMPLE_ID, S_START_DATE_TIME,
 
 @query("specimen_table", f"WITH {_EF} {_SPECIMEN}")
 def _(t):
-    return _electrofishing(t).specimen
+    return _electrofishing(t, "specimen").specimen
 
 
 # The reach with a slough: recoded sample types, notes and backfilled miles, no water table.
@@ -101,7 +101,7 @@ v AS (SELECT visit, dense_rank() OVER (ORDER BY visit) + 175 AS ACCESS_SAMPLE_ID
 def _(t):
     cleaned = trip.clean_backfilled(
         t.export, t.sites, _CFG, cutoff=datetime(1998, 3, 8, 22, 15), early_note="rate set too low")
-    return trip.ElectrofishingTables(cleaned, _CFG, "S_SIDE").sample
+    return trip.ElectrofishingTables(cleaned, _CFG, "S_SIDE", only="sample").sample
 
 
 # Hoop nets.
@@ -134,7 +134,7 @@ SELECT DISTINCT v.ACCESS_SAMPLE_ID, S_SITE_ID AS DATASHEET_SAMPLE_ID, 'GC2020062
   S_SUBSTRATE AS SUBSTRATE_CODE, S_COVER AS COVER_CODE, S_SAMPLE_NOTES AS SAMPLE_NOTES, w.TURBIDITY_NTU, w.WATER_TEMP
 FROM d JOIN v USING (net) JOIN c USING (S_SITE_ID) LEFT JOIN water w ON w.START_DATE = day""")
 def _(t):
-    return _hoop(t).sample
+    return _hoop(t, only="sample").sample
 
 
 @query("specimen_table_hoop", f"""WITH {_HOOP}
@@ -144,7 +144,7 @@ SELECT row_number() OVER (ORDER BY day, S_CLIPBOARD, S_END_DATE_TIME, ID) + 2686
   {_TAG.format(other='ELSE RECAP_YES_NO')} AS PITTAG_RECAP, FISH_TAG AS PITTAG, DISPOSITION AS DISPOSITION_CODE, SPECIMEN_NOTES
 FROM d JOIN v USING (net)""")
 def _(t):
-    return _hoop(t, keep_codes=True).specimen
+    return _hoop(t, keep_codes=True, only="specimen").specimen
 
 
 # The 2019 format.

@@ -43,10 +43,11 @@ _EF = jobs._EF.replace("'GC20210403' AS S_TRIP_ID", f"upper({TRIP}) AS {TRIP}").
 ).replace("FROM d GROUP BY visit", f"FROM d GROUP BY {TRIP}, visit")
 
 
-def _electrofishing(t):
+def _electrofishing(t, only):
     settings = _settings(t)
     out = trip.ElectrofishingTables(
-        trips.clean_many_electrofishing(_rows(t), settings, jobs._sites(t)), TripConfig(""), "RiverSide", t.water, many=True)
+        trips.clean_many_electrofishing(_rows(t), settings, jobs._sites(t)), TripConfig(""), "RiverSide", t.water, many=True,
+        only=only)
     out.before = settings.select(TRIP, "samples_before", "specimens_before")
     return out
 
@@ -54,14 +55,14 @@ def _electrofishing(t):
 @query("trips_sample_table", f"""WITH {_EF}
 SELECT s.*, TRIP_ID AS trip FROM ({jobs._sample_sql('RiverSide', True).replace('USING (visit)', f'USING ({TRIP}, visit)')}) s""")
 def _(t):
-    return _electrofishing(t).sample
+    return _electrofishing(t, "sample").sample
 
 
 @query("trips_specimen_table", f"""WITH {_EF} {jobs._SPECIMEN.replace('USING (visit)', f'USING ({TRIP}, visit)').replace(
     'row_number() OVER (ORDER BY', f'row_number() OVER (PARTITION BY {TRIP} ORDER BY').replace('+ 1536', f'+ {_YEAR} * 10').replace(
     'FROM d JOIN', f', {TRIP} AS trip FROM d JOIN')}""")
 def _(t):
-    return _electrofishing(t).specimen
+    return _electrofishing(t, "specimen").specimen
 
 
 # Hoop nets whose trips differ in year repair, keys, hours and codes.
@@ -78,9 +79,9 @@ c AS (SELECT {TRIP}, S_SITE_ID, {jobs._CAUGHT} AS TOTAL_CATCH FROM d GROUP BY {T
 """
 
 
-def _hoop(t):
+def _hoop(t, only):
     settings = _settings(t)
-    out = trips.many_hoop_tables(trips.clean_many_hoop(_rows(t), settings), t.water)
+    out = trips.many_hoop_tables(trips.clean_many_hoop(_rows(t), settings), t.water, only=only)
     out.before = settings.select(TRIP, "samples_before", "specimens_before")
     return out
 
@@ -96,7 +97,7 @@ SELECT DISTINCT v.ACCESS_SAMPLE_ID, S_SITE_ID AS DATASHEET_SAMPLE_ID, {TRIP} AS
   S_SUBSTRATE AS SUBSTRATE_CODE, S_COVER AS COVER_CODE, S_SAMPLE_NOTES AS SAMPLE_NOTES, w.TURBIDITY_NTU, w.WATER_TEMP, {TRIP} AS trip
 FROM d JOIN v USING ({TRIP}, net) JOIN c USING ({TRIP}, S_SITE_ID) LEFT JOIN water w ON w.START_DATE = day""")
 def _(t):
-    return _hoop(t).sample
+    return _hoop(t, "sample").sample
 
 
 def _kept(template: str) -> str:
@@ -114,7 +115,7 @@ SELECT row_number() OVER (PARTITION BY {TRIP} ORDER BY CASE WHEN {_SETTINGS['key
   {_kept(jobs._TAG)} AS PITTAG_RECAP, FISH_TAG AS PITTAG, DISPOSITION AS DISPOSITION_CODE, SPECIMEN_NOTES, {TRIP} AS trip
 FROM d JOIN v USING ({TRIP}, net)""")
 def _(t):
-    return _hoop(t).specimen
+    return _hoop(t, "specimen").specimen
 
 
 # Trips of 1997 are held with room to spare and keep their keys; the others are new.
