@@ -107,41 +107,73 @@ def neighbour(
     ])
 
 
+#: Groups of fewer values are ordered whole; larger ones only near the wanted positions. The sketch that tells
+#: what is near is wrong by at most one part in so many.
+ACCURACY = 10_000
+
+
 def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles per group, interpolated linearly between neighbouring values.
 
-    Equal values are counted first; the counts are then summed along the order, so that the
-    values around each wanted position can be picked by their running total.
+    A mergeable sketch, reduced before the shuffle, brackets each wanted position by values two errors away on
+    either side, so the position is certain to lie inside. Values below a bracket are only counted; the
+    few inside are counted by value and put in order. Values are stored once and read twice.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    placed = _place(counted, [*groups, value])
-    sizes = placed.groupBy(_RANGE).agg(F.sum("_n").alias("_size"))
-    inside = Window.partitionBy(_RANGE).orderBy(_PLACE)
-    running = placed.withColumn("_upto", F.sum("_n").over(inside)).join(
-        _start_of_ranges(sizes), _RANGE
+    values = materialise(df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v")), "values")
+    names, step = list(probs), 2 / ACCURACY
+    edges = [min(max(p + side * step, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    sketch = values.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", edges, ACCURACY).alias("_edges"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
-    running = running.withColumn("_upto", F.col("_upto") + F.col(_BEFORE)).select(
-        *groups, value, (F.col("_upto") - F.col("_n")).alias("_from"), "_upto"
-    )
-    if groups:
-        span = running.groupBy(*groups).agg(
-            F.min("_from").alias("_first"), (F.max("_upto") - F.min("_from")).alias("_total")
-        )
-        located = attach(running, span, groups)
-    else:
-        total = placed.agg(F.sum("_n")).scalar()
-        located = running.withColumns({"_first": F.lit(0), "_total": total})
+    whole = F.col("_total") < ACCURACY
+    brackets = sketch.select(*groups, "_total", *[
+        F.when(whole, F.col(end)).otherwise(F.col("_edges")[2 * i + k]).alias(f"_{side}_{i}")
+        for i in range(len(names)) for k, (side, end) in enumerate((("lo", "_min"), ("hi", "_max")))
+    ])
+    seen = attach(values, brackets, groups) if groups else values.join(F.broadcast(brackets))  # one row
+    # a value counts once for each position it lies below, and goes on for each it is near
+    near = F.array_compact(F.array(*[
+        F.when(F.col("_v") <= F.col(f"_hi_{i}"), F.struct(
+            F.lit(i).alias("i"), F.when(F.col("_v") >= F.col(f"_lo_{i}"), F.col("_v")).alias("v"))) for i in range(len(names))
+    ]))
+    counted = seen.select(*groups, "_total", F.explode(near).alias("_c")).groupBy(*groups, "_c").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total")
+    ).select(*groups, "_c.i", "_c.v", "_n", "_total")
+    # what lies below a bracket is one row of value null, which comes first
+    along = Window.partitionBy(*groups, "i").orderBy(F.col("v").asc_nulls_first())
+    running = counted.withColumn("_upto", F.sum("_n").over(along)).withColumn("_from", F.col("_upto") - F.col("_n"))
     picks, results = [], []
-    for name, p in probs.items():
-        at = F.col("_first") + (F.col("_total") - 1) * F.lit(p)
+    for i, (name, p) in enumerate(probs.items()):
+        at = (F.col("_total") - 1) * F.lit(p)
         low = F.floor(at)
-        high = F.least(low + 1, F.col("_first") + F.col("_total") - 1)
-        for side, index in (("lo", low), ("hi", high)):
-            holds = (F.col("_from") <= index) & (index < F.col("_upto"))
-            picks.append(F.max(F.when(holds, F.col(value).cast("double"))).alias(f"_{side}_{name}"))
+        for side, index in (("lo", low), ("hi", F.least(low + 1, F.col("_total") - 1))):
+            holds = (F.col("i") == i) & (F.col("_from") <= index) & (index < F.col("_upto"))
+            picks.append(F.max(F.when(holds, F.col("v").cast("double"))).alias(f"_{side}_{name}"))
         picks.append(F.max(at - low).alias(f"_w_{name}"))
         lo, hi, w = (F.col(f"_{part}_{name}") for part in ("lo", "hi", "w"))
         results.append((lo + (hi - lo) * w).alias(name))
-    return located.groupBy(*groups).agg(*picks).select(*groups, *results)
+    return running.groupBy(*groups).agg(*picks).select(*groups, *results)
+
+
+#: Bits of the filter that tells keys that may repeat, and of one row of it.
+FILTER_BITS, ROW_BITS = 1 << 26, 1 << 15
+
+
+def maybe_repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key stands in two rows or more, and a few others.
+
+    Hashes of keys are counted first, reduced before the shuffle; those met twice set a bit of a filter of fixed size
+    (at most 2048 rows of 4 kB), which is sent to every task. So no row of a unique key is shuffled.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    twice = rows.groupBy(F.xxhash64(key).alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
+        F.pmod("_h", F.lit(FILTER_BITS)).alias("_p")
+    )
+    bits = twice.groupBy(F.floor(F.col("_p") / ROW_BITS).alias("_row")).agg(
+        F.bitmap_construct_agg(F.col("_p") % ROW_BITS).alias("_bits")
+    )
+    placed = rows.withColumns({"_row": F.floor(place / ROW_BITS), "_bit": place % ROW_BITS})
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    on = byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 AS int))")) > 0
+    return placed.join(F.broadcast(bits), "_row").filter(on).select(*rows.columns)
