@@ -2,8 +2,10 @@
 
 A document's tokens are the hashes of its distinct word shingles. Two documents that are similar enough must
 share a token among their first few in any common order of tokens; here tokens that a sketch of the
-whole corpus finds more frequent come later. Documents joined by such shared tokens, without a gap in size
-between them that no link can bridge, form candidate sets, and all links lie inside them.
+whole corpus finds more frequent come later. The documents that have a token so, without a gap in size
+between them that no link can bridge, are a run. Two that meet in short runs only are candidates if they share so
+many of these tokens that the rest can make up the overlap; in a long run all are. What candidates connect is
+a candidate set, and all links lie inside one.
 
 Inside a set documents are taken in turn and put into groups of similar ones; the matrix tells in
 which groups' token unions a token occurs. A document's overlap with a group's union bounds its overlap with
@@ -28,17 +30,21 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcatch.llm.components import components
-from fieldcatch.runtime import materialise
+from fieldcatch.runtime import drop_stored, materialise, stored_paths
 
 #: Counters of the frequency sketch, and counters per row it is written in. The sketch only sets the order
 #: of tokens: with any counts the result is the same, with good ones there are fewer candidates.
 SKETCH_BITS, CHUNK_BITS = 22, 18
 #: Buckets of the filter that picks the texts to read again.
 PICK_BITS = 22
+#: Documents of a run whose pairs are counted one by one.
+SHORT = 32
+#: Documents whose token sets are handed on at once.
+SLICE = 256
 #: Documents compared in one task; larger candidate sets are split, and each part meets the hubs.
 BLOCK, HUBS = 512, 16
 #: Classes a task remembers so as not to send the tokens of copies again.
@@ -59,6 +65,14 @@ class Threshold:
         """Least number of common tokens of a set of `n` with any it is linked with."""
         return -(-self.percent * n // 100)
 
+    def least_shared(self, n: Column, m: Column) -> Column:
+        """Least number of first tokens that linked sets of `n` and `m` tokens share, as far as runs tell.
+
+        Tokens behind the first ones of the larger set can add one less than its `overlap`.
+        """
+        needed = F.ceil(self.percent * (n + m) / (100 + self.percent))
+        return needed - F.ceil(self.percent * F.greatest(n, m) / 100) + 1
+
     def linked(self, common: int, n: int, m: int) -> bool:
         return 100 * common >= self.percent * (n + m - common)
 
@@ -178,6 +192,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, rule: Threshold, text: str) -> Dat
                 found = tokens(body, rule.words)
                 if len(found):
                     rows.append((key, len(found), found.tobytes()))
+                if len(rows) == SLICE:
+                    yield pd.DataFrame(rows, columns=["doc_id", "n", "tokens"])
+                    rows = []
             yield pd.DataFrame(rows, columns=["doc_id", "n", "tokens"])
 
     read_again = docs.filter("doc_id IS NOT NULL").select(
@@ -261,13 +278,13 @@ def _linked(tasks: DataFrame, rule: Threshold) -> DataFrame:
     return tasks.select("task", "doc_id", "tokens").groupBy("task").applyInPandas(open_, "a bigint, b bigint")
 
 
-def _linked_large(large: DataFrame, runs: DataFrame, rule: Threshold) -> DataFrame:
+def _linked_large(large: DataFrame, near: DataFrame, long: DataFrame, rule: Threshold) -> DataFrame:
     """Links of the candidate sets that are too large for one task.
 
     Every part of such a set also meets the documents most others were found by, which connects
     nearly all of a group of copies. What is connected then is a group; a document visits the groups
-    of which some member shares one of its first tokens, and no others. `runs` are those tokens:
-    (token, _run, doc_id). Groups and their visitors are split where they are many.
+    of which some member is its candidate, and no others. `near` are the candidates of short runs, (a, b),
+    `long` the long runs, (token, _run, doc_id). Groups and their visitors are split where they are many.
     """
     task = F.xxhash64("set_id", "_block")
     by_degree = Window.partitionBy("set_id").orderBy(F.desc("_degree"), "doc_id")
@@ -280,10 +297,17 @@ def _linked_large(large: DataFrame, runs: DataFrame, rule: Threshold) -> DataFra
     known = materialise(large.select("doc_id").distinct().join(
         components(first).withColumnRenamed("node", "doc_id"), "doc_id", "left"
     ).select("doc_id", F.coalesce("label", "doc_id").alias("label")), "known")
-    marks = runs.join(known, "doc_id")
+    marks = long.join(known, "doc_id")
     groups = marks.select("token", "_run", F.col("label").alias("group")).distinct()
+    told = near.join(known.withColumnsRenamed({"doc_id": "a", "label": "_la"}), "a").join(
+        known.withColumnsRenamed({"doc_id": "b", "label": "_lb"}), "b"
+    ).filter("_la <> _lb").select(
+        F.when(F.col("_la") > F.col("_lb"), F.col("a")).otherwise(F.col("b")).alias("doc_id"),
+        F.least("_la", "_lb").alias("group"),
+    )
     visits = materialise(
-        marks.join(groups, ["token", "_run"]).filter("group < label").select("doc_id", "group").distinct(), "visits"
+        marks.join(groups, ["token", "_run"]).filter("group < label").select("doc_id", "group").unionByName(told).distinct(),
+        "visits",
     )
     guests = visits.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_asks"))
     plan = guests.join(
@@ -305,11 +329,13 @@ def _linked_large(large: DataFrame, runs: DataFrame, rule: Threshold) -> DataFra
 
 def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) of every row."""
+    before = stored_paths(docs.sparkSession)
     meta = materialise(_meta(docs, rule, text), "meta")
     rows = meta.filter("chunk < 0").select(F.col("doc_id").cast("bigint").alias("doc_id"), "n", "s1", "s2")
     classes = materialise(
         rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("head")), "classes"
     )
+    needed = stored_paths(docs.sparkSession)
     levels = _levels(meta.filter("chunk >= 0").select("chunk", "counts"))
     # along a token's documents, by size: where the next is too large for a link, a new run begins
     by_size = Window.partitionBy("token").orderBy("n", "s1", "s2")
@@ -317,18 +343,27 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
     breaks = (F.lag("n").over(by_size) < F.lit(rule.percent) * F.col("n") / 100).cast("int")
     # a row without an id is in no class and must not begin a run
     named = docs.filter(F.col("doc_id").cast("bigint").isNotNull())
-    runs = materialise(_prefixes(named, rule, levels, text).repartition("token").withColumn("_break", F.coalesce(breaks, F.lit(0))).withColumn(
+    met = _prefixes(named, rule, levels, text).repartition("token").groupBy("token", "s1", "s2").agg(F.max("n").alias("n"))
+    runs = materialise(met.withColumn("_break", F.coalesce(breaks, F.lit(0))).withColumn(
         "_run", F.sum("_break").over(by_size)
-    ).withColumns({
-        "_low": F.min(F.struct("n", "s1", "s2")).over(run), "_high": F.max(F.struct("n", "s1", "s2")).over(run),
-    }).filter("_low <> _high").select(
-        "token", "_run", "s1", "s2", F.col("_low.s1").alias("h1"), F.col("_low.s2").alias("h2")
+    ).withColumn("_many", F.count(F.lit(1)).over(run)).filter("_many > 1").join(classes, ["s1", "s2"]).select(
+        "token", "_run", "_many", F.col("head").alias("doc_id"), "n"
     ), "runs")
-    shared = runs.select("s1", "s2", "h1", "h2").distinct()
-    heads = classes.withColumnsRenamed({"s1": "h1", "s2": "h2", "head": "b"})
-    pairs = materialise(
-        shared.join(classes, ["s1", "s2"]).join(heads, ["h1", "h2"]).select(F.col("head").alias("a"), "b"), "pairs"
+    short = runs.filter(F.col("_many") <= SHORT).groupBy("token", "_run").agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "n"))).alias("_met")
+    ).select(F.explode("_met").alias("_x"), "_met").select(
+        "_x", F.explode(F.filter("_met", lambda y: y["doc_id"] > F.col("_x.doc_id"))).alias("_y")
+    ).groupBy(F.col("_x.doc_id").alias("a"), F.col("_y.doc_id").alias("b")).agg(
+        F.count(F.lit(1)).alias("_shared"), F.max("_x.n").alias("_n"), F.max("_y.n").alias("_m")
+    )
+    bridged = 100 * F.least("_n", "_m") >= rule.percent * F.greatest("_n", "_m")
+    near = materialise(
+        short.filter(bridged & (F.col("_shared") >= rule.least_shared(F.col("_n"), F.col("_m")))).select("a", "b"), "near"
     )
+    long = runs.filter(F.col("_many") > SHORT).select("token", "_run", "doc_id", "n")
+    hub = long.groupBy("token", "_run").agg(F.min(F.struct("n", "doc_id"))["doc_id"].alias("b"))
+    stars = long.join(hub, ["token", "_run"]).filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
+    pairs = materialise(near.unionByName(stars), "pairs")
     sets_of = components(pairs).select(F.col("node").alias("doc_id"), F.col("label").alias("set_id"))
     degree = pairs.groupBy(F.col("b").alias("doc_id")).agg(F.count(F.lit(1)).alias("_degree"))
     size = sets_of.groupBy("set_id").agg(F.count(F.lit(1)).alias("_size"))
@@ -342,9 +377,11 @@ def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "te
     if size.filter(F.col("_size") > BLOCK).limit(1).count():
         large = materialise(_sets(docs, wanted.filter(F.col("_size") > BLOCK), rule, text), "sets")
         links = materialise(links, "links").unionByName(
-            _linked_large(large, runs.join(classes, ["s1", "s2"]).select("token", "_run", F.col("head").alias("doc_id")), rule)
+            _linked_large(large, near, long.drop("n"), rule)
         )
+    held = stored_paths(docs.sparkSession)
     labels = components(links).withColumnRenamed("node", "head")
+    drop_stored(docs.sparkSession, keep=before | needed | (stored_paths(docs.sparkSession) - held))
     return rows.join(classes, ["s1", "s2"], "left").join(labels, "head", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("label", "head")).otherwise(F.col("doc_id")).alias("component_id"),
