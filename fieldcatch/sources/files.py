@@ -5,7 +5,8 @@ the type of a column and never loses a row; `scan_rejects` lists the values that
 A path may be a glob or a folder: many trips are read in one scan.
 
 `multiline` lets quoted fields hold line breaks, as notes do. A file is then read by one task, which suits
-exports of a trip each. Without it Spark splits large files at line ends, and `scan_malformed` returns
+exports of a trip each; as "split" large files are read by many tasks all the same (`quoted`), and a quote must
+not stand alone in a field. Without it Spark splits large files at line ends, and `scan_malformed` returns
 the lines that do not fit the header.
 """
 
@@ -19,9 +20,12 @@ from pyspark.sql import functions as F
 from fieldcatch import schemas
 from fieldcatch.functions.text import blanks_missing, keep_blanks, without
 from fieldcatch.operators.columns import clean_header
+from fieldcatch.runtime import materialise
+from fieldcatch.sources import quoted
 
 
 _LINE = "_malformed"
+_FILE = "_file"
 
 
 def _reader(spark: SparkSession, sep: str, multiline: bool):
@@ -29,15 +33,17 @@ def _reader(spark: SparkSession, sep: str, multiline: bool):
     return reader.option("multiLine", multiline)
 
 
-def _read_text(spark: SparkSession, path, sep: str, multiline: bool = True) -> DataFrame:
+def _read_text(spark: SparkSession, path, sep: str, multiline: bool | str = True) -> DataFrame:
+    if multiline == "split":
+        return clean_header(quoted.read_text(spark, path, sep, _FILE))
     reader = _reader(spark, sep, multiline)
     header = reader.csv(path).columns
     # A stated schema makes Spark compare the header of every file with it.
     named = reader.option("enforceSchema", False).schema(schemas.as_text([(c,) for c in header]))
-    return clean_header(named.csv(path))
+    return clean_header(named.csv(path).withColumn(_FILE, F.input_file_name()))
 
 
-def _read_columns(spark: SparkSession, path, columns, sep: str, multiline: bool = True) -> DataFrame:
+def _read_columns(spark: SparkSession, path, columns, sep: str, multiline: bool | str = True) -> DataFrame:
     return _pick(_read_text(spark, path, sep, multiline), columns, path)
 
 
@@ -58,7 +64,7 @@ def _pick(raw: DataFrame, columns, path) -> DataFrame:
     missing = [c[0] for c in columns if c[0].lower() not in have]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
-    return raw.select(*[F.col(f"`{have[c[0].lower()]}`").alias(c[0]) for c in columns])
+    return raw.select(*[F.col(f"`{have[c[0].lower()]}`").alias(c[0]) for c in columns], _FILE)
 
 
 def _number(c: Column, kind: str) -> Column:
@@ -69,32 +75,53 @@ def _number(c: Column, kind: str) -> Column:
     return F.coalesce(F.trim(c).try_cast(kind), F.when(wide == F.floor(wide), wide.try_cast(kind)))
 
 
-def _typed(raw: DataFrame, columns, text_rule: Callable[[Column], Column]) -> DataFrame:
+def _typed(raw: DataFrame, columns, text_rule: Callable[[Column], Column], extra: list[str] = ()) -> DataFrame:
     return raw.select(*[
         (text_rule(F.col(name)) if kind == "string" else _number(F.col(name), kind)).alias(name)
         for name, kind in columns
-    ])
+    ], *extra)
 
 
-def scan_rejects(spark: SparkSession, path, columns, sep: str = "\t", multiline: bool = True) -> DataFrame:
-    """(column, value, n): what stands in a column of numbers and is neither one nor missing."""
-    raw = _read_columns(spark, path, columns, sep, multiline)
+def _rejected(columns) -> Column:
+    """What stands in columns of numbers of a row and is neither one nor missing: an array of (column, value)."""
     numeric = [(name, kind) for name, kind in columns if kind != "string"]
-    odd = F.array_compact(F.array(*[
+    return F.array_compact(F.array(*[
         F.when(_number(F.col(n), k).isNull() & ~F.trim(F.coalesce(F.col(n), F.lit(""))).isin("", "NA"),
                F.struct(F.lit(n).alias("column"), F.col(n).alias("value")))
         for n, k in numeric
     ]))
-    return raw.select(F.explode(odd).alias("r")).groupBy("r.column", "r.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def scan_export(spark: SparkSession, path, columns, sep: str = "\t", multiline: bool = True) -> DataFrame:
+def _counted(rejects: DataFrame) -> DataFrame:
+    return rejects.groupBy("r.column", "r.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def scan_rejects(spark: SparkSession, path, columns, sep: str = "\t", multiline: bool | str = True) -> DataFrame:
+    """(column, value, n): what stands in a column of numbers and is neither one nor missing."""
+    raw = _read_columns(spark, path, columns, sep, multiline)
+    return _counted(raw.select(F.explode(_rejected(columns)).alias("r")))
+
+
+def scan_with_rejects(
+    spark: SparkSession, path, columns, sep: str = "\t", multiline: bool | str = True
+) -> tuple[DataFrame, DataFrame]:
+    """`scan_export` and `scan_rejects` of one reading, both cut from a stored table; the rejects also tell one
+    of the files they stand in: (column, value, n, file)."""
+    raw = _read_columns(spark, path, columns, sep, multiline).withColumn("_rejects", _rejected(columns))
+    typed = _typed(raw, columns, keep_blanks, ["_rejects", _FILE])
+    stored = materialise(typed, "scanned")
+    odd = stored.filter(F.size("_rejects") > 0).select(F.explode("_rejects").alias("r"), _FILE)
+    rejects = odd.groupBy("r.column", "r.value").agg(F.count(F.lit(1)).alias("n"), F.min(_FILE).alias("file"))
+    return stored.drop("_rejects", _FILE), rejects
+
+
+def scan_export(spark: SparkSession, path, columns, sep: str = "\t", multiline: bool | str = True) -> DataFrame:
     """Export where a blank text field is blank and the text NA is missing."""
     return _typed(_read_columns(spark, path, columns, sep, multiline), columns, keep_blanks)
 
 
 def scan_export_readr(
-    spark: SparkSession, path, columns, sep: str = "\t", multiline: bool = True
+    spark: SparkSession, path, columns, sep: str = "\t", multiline: bool | str = True
 ) -> DataFrame:
     """Export where blank fields are missing and outer spaces are dropped."""
     return _typed(_read_columns(spark, path, columns, sep, multiline), columns, blanks_missing)
@@ -111,13 +138,13 @@ def scan_legacy(spark: SparkSession, path) -> DataFrame:
 def scan_any(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
     """Every column of an export whose columns are not known beforehand, as text."""
     raw = _read_text(spark, path, sep)
-    return raw.select(*[blanks_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    return raw.select(*[blanks_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns if c != _FILE])
 
 
-def scan_trips(spark: SparkSession, path, columns, sep: str = "\t") -> DataFrame:
+def scan_trips(spark: SparkSession, path, columns, sep: str = "\t", multiline: bool | str = True) -> DataFrame:
     """Many trips at once; TRIP_FILE tells the rows of the files apart."""
-    raw = _read_columns(spark, path, columns, sep).withColumn("TRIP_FILE", F.input_file_name())
-    return _typed(raw, [*columns, ("TRIP_FILE", "string")], keep_blanks)
+    raw = _read_columns(spark, path, columns, sep, multiline)
+    return _typed(raw, columns, keep_blanks, [_FILE]).withColumnRenamed(_FILE, "TRIP_FILE")
 
 
 def scan_sites(spark: SparkSession, path, columns=schemas.SITE_LIST) -> DataFrame:

@@ -8,7 +8,7 @@ import os
 import pytest
 
 from fieldcatch import schemas
-from fieldcatch.sources import files
+from fieldcatch.sources import files, quoted
 
 COLUMNS = (("ID", "string"), ("NOTE", "string"), ("N", "int"))
 
@@ -107,3 +107,66 @@ def test_decimals_line_breaks_and_rejects(spark, tmp_path):
     split = files.scan_malformed(spark, path).collect()
     assert any(r["line"].endswith("one") for r in split)
     assert files.scan_export(spark, path, columns, multiline=False).count() == 5
+
+
+def quoted_file(path, rows=400, seed=3):
+    """A file with line breaks, quotes, tabs, blank lines and Windows line ends inside and between fields."""
+    import random
+
+    rng = random.Random(seed)
+    notes = ["plain", "", "NA", 'say ""ok""', "two\nlines", "three\r\nlong\n\nlines", "tab\there", "\n", '""', "é" * 30]
+    out = ["ID\tNOTE\tN"]
+    for i in range(rows):
+        note = rng.choice(notes)
+        out.append(f'i{i}\t"{note}"\t{rng.choice([str(i), "x", "NA", ""])}' if rng.random() < .8 else f"i{i}\tbare\t{i}")
+        if rng.random() < .1:
+            out.append("")
+    ends = rng.choice(["\n", "\r\n"])
+    path.write_bytes(("﻿" if seed % 2 else "").encode() + ends.join(out).encode() + (ends if seed % 3 else "").encode())
+    return str(path)
+
+
+QUOTED = [("ID", "string"), ("NOTE", "string"), ("N", "int")]
+
+
+@pytest.mark.parametrize("seed,size", [(1, 64), (2, 97), (3, 1000), (4, 10_000_000)])
+def test_split_files_read_as_by_one_task(spark, tmp_path, seed, size):
+    for k in range(2):
+        quoted_file(tmp_path / f"q{k}.txt", seed=seed + 4 * k)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    whole = sorted(map(str, files.scan_export(spark, str(tmp_path / "q*.txt"), QUOTED).collect()))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        split = files.scan_export(spark, str(tmp_path / "q*.txt"), QUOTED, multiline="split")
+        tasks = quoted._lines(spark, str(tmp_path / "q0.txt")).rdd.getNumPartitions()
+        got = sorted(map(str, split.collect()))
+        trips = files.scan_trips(spark, str(tmp_path / "q*.txt"), QUOTED, multiline="split")
+        assert {r[0].rsplit("/", 1)[1] for r in trips.select("TRIP_FILE").distinct().collect()} == {"q0.txt", "q1.txt"}
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    assert got == whole and len(got) == 800
+    assert tasks > 1 or size > 1000
+
+
+def test_split_reading_refuses_another_header(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("ID\tNOTE\n1\tx\n")
+    (tmp_path / "b.txt").write_text("ID\tOTHER\n1\tx\n")
+    with pytest.raises(Exception, match="another header"):
+        files.scan_export(spark, str(tmp_path / "*.txt"), [("ID", "string")], multiline="split").collect()
+
+
+def test_a_file_that_ends_inside_quotes(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('ID\tNOTE\n1\t"x\ny')
+    rows = files.scan_export(spark, str(tmp_path / "a.txt"), [("ID", "string"), ("NOTE", "string")], multiline="split").collect()
+    assert [r["ID"] for r in rows] == ["1"] and rows[0]["NOTE"].endswith("x\ny")
+
+
+@pytest.mark.parametrize("multiline", [True, "split"])
+def test_rejects_come_with_the_scan(spark, tmp_path, multiline):
+    path = quoted_file(tmp_path / "q.txt", seed=2)
+    rows, rejects = files.scan_with_rejects(spark, path, QUOTED, multiline=multiline)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, files.scan_export(spark, path, QUOTED).collect()))
+    assert {tuple(r)[:3] for r in rejects.collect()} == {tuple(r) for r in files.scan_rejects(spark, path, QUOTED).collect()}
+    assert rows.columns == ["ID", "NOTE", "N"] and rejects.first()["file"].endswith("q.txt")
