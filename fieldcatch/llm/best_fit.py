@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -67,10 +68,18 @@ class WordTokens:
         if b"<|" in word:  # a special token is written in lower case only
             return word, b""
         core = word.rstrip(TAIL)
-        if len(core) < len(word) and core and core.decode()[-1].isalnum():
+        if len(core) < len(word) and core and WordTokens._ends_in_letter(core):
             return core.lower(), word[len(core):]
         return word.lower(), b""
 
+    @staticmethod
+    def _ends_in_letter(core: bytes) -> bool:
+        """Whether a word ends in a letter or digit also when it has been composed and lower-cased: some end in a
+        mark then, which the tokenizer joins with the punctuation behind it."""
+        if core[-1] < 128:
+            return core[-1:].isalnum()
+        return core.decode()[-1].isalnum() and unicodedata.normalize("NFC", core.decode()).lower()[-1].isalnum()
+
     def _code(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of the given words."""
         parts = {w: self._parts(w) for w in words}

@@ -48,7 +48,7 @@ SLICE = 256
 #: Documents compared in one task; larger candidate sets are split, and each part meets the hubs.
 BLOCK, HUBS = 512, 16
 #: Classes a task remembers so as not to send the tokens of copies again.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M = np.uint64
@@ -150,10 +150,10 @@ def _prefixes(docs: DataFrame, rule: Threshold, levels: bytes, text: str) -> Dat
         level = np.frombuffer(levels, dtype=np.uint8)
         shift = _M(64 - SKETCH_BITS)
         sent: set[bytes] = set()
-        for batch in batches:
+        for texts in (batch["text"].iloc[i:i + 4 * SLICE] for batch in batches for i in range(0, len(batch), 4 * SLICE)):
             parts: list[np.ndarray] = []
             keys, sizes, lengths = [], [], []
-            for body in batch["text"]:
+            for body in texts:
                 found = tokens(body, rule.words)
                 n = len(found)
                 digest = xxhash.xxh3_128_digest(found.tobytes())
@@ -294,10 +294,17 @@ def _linked_large(large: DataFrame, near: DataFrame, long: DataFrame, rule: Thre
     own = large.withColumn("task", task).select("task", "doc_id", "tokens")
     first = materialise(_linked(own.unionByName(hub_rows.select("task", "doc_id", "tokens")), rule), "links")
 
-    known = materialise(large.select("doc_id").distinct().join(
+    known = materialise(large.select("doc_id", "set_id").distinct().join(
         components(first).withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ).select("doc_id", F.coalesce("label", "doc_id").alias("label")), "known")
-    marks = long.join(known, "doc_id")
+    ).select("doc_id", "set_id", F.coalesce("label", "doc_id").alias("label")), "known")
+    # a long run all of whose documents are of its set's largest group has no visits to offer
+    largest = known.groupBy("set_id", "label").agg(F.count(F.lit(1)).alias("_n")).groupBy("set_id").agg(
+        F.max_by("label", F.struct("_n", "label")).alias("label")
+    )
+    others = known.join(largest, ["set_id", "label"], "left_anti").select("doc_id")
+    known = known.drop("set_id")
+    open_runs = long.join(others, "doc_id", "left_semi").select("token", "_run").distinct()
+    marks = long.join(open_runs, ["token", "_run"], "left_semi").join(known, "doc_id")
     groups = marks.select("token", "_run", F.col("label").alias("group")).distinct()
     told = near.join(known.withColumnsRenamed({"doc_id": "a", "label": "_la"}), "a").join(
         known.withColumnsRenamed({"doc_id": "b", "label": "_lb"}), "b"

@@ -277,6 +277,21 @@ def test_word_tokens_equal_whole_texts():
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids, text
 
 
+def test_punctuation_behind_any_letter():
+    """Every letter, digit and mark there is, before punctuation, as the tokenizer itself tells it."""
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    path = best_fit.tokenizer_path()
+    whole, coder = Tokenizer.from_file(path), best_fit.WordTokens(path)
+    kinds = [chr(c) for c in range(0x80, 0x30000) if unicodedata.category(chr(c))[0] in "LNM" and not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"x{c}, {c}! a{c}.b" for c in kinds[i:i + 50]) for i in range(0, len(kinds), 50)]
+    texts += ["BİRLİĞİ, TÜRKİYE. TEKNOLOJİ!", "e\u0301. E\u0301! \u0958, क़."]
+    for text, coded in zip(texts, whole.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == coded.ids, text
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(rule):
     rng = np.random.default_rng(2)
