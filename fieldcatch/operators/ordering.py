@@ -115,12 +115,12 @@ ACCURACY = 10_000
 def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles per group, interpolated linearly between neighbouring values.
 
-    A mergeable sketch, reduced before the shuffle, brackets each wanted position by values two errors away on
-    either side, so the position is certain to lie inside. Values below a bracket are only counted; the
+    A mergeable sketch, reduced before the shuffle, brackets each wanted position by values four errors away on
+    either side, so the position and the next one are certain to lie inside. Values below a bracket are only counted; the
     few inside are counted by value and put in order. Values are stored once and read twice.
     """
     values = materialise(df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v")), "values")
-    names, step = list(probs), 2 / ACCURACY
+    names, step = list(probs), 4 / ACCURACY
     edges = [min(max(p + side * step, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
     sketch = values.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", edges, ACCURACY).alias("_edges"),
@@ -128,7 +128,8 @@ def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, flo
     )
     whole = F.col("_total") < ACCURACY
     brackets = sketch.select(*groups, "_total", *[
-        F.when(whole, F.col(end)).otherwise(F.col("_edges")[2 * i + k]).alias(f"_{side}_{i}")
+        # at the ends the sketch may miss the outermost value
+        F.when(whole | F.lit(edges[2 * i + k] in (0.0, 1.0)), F.col(end)).otherwise(F.col("_edges")[2 * i + k]).alias(f"_{side}_{i}")
         for i in range(len(names)) for k, (side, end) in enumerate((("lo", "_min"), ("hi", "_max")))
     ])
     seen = attach(values, brackets, groups) if groups else values.join(F.broadcast(brackets))  # one row

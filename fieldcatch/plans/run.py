@@ -32,7 +32,7 @@ def trip_tables(
     daily = files.scan_water(spark, water) if water else None
     correct = partial(apply_preset, preset=preset) if preset.rounds else None
     if preset.gear == "hoop":
-        rows = trip.parse_export_times(files.scan_export(spark, export, schemas.HOOP_EXPORT))
+        rows = trip.parse_export_times(files.scan_export(spark, export, schemas.HOOP_EXPORT, multiline="split"))
         listed = files.scan_river_sites(spark, sites) if sites else None
         cleaned = trip.clean_hoop(
             rows, listed, preset.config, correct, earliest=options.pop("earliest", None),
@@ -40,7 +40,7 @@ def trip_tables(
         if preset.late:
             options["late_fixes"] = corrections_frame(spark, preset, late=True)
         return trip.HoopTables(cleaned, preset.config, daily, store=store, **options)
-    rows = trip.parse_export_times(files.scan_export(spark, export, schemas.ELECTROFISHING_EXPORT))
+    rows = trip.parse_export_times(files.scan_export(spark, export, schemas.ELECTROFISHING_EXPORT, multiline="split"))
     if preset.gear == "backfilled":
         listed = files.scan_sites(spark, sites)
         cleaned = trip.clean_backfilled(rows, listed, preset.config, correct, **options)
@@ -93,6 +93,6 @@ def write_field_export(out: field.FieldSummary, path: str) -> None:
 def report_tables(spark: SparkSession, sample: str, specimen: str) -> tuple[DataFrame, DataFrame]:
     """Stage-one output read back for the report."""
     kinds = dict(schemas.SAMPLE_ELECTROFISHING)
-    samples = files.scan_export(spark, sample, list(kinds.items()), sep=",")
-    specimens = files.scan_export(spark, specimen, schemas.SPECIMEN, sep=",")
+    samples = files.scan_export(spark, sample, list(kinds.items()), sep=",", multiline="split")
+    specimens = files.scan_export(spark, specimen, schemas.SPECIMEN, sep=",", multiline="split")
     return samples, specimens

@@ -174,7 +174,7 @@ def tables_of(spark: SparkSession, presets: list[Preset], export, sites: str | N
     layout = _layout(presets, False)
     fix = partial(correct, fixes=fixes, splits=splits_frame(spark, presets), layout=layout, turns=turns) if layout or turns else None
     columns = schemas.HOOP_EXPORT if gear == "hoop" else schemas.ELECTROFISHING_EXPORT
-    scanned = files.scan_trips(spark, export, columns)
+    scanned = files.scan_trips(spark, export, columns, multiline="split")
     strange = strange_files(scanned.inputFiles(), known)
     if strange:
         raise ValueError(f"files of no known trip: {strange[:5]}")

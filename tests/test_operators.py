@@ -235,3 +235,61 @@ def test_stored_tables_can_be_dropped(spark):
 def test_shared_dir_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_dir(spark) == named
+
+
+# quantiles, repeated keys, rules
+
+def test_quantiles_of_large_and_small_groups(spark, monkeypatch):
+    """Groups above and below the sketch's accuracy, ties, one value, missing values."""
+    import numpy as np
+
+    monkeypatch.setattr(ordering, "ACCURACY", 50)
+    rng = np.random.default_rng(1)
+    data = {"big": rng.normal(size=3000).round(3), "ties": rng.integers(0, 4, 2000).astype(float), "small": rng.random(20),
+            "one": np.array([4.0]), None: rng.random(300), "edge": rng.random(50)}
+    rows = [(g, float(v)) for g, values in data.items() for v in values] + [("big", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = {"a": 0.0, "q": 0.25, "m": 0.5, "t": 0.9, "z": 1.0}
+    got = {r["g"]: r for r in ordering.quantiles(df, ["g"], "v", probs).collect()}
+    assert set(got) == set(data)
+    for g, values in data.items():
+        for name, p in probs.items():
+            assert got[g][name] == pytest.approx(np.quantile(values, p), abs=1e-12), (g, name)
+    whole = ordering.quantiles(df, [], "v", {"m": 0.5}).collect()
+    assert whole[0]["m"] == pytest.approx(np.median([v for _, v in rows if v is not None]))
+    assert ordering.quantiles(df.limit(0), ["g"], "v", {"m": 0.5}).count() == 0
+
+
+def test_rows_of_unique_keys_are_left_out(spark):
+    rows = [(f"k{i}", i) for i in range(5000)] + [("k7", -1), ("k9", -2), ("k9", -3), (None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    got = ordering.maybe_repeated(df, "k").collect()
+    assert {(r["k"], r["v"]) for r in got} >= {("k7", 7), ("k7", -1), ("k9", 9), ("k9", -2), ("k9", -3), (None, 1), (None, 2)}
+    assert len(got) < 20
+    assert ordering.maybe_repeated(df.limit(0), "k").count() == 0
+
+
+def test_rules_as_a_table(spark):
+    from fieldcatch.operators import quality
+
+    df = spark.createDataFrame([
+        ("FHM", 71.0, 5.0, "", None), ("FHM", None, 5.0, "tag", "AD"), ("FHM", 70.0, None, None, ""), ("RBT", 900.0, 9.0, "t", "AD"), (None, 900.0, 9.0, "t", None),
+        ("BNT", 1.0, 9.5, None, "AD"),
+    ], "SPECIES string, TOTAL_LENGTH double, WEIGHT double, FISH_TAG string, FINCLIP1 string")
+    rules = spark.createDataFrame([("FHM", 70.0, None, False, None), ("BNT", None, 9.0, None, False)], quality.RULES)
+    out = quality.species_plausible(df, rules).collect()
+    assert [(r["SPECIES"], r["RULES_BROKEN"], r["SPECIES_CORRECT"]) for r in sorted(out, key=str)] == sorted([
+        ("FHM", ["length"], False), ("FHM", ["tag"], False), ("FHM", [], True), ("RBT", [], True), (None, [], True),
+        ("BNT", ["weight", "clip"], False)], key=lambda x: str([r for r in out if (r["SPECIES"], r["RULES_BROKEN"]) == x[:2]][0]))
+
+
+def test_conformance(spark):
+    from fieldcatch.operators import quality
+
+    rules = spark.createDataFrame([("a", "string", ["x", "y"], 1, True), ("b", "int", None, None, False), ("c", None, None, None, False)],
+                                  "column string, kind string, codes array<string>, width int, required boolean")
+    df = spark.createDataFrame([("x", 1), ("zz", 2), (None, 3), ("", 4)], "a string, b bigint")
+    assert {tuple(r) for r in quality.conformance(df, rules).collect()} == {
+        ("a", "codes", 2, "zz"), ("a", "width", 1, "zz"), ("a", "required", 2, ""), ("b", "type", 4, None), ("c", "present", 4, None)}
+    good = spark.createDataFrame([("x", 1)], "a string, b int").selectExpr("a", "b", "1 AS c")
+    assert quality.conformance(good, rules).count() == 0
