@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcatch.llm.components import components
+from fieldcatch.llm.workers import forget
 from fieldcatch.runtime import drop_stored, materialise, stored_paths
 
 #: Counters of the frequency sketch, and counters per row it is written in. The sketch only sets the order
@@ -97,6 +98,7 @@ def tokens(text: str | None, words: int = 4) -> np.ndarray:
 def _meta(docs: DataFrame, rule: Threshold, text: str) -> DataFrame:
     """One row per document (id, size, 128-bit digest of its tokens), and each task's counts of tokens."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         counters = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
         shift = _M(64 - SKETCH_BITS)
         seen = False
@@ -147,6 +149,7 @@ def _levels(counted: DataFrame) -> bytes:
 def _prefixes(docs: DataFrame, rule: Threshold, levels: bytes, text: str) -> DataFrame:
     """(token, s1, s2, n): the first tokens of each class, ordered by level and hash."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         level = np.frombuffer(levels, dtype=np.uint8)
         shift = _M(64 - SKETCH_BITS)
         sent: set[bytes] = set()

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldcatch.llm.workers import per_worker
+from fieldcatch.llm.workers import forget, per_worker
 from fieldcatch.runtime import materialise
 
 BUCKETS = 1 << 14
@@ -117,6 +117,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     )
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             sums: dict[str, np.ndarray] = {}
             for body, name in zip(batch["text"], batch["lang"]):

@@ -17,3 +17,9 @@ def per_worker(name: str, make: Callable):
     if name not in held:
         held[name] = make()
     return held[name]
+
+
+def forget() -> None:
+    """Drops what earlier operators have kept in this process: Spark hands a worker on to the next job, and a large
+    cache that nobody will ask for again would stay beside whatever that job needs."""
+    sys.modules.pop("_fieldcatch_worker", None)
