@@ -132,17 +132,19 @@ def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, flo
         F.when(whole | F.lit(edges[2 * i + k] in (0.0, 1.0)), F.col(end)).otherwise(F.col("_edges")[2 * i + k]).alias(f"_{side}_{i}")
         for i in range(len(names)) for k, (side, end) in enumerate((("lo", "_min"), ("hi", "_max")))
     ])
-    seen = attach(values, brackets, groups) if groups else values.join(F.broadcast(brackets))  # one row
+    seen = attach(values, brackets, groups) if groups else values.withColumns(
+        {c: brackets.select(c).scalar() for c in brackets.columns}
+    )
     # a value counts once for each position it lies below, and goes on for each it is near
     near = F.array_compact(F.array(*[
         F.when(F.col("_v") <= F.col(f"_hi_{i}"), F.struct(
-            F.lit(i).alias("i"), F.when(F.col("_v") >= F.col(f"_lo_{i}"), F.col("_v")).alias("v"))) for i in range(len(names))
+            F.lit(i).alias("i"), F.when(F.col("_v") >= F.col(f"_lo_{i}"), F.col("_v")).alias("near"))) for i in range(len(names))
     ]))
     counted = seen.select(*groups, "_total", F.explode(near).alias("_c")).groupBy(*groups, "_c").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total")
-    ).select(*groups, "_c.i", "_c.v", "_n", "_total")
+    ).select(*groups, "_c.i", F.col("_c.near").alias("_near"), "_n", "_total")
     # what lies below a bracket is one row of value null, which comes first
-    along = Window.partitionBy(*groups, "i").orderBy(F.col("v").asc_nulls_first())
+    along = Window.partitionBy(*groups, "i").orderBy(F.col("_near").asc_nulls_first())
     running = counted.withColumn("_upto", F.sum("_n").over(along)).withColumn("_from", F.col("_upto") - F.col("_n"))
     picks, results = [], []
     for i, (name, p) in enumerate(probs.items()):
@@ -150,7 +152,7 @@ def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, flo
         low = F.floor(at)
         for side, index in (("lo", low), ("hi", F.least(low + 1, F.col("_total") - 1))):
             holds = (F.col("i") == i) & (F.col("_from") <= index) & (index < F.col("_upto"))
-            picks.append(F.max(F.when(holds, F.col("v").cast("double"))).alias(f"_{side}_{name}"))
+            picks.append(F.max(F.when(holds, F.col("_near").cast("double"))).alias(f"_{side}_{name}"))
         picks.append(F.max(at - low).alias(f"_w_{name}"))
         lo, hi, w = (F.col(f"_{part}_{name}") for part in ("lo", "hi", "w"))
         results.append((lo + (hi - lo) * w).alias(name))

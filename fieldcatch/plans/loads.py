@@ -49,7 +49,7 @@ def allocate(wanted: DataFrame, held: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.col("_samples_before") + F.col("_n_samples")), F.lit(0)).alias("_samples"),
         F.coalesce(F.max(F.col("_specimens_before") + F.col("_n_specimens")), F.lit(0)).alias("_specimens"),
     )
-    rows = attach(wanted, held, _KEY).join(F.broadcast(most))  # one row
+    rows = attach(wanted, held, _KEY).withColumns({c: most.select(c).scalar() for c in most.columns})
     fits = F.coalesce(
         (F.col("n_samples") <= F.col("_n_samples")) & (F.col("n_specimens") <= F.col("_n_specimens")), F.lit(False)
     )
