@@ -3,7 +3,8 @@
 Every language has a codeword. Each bit has a binary classifier on hashed character bigrams and
 trigrams: the log odds of an n-gram between the languages whose bit is set and the others. A text's
 margins are decoded to the codeword of least loss, each bit's loss weighted by how well its
-classifier does on that language; texts whose two nearest codewords are close are flagged.
+classifier does on that language; texts whose two nearest codewords are close for their length are flagged, as
+texts of two languages, of none of those learned, or of a few letters are.
 
 Null texts and texts without a letter are `und` with score 0 and not ambiguous. Without labelled rows every
 text is `und`. Only the text decides; labels are read only from rows that are not held out.
@@ -27,8 +28,8 @@ BUCKETS = 1 << 14
 #: About so many labelled rows of each language are fitted on (all, if there are fewer).
 SAMPLE_PER_LANGUAGE = 2000
 UNKNOWN = "und"
-#: Below this score a text is flagged as ambiguous.
-CLEAR = 0.6
+#: Below this score a text is flagged as ambiguous: in a long one, where another language has more than a third.
+CLEAR = 0.3
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,7 @@ class Model:
     codes: np.ndarray  # languages x bits, +1 and -1
     odds: np.ndarray  # buckets x bits
     trust: np.ndarray  # languages x bits, rows sum to 1
+    pull: np.ndarray  # languages x bits, what an n-gram of the language adds to the right side of the bit on average
 
 
 def codewords(n: int) -> np.ndarray:
@@ -107,7 +109,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     languages = sorted(sizes)
     codes = codewords(len(languages))
     if not languages:
-        return Model([], codes, np.zeros((BUCKETS, 1)), codes)
+        return Model([], codes, np.zeros((BUCKETS, 1)), codes, codes)
     steps = 1 << 20
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(steps, -(-steps * per_language // sizes[k])))])
     draw = F.pmod(F.xxhash64(F.col(text), F.lit(3)), F.lit(steps))
@@ -136,7 +138,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     table[summed["lang"].map(index).to_numpy(dtype=int), summed["bucket"].to_numpy()] += summed["n"].to_numpy()
     chance = table / table.sum(axis=1, keepdims=True)
     if len(languages) == 1:
-        return Model(languages, codes, np.zeros((BUCKETS, 1)), codes)
+        return Model(languages, codes, np.zeros((BUCKETS, 1)), codes, codes)
     ones = (codes > 0).astype(float)
     odds = np.log((chance.T @ ones) / ones.sum(axis=0)) - np.log((chance.T @ (1 - ones)) / (1 - ones).sum(axis=0))
 
@@ -145,24 +147,40 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
             for body, name in zip(batch["text"], batch["lang"]):
                 found = gram_counts(body)
                 if found is not None:
-                    hit = _margins(found, odds) * codes[index[name]] > 0
-                    yield pd.DataFrame({"lang": name, "bit": np.arange(len(hit), dtype="int32"), "hit": hit.astype(float)})
-
-    rates = sample.mapInPandas(right, "lang string, bit int, hit double").groupBy("lang", "bit").agg(
-        F.avg("hit").alias("hit")
+                    side = _margins(found, odds) * codes[index[name]]
+                    yield pd.DataFrame({
+                        "lang": name, "bit": np.arange(len(side), dtype="int32"), "hit": (side > 0).astype(float),
+                        "pull": side * np.sqrt(found.sum()), "n": found.sum(),
+                    })
+
+    rates = sample.mapInPandas(right, "lang string, bit int, hit double, pull double, n bigint").groupBy("lang", "bit").agg(
+        F.avg("hit").alias("hit"), (F.sum("pull") / F.sum("n")).alias("pull")
     ).toPandas()
-    trust = np.full(codes.shape, 0.5)
-    trust[rates["lang"].map(index).to_numpy(dtype=int), rates["bit"].to_numpy()] = rates["hit"].to_numpy()
+    at = rates["lang"].map(index).to_numpy(dtype=int), rates["bit"].to_numpy()
+    trust, pull = np.full(codes.shape, 0.5), np.zeros(codes.shape)
+    trust[at], pull[at] = rates["hit"].to_numpy(), rates["pull"].to_numpy()
     trust = np.maximum(trust, 1e-3)
-    return Model(languages, codes, odds.astype("float32"), trust / trust.sum(axis=1, keepdims=True))
+    return Model(languages, codes, odds.astype("float32"), trust / trust.sum(axis=1, keepdims=True), pull)
+
 
+def decode(margins: np.ndarray, grams: int, model: Model) -> tuple[int, float]:
+    """The language of least weighted loss, and how clearly it wins over the next one (0 to 1).
 
-def decode(margins: np.ndarray, model: Model) -> tuple[int, float]:
-    """The language of least weighted loss, and how clearly it wins (0 to 1)."""
+    Evidence alone grows with the length of the text, whatever it is made of. So what the text's `grams` n-grams
+    add on average, in the bits that part the two languages, is compared with what those of the winner's own
+    texts add: all of it in a text of one language, nothing in one that is half the other's or neither's. Of
+    languages with equal loss the first wins.
+    """
     loss = (model.trust * np.logaddexp(0.0, -model.codes * margins)).sum(axis=1)
-    fit_ = np.exp((loss.min() - loss) * model.codes.shape[1])
-    best = int(np.argmin(loss))
-    return best, float(fit_[best] / fit_.sum())
+    if len(loss) < 2:
+        return 0, 1.0
+    best, second = (int(i) for i in np.argsort(loss, kind="stable")[:2])
+    fit_ = np.exp((loss[best] - loss) * model.codes.shape[1])
+    parts = model.codes[best] != model.codes[second]
+    usual = model.pull[best, parts].sum()
+    added = (model.codes[best] * margins)[parts].sum() / np.sqrt(grams)
+    purity = min(1.0, max(0.0, added / usual)) if usual > 0 else 0.0
+    return best, float(fit_[best] / fit_.sum() * purity)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -177,7 +195,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 names.append(UNKNOWN)
                 scores.append(0.0)
             else:
-                best, won = decode(_margins(found, model.odds), model)
+                best, won = decode(_margins(found, model.odds), int(found.sum()), model)
                 names.append(model.languages[best])
                 scores.append(won)
         return pd.DataFrame({"lang_pred": names, "score": scores})

@@ -44,6 +44,43 @@ def test_language_prediction(spark):
     nothing = language_codes.fit(docs.filter("lang = 'none'"))
     assert {r["lang_pred"] for r in language_codes.predict(docs, nothing).collect()} == {"und"}
     assert language_codes.predict(docs.limit(0), model).count() == 0
+    assert not any(out[i]["ambiguous"] for i in out)
+
+
+def _speech(rng: random.Random, stems: str, words: int) -> str:
+    return " ".join("".join(rng.choices(stems.split(), k=3)) for _ in range(words))
+
+
+def test_texts_of_two_languages_are_ambiguous(spark):
+    rng = random.Random(5)
+    stems = {"aa": "ka lo mi tu re", "bb": "schr pft und ig ung", "cc": "ção nh lh ões ar"}
+    known = spark.createDataFrame([(_speech(rng, stems[k], 40), k) for k in sorted(stems) * 30], "text string, lang string")
+    model = language_codes.fit(known)
+    rows = []
+    for a, b in (("aa", "bb"), ("aa", "cc"), ("bb", "cc")):
+        for words in (20, 2000):
+            rows += [(f"{_speech(rng, stems[a], words)} {_speech(rng, stems[b], words)}", True),
+                     (f"{_speech(rng, stems[a], 9 * words)} {_speech(rng, stems[b], words)}", False),
+                     (_speech(rng, stems[a], words), False)]
+    rows.append(("Η γλώσσα είναι ένα σύστημα επικοινωνίας " * 30, True))
+    docs = spark.createDataFrame([(i, text, flag) for i, (text, flag) in enumerate(rows)],
+                                 "doc_id bigint, text string, ambiguous boolean")  # a clashing name is replaced
+    told = {r["doc_id"]: r for r in language_codes.predict(docs, model).collect()}
+    assert [told[i]["ambiguous"] for i in range(len(rows))] == [flag for _, flag in rows]
+    assert all(0 <= r["score"] <= 1 for r in told.values())
+
+
+def test_decoding_against_loops():
+    rng = np.random.default_rng(2)
+    codes = language_codes.codewords(5)
+    trust = rng.random(codes.shape) + 0.1
+    model = language_codes.Model(list("abcde"), codes, np.zeros((1, codes.shape[1])), trust, np.ones(codes.shape))
+    for margins in (*rng.normal(0, 3, (50, codes.shape[1])), np.zeros(codes.shape[1])):
+        losses = [sum(t * np.log1p(np.exp(-c * m)) for t, c, m in zip(trust[k], codes[k], margins)) for k in range(5)]
+        best, score = language_codes.decode(margins, 10, model)
+        assert losses[best] == pytest.approx(min(losses)) and 0 <= score <= 1
+    assert language_codes.decode(codes[3] * 50, 100, model)[0] == 3
+    assert language_codes.decode(codes[3] * 0, 100, model)[1] == 0
 
 
 # mix
