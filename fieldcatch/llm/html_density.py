@@ -14,6 +14,7 @@ Null, empty and textless pages give an empty text.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -64,35 +65,58 @@ class Line:
     tags: int
     links: int  # characters of links
     root: int  # number of the outermost enclosing article or main element, 0 outside
-    path: tuple[int, ...]  # numbers of the enclosing containers, outermost first
-    marks: tuple[int, ...]  # numbers of the enclosing elements whose class marks furniture
+    box: int  # number of the innermost enclosing container, 0 outside
+    mark: int  # number of the innermost enclosing element whose class marks furniture, 0 outside
     heading: bool
 
 
+@dataclass
+class Element:
+    """An open element, and what it has from those around it."""
+
+    tag: str
+    dropped: bool  # whether its text is
+    root: int
+    box: int
+    mark: int
+    heading: bool
+    linked: bool
+    header: bool  # in a header of an article
+    headline: bool  # a heading in it, or in a heading around it
+
+
+OUTSIDE = Element("", False, 0, 0, 0, False, False, False, False)
+
+
 class PageLines(HTMLParser):
-    """Collects the lines of a page; those in an element marked by its class are told by `content`."""
+    """Collects the lines of a page; those in an element marked by its class are told by `content`.
+
+    What a line needs to know is kept with the open elements, so the work does not grow with their number.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool]] = []  # tag, its number, whether its text is dropped
+        self.open: list[Element] = []
+        self.places: dict[str, list[int]] = {}  # where in `open` the elements of a tag are
+        self.blocks: list[int] = []  # where in `open` the blocks are
+        self.breaks: list[int] = []  # where in `open` the blocks and the cells marked by their class are
+        self.around: dict[int, int] = {}  # a container's innermost enclosing container
         self.marked: dict[int, bool] = {}  # number of an element marked by its class: whether for certain
+        self.marked_in: dict[int, int] = {}  # its innermost enclosing one of these
         self.parts: list[str] = []
         self.tags = self.count = self.links = 0
 
+    def _top(self) -> Element:
+        return self.open[-1] if self.open else OUTSIDE
+
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            root = next((n for tag, n, _ in self.open if tag in ROOTS), 0)
-            path = tuple(n for tag, n, _ in self.open if tag in CONTAINERS)
-            marks = tuple(n for _, n, _ in self.open if n in self.marked)
-            heading = any(tag in HEADINGS for tag, _, _ in self.open)
-            self.lines.append(Line(text, self.tags, self.links, root, path, marks, heading))
+            top = self._top()
+            self.lines.append(Line(text, self.tags, self.links, top.root, top.box, top.mark, top.heading))
         self.parts, self.tags, self.links = [], 0, 0
 
-    def _dropped(self, tag: str) -> bool:
-        return tag in DROPPED or tag == "header" and not any(t in ROOTS for t, _, _ in self.open)
-
     def _words(self, tag: str, attrs) -> frozenset[str]:
         """The words in class, id and role that mark the element as furniture."""
         if tag in ("html", "body", "header"):
@@ -106,37 +130,54 @@ class PageLines(HTMLParser):
         return frozenset(found - {"header"} if tag in HEADINGS else found)
 
     def _close(self, at: int) -> None:
+        for held in self.open[at:]:
+            self.places[held.tag].pop()
         del self.open[at:]
+        for places in (self.blocks, self.breaks):
+            while places and places[-1] >= at:
+                places.pop()
 
     def handle_starttag(self, tag: str, attrs) -> None:
         words = self._words(tag, attrs)
         if tag in BLOCK or words and tag in ("td", "th"):
             self._flush()
-        if tag in BLOCK:
+        if tag in BLOCK and self.blocks:
             # a block ends an open paragraph, an item the item before it
-            for at in range(len(self.open) - 1, -1, -1):
-                held = self.open[at][0]
-                if held == "p" or held == tag == "li":
-                    self._close(at)
-                    break
-                if held in BLOCK:
-                    break
+            held = self.open[self.blocks[-1]].tag
+            if held == "p" or held == tag == "li":
+                self._close(self.blocks[-1])
         self.tags += 1
         if tag == "br" or tag in ("td", "th"):
             self.parts.append(" ")
         if tag in VOID:
             return
         self.count += 1
-        dropped = bool(self.open and self.open[-1][2]) or self._dropped(tag)
-        if words and (tag in BLOCK or tag in ("td", "th")):
-            self.marked[self.count] = bool(words & CERTAIN)
+        n, top = self.count, self._top()
+        dropped = top.dropped or tag in DROPPED or tag == "header" and not top.root
+        breaks = tag in BLOCK
+        mark = top.mark
+        if words and (breaks or tag in ("td", "th")):
+            self.marked[n], self.marked_in[n] = bool(words & CERTAIN), mark
+            breaks, mark = True, n
         elif words:
             dropped = True
-        # of a header inside an article only its headings are content
-        top = next((at for at, (held, _, out) in enumerate(self.open) if held == "header" and not out), None)
-        if top is not None:
-            dropped = not (tag in HEADINGS or any(held in HEADINGS for held, _, _ in self.open[top:]))
-        self.open.append((tag, self.count, dropped))
+        headline = tag in HEADINGS or top.headline
+        if top.header:  # of a header inside an article only its headings are content
+            dropped = not headline
+        box = top.box
+        if tag in CONTAINERS:
+            self.around[n], box = box, n
+        header = top.header or tag == "header" and not dropped
+        at = len(self.open)
+        self.open.append(Element(
+            tag, dropped, top.root or (n if tag in ROOTS else 0), box, mark, top.heading or tag in HEADINGS,
+            top.linked or tag == "a", header, headline and top.header,
+        ))
+        self.places.setdefault(tag, []).append(at)
+        if tag in BLOCK:
+            self.blocks.append(at)
+        if breaks:
+            self.breaks.append(at)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -144,18 +185,18 @@ class PageLines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                if any(t in BLOCK or n in self.marked for t, n, _ in self.open[at:]):
-                    self._flush()
-                self._close(at)
-                break
+        if self.places.get(tag):
+            at = self.places[tag][-1]
+            if self.breaks and self.breaks[-1] >= at:
+                self._flush()
+            self._close(at)
         self.tags += 1
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and (self.open[-1][2] or self.open[-1][0] == "header")):
+        top = self._top()
+        if not (top.dropped or top.tag == "header"):
             self.parts.append(data)
-            if any(tag == "a" for tag, _, _ in self.open):
+            if top.linked:
                 self.links += len(" ".join(data.split()))
 
     def content(self) -> list[Line]:
@@ -163,19 +204,27 @@ class PageLines(HTMLParser):
         page's text, unless an article or main element elsewhere has text too."""
         if not self.marked:
             return self.lines
-        held: dict[int, int] = {}
+        held = dict.fromkeys([0, *self.marked], 0)
+        for line in self.lines:
+            held[line.mark] += max(0, len(line.text) - line.links)
+        total = sum(held.values())
+        for n in reversed(self.marked):  # an element comes before those in it
+            held[self.marked_in[n]] += held[n]
+        chain = [0]  # marked elements with most of the text, each in the one before
+        for n, certain in self.marked.items():
+            if 2 * held[n] > total and (not certain or held[n] == total):
+                if self.marked_in[n] != chain[-1]:
+                    break
+                chain.append(n)
+        depth = {n: i for i, n in enumerate(chain)}
+        for n, outer in self.marked_in.items():
+            depth.setdefault(n, depth[outer])
+        deepest: dict[int, int] = {}  # how far down the chain an article or main element has lines
         for line in self.lines:
-            for n in line.marks:
-                held[n] = held.get(n, 0) + max(0, len(line.text) - line.links)
-        total = sum(max(0, len(x.text) - x.links) for x in self.lines)
-        lifted: set[int] = set()
-        for n in sorted(held):  # an element comes before those in it
-            if 2 * held[n] <= total or self.marked[n] and held[n] < total:
-                continue
-            roots = {x.root for x in self.lines if n in x.marks}
-            if not any(x.root and x.root not in roots and lifted.issuperset(x.marks) for x in self.lines):
-                lifted.add(n)
-        return [x for x in self.lines if lifted.issuperset(x.marks)]
+            deepest[line.root] = max(deepest.get(line.root, 0), depth[line.mark])
+        on_chain = set(chain)
+        least = min((deepest[x.root] for x in self.lines if x.root and x.mark in on_chain), default=len(chain))
+        return [x for x in self.lines if x.mark in on_chain and depth[x.mark] <= least]
 
     def finish(self) -> list[Line]:
         self.close()
@@ -205,41 +254,53 @@ def dense(ratios: np.ndarray) -> np.ndarray:
             break
         threshold = moved
         if not (ratios > threshold).any() or (ratios > threshold).all():
-            break
+            return np.ones(len(ratios), bool)  # they differ by rounding only
     return ratios > threshold
 
 
-def region(lines: list[Line], size: np.ndarray, chosen: np.ndarray, paths: list[tuple[int, ...]]) -> list[Line]:
+def region(lines: list[Line], size: np.ndarray, chosen: np.ndarray, boxes: list[int],
+           around: dict[int, int]) -> list[Line]:
     """The lines in the innermost container with most dense text, and those that belong to it.
 
-    Beside it, a branch of the page belongs to it that has dense lines or is a title, and a line
+    `boxes` has the container of each line, `around` the one around each container, outer ones first. Beside
+    the region, a branch of the page belongs to it that has dense lines or is a title, and a line
     that stands in a container around it and is not made of links.
     """
-    weight: dict[int, float] = {}
-    number: dict[int, int] = {}
-    for path, n, take in zip(paths, size, chosen):
-        for c in path:
-            weight[c] = weight.get(c, 0.0) + n * take
-            number[c] = number.get(c, 0) + 1
-    whole = size[chosen].sum()
+    weight, number = dict.fromkeys([0, *around], 0.0), dict.fromkeys([0, *around], 0)
+    for box, n, take in zip(boxes, size, chosen):
+        weight[box] += n * take
+        number[box] += 1
+    for c in reversed(around):
+        weight[around[c]] += weight[c]
+        number[around[c]] += number[c]
+    most = MOST * size[chosen].sum()
     least = min(2, len(lines))  # a container of one line is a paragraph
-    around: tuple[int, ...] = ()
-    for path in paths:
-        depth = sum(weight[c] >= MOST * whole and number[c] >= least for c in path)
-        if depth > len(around):
-            around = path[:depth]
-    known = set(around)
-
-    def branch(path: tuple[int, ...]) -> int:
-        return next((c for c in path if c not in known), 0)
-
-    titles = {branch(p) for p in paths} - {branch(p) for x, p in zip(lines, paths) if not x.heading}
-    dense_ones = {branch(p) for p, take in zip(paths, chosen) if take}
+    depth = {0: 0}  # of the innermost container around that is large enough
+    large = {0: 0}  # that container
+    for c, outer in around.items():
+        grows = large[outer] == outer and weight[c] >= most and number[c] >= least
+        depth[c] = depth[outer] + grows
+        large[c] = c if grows else large[outer]
+    best = large[max(boxes, key=depth.__getitem__)]
+    known, inside, branch = {0}, {best}, {0: 0}
+    c = best
+    while c:
+        known.add(c)
+        c = around[c]
+    for c, outer in around.items():
+        if outer in inside:
+            inside.add(c)
+        branch[c] = 0 if c in known else branch[outer] or c
+    if not best:
+        inside.add(0)
+
+    titles = {branch[c] for c in boxes} - {branch[c] for x, c in zip(lines, boxes) if not x.heading}
+    dense_ones = {branch[c] for c, take in zip(boxes, chosen) if take}
     kept = []
-    for line, path, take in zip(lines, paths, chosen):
+    for line, box, take in zip(lines, boxes, chosen):
         linked = 2 * line.links > len(line.text)
-        at = branch(path)
-        if path[:len(around)] == around or take or not linked and (not at or at in titles or at in dense_ones):
+        at = branch[box]
+        if box in inside or take or not linked and (not at or at in titles or at in dense_ones):
             kept.append(line)
     return kept
 
@@ -250,12 +311,22 @@ def _unlinked_ends(kept: list[Line], lines: list[Line], chosen: np.ndarray) -> l
     spots = np.flatnonzero(chosen)
     if not len(spots):
         return kept
-    text = {x.path for x, take in zip(lines, chosen) if take}
-    ends = {id(x) for x in lines[:spots[0]] + lines[spots[-1] + 1:] if x.path not in text and 2 * x.links > len(x.text)}
+    text = {x.box for x, take in zip(lines, chosen) if take}
+    ends = {id(x) for x in lines[:spots[0]] + lines[spots[-1] + 1:] if x.box not in text and 2 * x.links > len(x.text)}
     return [x for x in kept if id(x) not in ends]
 
 
-def main_text(html: str | None) -> str:
+def clusters(lines: list[Line], pick: Callable[[np.ndarray], np.ndarray] = dense) -> np.ndarray:
+    """Which lines are dense: the upper cluster of the smoothed ratios, as `pick` splits them."""
+    ratios = np.array([len(x.text) / max(1, x.tags) for x in lines])
+    smooth = smoothed(ratios)
+    chosen = pick(smooth)
+    # a long line between short ones is dense, a line of links beside a long one is not
+    told = (chosen | (ratios >= smooth[chosen].min())) & np.array([2 * x.links <= len(x.text) for x in lines])
+    return told if told.any() else chosen
+
+
+def main_text(html: str | None, pick: Callable[[np.ndarray], np.ndarray] = dense) -> str:
     """The content lines of a page, joined by line breaks."""
     if not isinstance(html, str) or not html:
         return ""
@@ -265,20 +336,15 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     size = np.array([len(x.text) for x in lines], dtype=float)
-    ratios = size / np.array([max(1, x.tags) for x in lines])
-    smooth = smoothed(ratios)
-    chosen = dense(smooth)
-    # a long line between short ones is dense, a line of links beside a long one is not
-    told = (chosen | (ratios >= smooth[chosen].min())) & np.array([2 * x.links <= len(x.text) for x in lines])
-    chosen = told if told.any() else chosen
+    chosen = clusters(lines, pick)
     inside = np.array([x.root > 0 for x in lines])
-    paths = [x.path for x in lines]
     if inside.any() and size[inside & chosen].sum() >= 0.5 * size[~inside & chosen].sum():
         lines = [x for x in lines if x.root]
-        size, chosen = size[inside], chosen[inside]
         # whole articles: the region is a container of them
-        return "\n".join(x.text for x in region(lines, size, chosen, [x.path[:x.path.index(x.root)] for x in lines]))
-    return "\n".join(x.text for x in _unlinked_ends(region(lines, size, chosen, paths), lines, chosen))
+        kept = region(lines, size[inside], chosen[inside], [page.around[x.root] for x in lines], page.around)
+    else:
+        kept = _unlinked_ends(region(lines, size, chosen, [x.box for x in lines], page.around), lines, chosen)
+    return "\n".join(x.text for x in kept)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

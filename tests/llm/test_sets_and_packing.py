@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -293,6 +294,29 @@ def test_main_text_of_several_articles():
     assert html_density.main_text(outer).split("\n") == ["T", *want]
 
 
+def test_clusters_choose_the_region():
+    story = "<div><p>" + "A long line of the story. " * 20 + "</p><p>" + "And another line of it. " * 20 + "</p></div>"
+    beside = "".join(f"<div><b>Short</b> <i>line</i> {i}</div>" for i in range(6))
+    page = f"<body>{beside}{story}{beside}</body>"
+    kept = html_density.main_text(page).split("\n")
+    # smoothing makes the lines next to the story dense; the other ten short ones are not
+    assert [x[:8] for x in kept] == ["Short li", "A long l", "And anot", "Short li"]
+    # all lines taken as dense
+    assert len(html_density.main_text(page, lambda ratios: np.ones(len(ratios), bool)).split("\n")) == 14
+
+
+@pytest.mark.parametrize("page, lines", [
+    ("<div>" * 50_000 + "some text here", 1), ("<b>" * 50_000 + "<p>text</p>" * 20, 20),
+    ("<div><p>some words</p>" * 20_000, 20_000), ("<div class='main text'>a word" * 20_000, 20_000),
+    ("<div class='menu'>a word" * 20_000, 10_000), ("<li>item" * 20_000, 20_000),
+])
+def test_deep_pages_take_linear_time(page, lines):
+    start = time.process_time()
+    text = html_density.main_text(page)
+    assert time.process_time() - start < 20
+    assert len(text.split("\n")) == lines
+
+
 def test_extract_table(spark):
     df = spark.createDataFrame([(1, "u", PAGE, 5), (2, None, None, 6), (3, "v", "<p>" + "w " * 50_000, 7)],
                                "page_id bigint, url string, html string, n_chars int")
