@@ -285,9 +285,9 @@ def _linked_large(large: DataFrame, near: DataFrame, long: DataFrame, rule: Thre
     """Links of the candidate sets that are too large for one task.
 
     Every part of such a set also meets the documents most others were found by, which connects
-    nearly all of a group of copies. What is connected then is a group; a document visits the groups
-    of which some member is its candidate, and no others. `near` are the candidates of short runs, (a, b),
-    `long` the long runs, (token, _run, doc_id). Groups and their visitors are split where they are many.
+    nearly all of a group of copies. What is connected then is a group, small components share one; a document
+    visits the groups of which some member is its candidate, and no others. `near` are the candidates of short
+    runs, (a, b), `long` the long runs, (token, _run, doc_id). Groups and their visitors are split where they are many.
     """
     task = F.xxhash64("set_id", "_block")
     by_degree = Window.partitionBy("set_id").orderBy(F.desc("_degree"), "doc_id")
@@ -300,41 +300,63 @@ def _linked_large(large: DataFrame, near: DataFrame, long: DataFrame, rule: Thre
     known = materialise(large.select("doc_id", "set_id").distinct().join(
         components(first).withColumnRenamed("node", "doc_id"), "doc_id", "left"
     ).select("doc_id", "set_id", F.coalesce("label", "doc_id").alias("label")), "known")
-    # a long run all of whose documents are of its set's largest group has no visits to offer
-    largest = known.groupBy("set_id", "label").agg(F.count(F.lit(1)).alias("_n")).groupBy("set_id").agg(
-        F.max_by("label", F.struct("_n", "label")).alias("label")
-    )
+    counts = known.groupBy("set_id", "label").agg(F.count(F.lit(1)).alias("_n"))
+    # a long run all of whose documents are of its set's largest component has no visits to offer
+    largest = counts.groupBy("set_id").agg(F.max_by("label", F.struct("_n", "label")).alias("label"))
     others = known.join(largest, ["set_id", "label"], "left_anti").select("doc_id")
-    known = known.drop("set_id")
     open_runs = long.join(others, "doc_id", "left_semi").select("token", "_run").distinct()
-    marks = long.join(open_runs, ["token", "_run"], "left_semi").join(known, "doc_id")
-    groups = marks.select("token", "_run", F.col("label").alias("group")).distinct()
-    told = near.join(known.withColumnsRenamed({"doc_id": "a", "label": "_la"}), "a").join(
-        known.withColumnsRenamed({"doc_id": "b", "label": "_lb"}), "b"
+    held = long.join(open_runs, ["token", "_run"], "left_semi")
+    grouped = materialise(_grouped(known, counts, held), "groups")
+    marks = held.join(grouped, "doc_id")
+    groups = marks.select("token", "_run", F.col("group").alias("host")).distinct()
+    told = near.join(grouped.withColumnsRenamed({"doc_id": "a", "label": "_la", "group": "_ga"}), "a").join(
+        grouped.withColumnsRenamed({"doc_id": "b", "label": "_lb", "group": "_gb"}), "b"
     ).filter("_la <> _lb").select(
-        F.when(F.col("_la") > F.col("_lb"), F.col("a")).otherwise(F.col("b")).alias("doc_id"),
-        F.least("_la", "_lb").alias("group"),
-    )
-    visits = materialise(
-        marks.join(groups, ["token", "_run"]).filter("group < label").select("doc_id", "group").unionByName(told).distinct(),
-        "visits",
+        F.when(F.col("_ga") > F.col("_gb"), F.col("a")).otherwise(F.col("b")).alias("doc_id"),
+        F.least("_ga", "_gb").alias("host"),
     )
-    guests = visits.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_asks"))
-    plan = guests.join(
-        known.groupBy(F.col("label").alias("group")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts")), "group"
+    # components visit smaller ones; those of a packed group also meet each other
+    offered = marks.join(groups, ["token", "_run"]).filter("host < group OR (host = group AND host.packed)")
+    visits = materialise(offered.select("doc_id", "host").unionByName(told).distinct(), "visits")
+    plan = visits.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_asks")).join(
+        grouped.groupBy(F.col("group").alias("host")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts")), "host"
     )
-    sets = large.select("doc_id", "tokens")
-    pair = F.xxhash64("group", "_part", "_ask")
-    home = known.withColumnRenamed("label", "group").join(plan, "group").select(
-        "doc_id", "group", F.pmod(F.xxhash64("doc_id"), F.col("_parts")).alias("_part"),
+    pair = F.xxhash64("host", "_part", "_ask")
+    home = grouped.select("doc_id", F.col("group").alias("host")).join(plan, "host").select(
+        "doc_id", "host", F.pmod(F.xxhash64("doc_id"), F.col("_parts")).alias("_part"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_asks") - 1)).alias("_ask"),
     )
-    away = visits.join(plan, "group").select(
-        "doc_id", "group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part"),
+    away = visits.join(plan, "host").select(
+        "doc_id", "host", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part"),
         F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("_asks")).alias("_ask"),
     )
-    met = home.unionByName(away).withColumn("task", pair).join(sets, "doc_id").select("task", "doc_id", "tokens")
-    return first.unionByName(_linked(met, rule))
+    met = home.unionByName(away).select("doc_id", pair.alias("task")).distinct()
+    return first.unionByName(_linked(met.join(large.select("doc_id", "tokens"), "doc_id"), rule))
+
+
+def _grouped(known: DataFrame, counts: DataFrame, held: DataFrame) -> DataFrame:
+    """(doc_id, label, group): where documents are visited.
+
+    A component above half a `BLOCK` is a group of its own. Smaller ones are packed: each goes with the longest
+    run that a document of it is in, and what shares that run is one group, or as many as fill blocks; small ones
+    share groups. So a set has few more groups than blocks, however many of its documents are unlinked.
+    """
+    small = counts.filter(F.col("_n") <= BLOCK // 2)
+    longest = held.groupBy("token", "_run").agg(F.count(F.lit(1)).alias("_many"))
+    family = held.join(longest, ["token", "_run"]).join(known, "doc_id").join(small, ["set_id", "label"]).groupBy(
+        "set_id", "label"
+    ).agg(F.max(F.struct("_many", "token", "_run")).alias("_family"), F.max("_n").alias("_n"))
+    sizes = family.groupBy("set_id", "_family").agg(F.sum("_n").alias("_of_family"))
+    room = family.groupBy("set_id").agg(F.ceil(F.sum("_n") / BLOCK).alias("_packs"))
+    pack = F.when(
+        F.col("_of_family") >= BLOCK // 2,
+        F.xxhash64("_family", F.pmod(F.xxhash64("label"), F.ceil(F.col("_of_family") / BLOCK))),
+    ).otherwise(F.xxhash64("set_id", F.pmod(F.xxhash64("_family"), F.col("_packs"))))
+    packed = family.join(sizes, ["set_id", "_family"]).join(room, "set_id").select("set_id", "label", pack.alias("_pack"))
+    return known.join(packed, ["set_id", "label"], "left").select(
+        "doc_id", "label",
+        F.struct(F.col("_pack").isNotNull().alias("packed"), F.coalesce("_pack", "label").alias("id")).alias("group"),
+    )
 
 
 def jaccard_join(docs: DataFrame, rule: Threshold = Threshold(), text: str = "text") -> DataFrame:

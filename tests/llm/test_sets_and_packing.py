@@ -203,6 +203,28 @@ def test_join_against_brute_force(spark, monkeypatch, block):
     assert sum(a != i for i, (_, a) in want.items()) > 10
 
 
+def test_join_of_variants_that_share_a_core_but_are_mostly_unlinked(spark, monkeypatch):
+    monkeypatch.setattr(group_matrix, "BLOCK", 8)
+    monkeypatch.setattr(group_matrix, "HUBS", 1)
+    monkeypatch.setattr(group_matrix, "SHORT", 4)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(120)]
+    data = []
+    for i in range(90):
+        copy = list(words)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 7])):
+            copy[rng.randrange(120)] = f"x{rng.random()}"
+        data.append((i, " ".join(copy)))
+    for i in range(6):  # pairs that are linked with each other and hardly with the rest
+        copy = words[:100] + [f"pair{i}_{k}" for k in range(20)]
+        data += [(len(data), " ".join(copy)), (len(data) + 1, " ".join(["start", *copy]))]
+    want = brute_join(data, 4, 85)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in group_matrix.jaccard_join(
+        spark.createDataFrame(data, PLAIN)).collect()}
+    assert got == want
+    assert len({c for _, c in want.values()}) > 20
+
+
 def test_join_odd_tables(spark):
     text = "a b c d e f"
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (0, text)], PLAIN)
