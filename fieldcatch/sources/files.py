@@ -176,12 +176,14 @@ def canonical_water(raw: DataFrame) -> DataFrame:
 
 def write_delimited(
     df: DataFrame, path: str, missing: str = "", sep: str = ",", one_file: bool = False,
-    partition_by: tuple[str, ...] = (), replace: bool = False,
+    partition_by: tuple[str, ...] = (), replace: bool = False, compression: str | None = None,
 ) -> None:
     """Write with a header; missing values as `missing` and blank text as quoted blank.
 
     `replace` overwrites what is there: with `partition_by` only the partitions that `df` has rows of.
 
+    `compression` names a codec of Spark's text files, such as gzip; a compressed file is read by one task.
+
     `one_file` is for the hand-off of a single trip; leave it out at scale and partition by trip.
     Rows are then gathered by partition before the write, which keeps the number of files
     down; adaptive execution splits a partition that is too large for one task.
@@ -193,6 +195,8 @@ def write_delimited(
     writer = writer.option("emptyValue", '""').option("escape", '"')
     writer = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if replace:

@@ -17,7 +17,7 @@ SELECT ID, {_NOTE} AS SPECIMEN_NOTES, TOTAL_LENGTH FROM export""")
 def _(t):
     """One file with line breaks in quotes, read by many tasks."""
     note = F.concat(F.lit('line one\nline "two"\t'), F.col("ID"), F.lit("\n"))
-    path = jobs._written(t.export.select("ID", note.alias("SPECIMEN_NOTES"), "TOTAL_LENGTH"), "one", missing="NA", sep="\t", one_file=True)
+    path = jobs._written(t.export.select("ID", note.alias("SPECIMEN_NOTES"), "TOTAL_LENGTH"), "one", missing="NA", sep="\t", one_file=True, compression=None)
     columns = [("ID", "string"), ("SPECIMEN_NOTES", "string"), ("TOTAL_LENGTH", "double")]
     return files.scan_export(t.spark, path, columns, multiline="split")
 

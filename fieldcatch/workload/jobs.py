@@ -310,6 +310,9 @@ _FILE_NAMES = ", ".join(schemas.names(_FILE_COLUMNS))
 
 
 def _written(df, label, **options):
+    """Where `df` was written. An export with all its columns is several times the size of the tables it is made of, so
+    it is compressed: each of its files is read by one task all the same."""
+    options = {"compression": "lz4", **options}
     path = fresh_path(df.sparkSession, label)
     files.write_delimited(df, path, **options)
     return path

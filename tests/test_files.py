@@ -9,6 +9,7 @@ import pytest
 
 from fieldcatch import schemas
 from fieldcatch.sources import files, quoted
+from fieldcatch.workload import jobs
 
 COLUMNS = (("ID", "string"), ("NOTE", "string"), ("N", "int"))
 
@@ -170,3 +171,18 @@ def test_rejects_come_with_the_scan(spark, tmp_path, multiline):
     assert sorted(map(str, rows.collect())) == sorted(map(str, files.scan_export(spark, path, QUOTED).collect()))
     assert {tuple(r)[:3] for r in rejects.collect()} == {tuple(r) for r in files.scan_rejects(spark, path, QUOTED).collect()}
     assert rows.columns == ["ID", "NOTE", "N"] and rejects.first()["file"].endswith("q.txt")
+
+
+def test_exports_on_the_way_to_a_scan_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(f"a{i}", 'say "ok",\ntwice' if i % 2 else "", None if i % 3 else 1.5) for i in range(2000)],
+        "ID string, SPECIMEN_NOTES string, TOTAL_LENGTH double")
+    columns = [("ID", "string"), ("SPECIMEN_NOTES", "string"), ("TOTAL_LENGTH", "double")]
+    path = jobs._written(rows, "export", missing="NA", sep="\t")
+    assert sorted(files.scan_export(spark, path, columns).collect()) == sorted(rows.collect())
+    files.write_delimited(rows, str(tmp_path / "plain"), missing="NA", sep="\t")
+
+    def size(folder):
+        return sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.startswith("part-"))
+
+    assert size(path) < size(tmp_path / "plain") / 2
