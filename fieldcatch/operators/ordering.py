@@ -67,9 +67,9 @@ def number_within(df: DataFrame, group: str, order: list[str], out: str, before:
     parts = placed.groupBy(_RANGE, group).agg(F.min(_PLACE).alias("_from"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     done = parts.withColumn("_done", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    starts = attach(done, before.select(group, "before"), [group]).select(
+    starts = materialise(attach(done, before.select(group, "before"), [group]).select(
         _RANGE, group, (F.col("_done") + F.coalesce("before", F.lit(0)) - F.col("_from") + 1).alias("_add")
-    )
+    ), "starts")
     return attach(placed, starts, [_RANGE, group]).select(
         *df.columns, (F.col(_PLACE) + F.col("_add")).cast("bigint").alias(out)
     )
@@ -127,11 +127,11 @@ def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, flo
         F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
     whole = F.col("_total") < ACCURACY
-    brackets = sketch.select(*groups, "_total", *[
+    brackets = materialise(sketch.select(*groups, "_total", *[
         # at the ends the sketch may miss the outermost value
         F.when(whole | F.lit(edges[2 * i + k] in (0.0, 1.0)), F.col(end)).otherwise(F.col("_edges")[2 * i + k]).alias(f"_{side}_{i}")
         for i in range(len(names)) for k, (side, end) in enumerate((("lo", "_min"), ("hi", "_max")))
-    ])
+    ]), "brackets")
     seen = attach(values, brackets, groups) if groups else values.withColumns(
         {c: brackets.select(c).scalar() for c in brackets.columns}
     )

@@ -114,10 +114,10 @@ def measurement_outliers(export: DataFrame, digits: int = 6) -> DataFrame:
     def fence(name: str, edge) -> Column:
         return F.max(F.when(F.col("_ratio") == name, F.round(edge, digits)))
 
-    fences = q.groupBy("SPECIES").agg(*[
+    fences = materialise(q.groupBy("SPECIES").agg(*[
         fence(n, edge).alias(f"_{side}_{n}")
         for n in names for side, edge in (("low", F.col("_q1") - reach), ("high", F.col("_q3") + reach))
-    ])
+    ]), "fences")
     flags = {
         f"{n}_outlier": F.coalesce((F.col(n) < F.col(f"_low_{n}")) | (F.col(n) > F.col(f"_high_{n}")), F.lit(False))
         for n in names
@@ -142,7 +142,9 @@ def species_plausible(export: DataFrame, rules: DataFrame | None = None) -> Data
     where nothing does, as for species without a rule.
     """
     given = rules if rules is not None else plausibility_rules(export.sparkSession)
-    told = attach(export, given.select("SPECIES", F.struct(*[c for c in given.columns if c != "SPECIES"]).alias("_rule")), ["SPECIES"])
+    # stored, so that Spark knows how small it is and does not deal all rows out by their few species first
+    named_rule = materialise(given.select("SPECIES", F.struct(*[c for c in given.columns if c != "SPECIES"]).alias("_rule")), "rules")
+    told = attach(export, named_rule, ["SPECIES"])
     rule = F.col("_rule")
 
     def text(column: str) -> Column:

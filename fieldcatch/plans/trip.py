@@ -37,7 +37,7 @@ def end_miles(sites: DataFrame) -> DataFrame:
     """Add `end_rm`: the start mile of the next site down the same side. Only the two banks
     have a next site; others are dropped."""
     banks = sites.filter(F.col("RiverSide").isin("L", "R"))
-    return ordering.neighbour(banks, ["RiverSide"], ["site_seq"], {"start_rm": "end_rm"}, step=1)
+    return materialise(ordering.neighbour(banks, ["RiverSide"], ["site_seq"], {"start_rm": "end_rm"}, step=1), "sites")
 
 
 def parse_export_times(export: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from fieldcatch.operators.corrections import apply_corrections
 from fieldcatch.operators.lookups import attach
 from fieldcatch.plans import loads, trip
 from fieldcatch.plans.presets import Preset
-from fieldcatch.runtime import drop_stored, stored_paths
+from fieldcatch.runtime import drop_stored, materialise, stored_paths
 from fieldcatch.sources import files
 
 TRIP = trip.TRIP
@@ -167,7 +167,7 @@ def tables_of(spark: SparkSession, presets: list[Preset], export, sites: str | N
     gear, known = presets[0].gear, {p.config.trip_id for p in presets}
     if len({p.gear for p in presets}) > 1 or len(known) < len(presets):
         raise ValueError("trips of one job have one gear and ids of their own")
-    settings = settings_frame(spark, presets)
+    settings = materialise(settings_frame(spark, presets), "settings")  # of known size, see there
     all_fixes = fixes_frame(spark, presets)
     fixes, late = all_fixes.filter("NOT late").drop("late"), all_fixes.filter("late").drop("late")
     turns = sorted({(before, turn, key) for p in presets for turn, (before, key, *_) in enumerate(p.splits)})

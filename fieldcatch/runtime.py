@@ -59,11 +59,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     What is read back no longer depends on the executors that computed it, and later readers
-    still prune columns and push filters into the files.
+    still prune columns and push filters into the files. Its size is known when a join is planned, so a small side
+    is broadcast at once; of one that is only computed Spark learns it when the other side has been shuffled.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fieldcatch.operators import corrections
 from fieldcatch.plans import loads, trip, trips
 from fieldcatch.config import TripConfig
+from fieldcatch.runtime import materialise
 from fieldcatch.workload import jobs
 from fieldcatch.workload.adapter import CORRECTIONS_LAYOUT
 from fieldcatch.workload.registry import query
@@ -26,10 +27,10 @@ def _settings(t):
     ids = t.export.select(F.upper(TRIP).alias(TRIP)).distinct()
     told = ids.selectExpr(TRIP, *[f"{e.format(ts='timestamp_ntz')} AS {n}" for n, e in _SETTINGS.items()])
     upper = F.array(*map(F.lit, trip.UPPER_ELECTROFISHING))
-    return told.withColumns({
+    return materialise(told.withColumns({
         "cutoff": F.lit(None).cast("timestamp_ntz"), "early_note": F.lit(None).cast("string"),
         "upper": F.when(F.expr(f"{_MONTH} % 5 = 0"), upper).otherwise(F.array_append(upper, "S_GPS_ID")),
-    })
+    }), "settings")
 
 
 def _rows(t):

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldcatch.operators import catch, columns, corrections, lookups, ordering, quality, summary
-from fieldcatch.runtime import shared_dir
+from fieldcatch.runtime import materialise, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -223,7 +223,7 @@ def test_quality_flags(spark):
 
 
 def test_stored_tables_can_be_dropped(spark):
-    from fieldcatch.runtime import drop_stored, materialise
+    from fieldcatch.runtime import drop_stored
 
     stored = materialise(spark.range(3), "test")
     path = stored.inputFiles()[0]
@@ -293,3 +293,26 @@ def test_conformance(spark):
         ("a", "codes", 2, "zz"), ("a", "width", 1, "zz"), ("a", "required", 2, ""), ("b", "type", 4, None), ("c", "present", 4, None)}
     good = spark.createDataFrame([("x", 1)], "a string, b int").selectExpr("a", "b", "1 AS c")
     assert quality.conformance(good, rules).count() == 0
+
+
+def _planned(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+def test_small_sides_are_known_to_be_small_before_rows_are_dealt_out(spark):
+    fish = spark.range(200).selectExpr(
+        "cast(id AS string) AS ID", "CASE WHEN id % 9 = 0 THEN 'FHM' ELSE 'RBT' END AS SPECIES", "cast(50 + id AS double) AS TOTAL_LENGTH",
+        "cast(45 + id AS double) AS FORK_LENGTH", "cast(9 + id * id AS double) AS WEIGHT", "'' AS FISH_TAG", "'' AS FINCLIP1")
+    for df in (quality.species_plausible(fish), quality.measurement_outliers(fish)):
+        plan = _planned(df)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    before = spark.createDataFrame([("FHM", 10), ("RBT", 20)], "SPECIES string, before bigint")
+    numbered = ordering.number_within(fish, "SPECIES", ["ID"], "k", before)
+    assert "SortMergeJoin" not in _planned(numbered)
+    assert {(r[0], r[1]) for r in numbered.groupBy("SPECIES").agg(F.min("k"), F.max("k")).select("SPECIES", "max(k)").collect()} == {
+        ("FHM", 33), ("RBT", 197)}
+
+
+def test_stored_tables_are_compressed_well(spark):
+    path = materialise(spark.range(1000), "test").inputFiles()[0]
+    assert path.endswith(".zstd.parquet")
