@@ -15,12 +15,17 @@ had been asked for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcatch.operators.lookups import attach
+from fieldcatch.operators.ordering import may_be_listed
 from fieldcatch.runtime import materialise
 
+#: Of more corrections of one key column, rows without any pass by the join.
+FEW = 20_000
 SCHEMA = "round int, column string, key_column string, key_value string, new_value string"
 
 
@@ -116,6 +121,7 @@ def _apply(df: DataFrame, corrections: DataFrame, used, by: tuple[str, ...], log
     for number in sorted({r for r, _, _ in used}):
         this_round = corrections.filter(F.col("round") == number)
         fixes: dict[str, list[str]] = {}
+        asked: dict[str, DataFrame] = {}
         for key_column in sorted({k for r, k, _ in used if r == number}):
             columns = [c for r, k, c in used if r == number and k == key_column]
             per_key = (
@@ -124,10 +130,10 @@ def _apply(df: DataFrame, corrections: DataFrame, used, by: tuple[str, ...], log
                 .agg(*[_agreed(c, types[c]).alias(f"_{key_column}_{c}") for c in columns])
                 .filter(F.col("_value").isNotNull())
             )
-            keyed = out.withColumn("_value", F.col(key_column))
-            out = attach(keyed, per_key, [*by, "_value"]).drop("_value")
+            asked[key_column] = materialise(per_key, "fixes")  # read again, and of known size
             for c in columns:
                 fixes.setdefault(c, []).append(key_column)
+        out = _with_fixes(out, asked, by)
         replaced, entries = {}, []
         for c, found in fixes.items():
             value = entry = None
@@ -152,6 +158,37 @@ def _apply(df: DataFrame, corrections: DataFrame, used, by: tuple[str, ...], log
     return out
 
 
+def _with_fixes(rows: DataFrame, asked: dict[str, DataFrame], by: tuple[str, ...]) -> DataFrame:
+    """`rows` with the fixes of their keys. `asked` holds a frame (*by, _value, fixes) for each key column.
+
+    Few corrections are small enough for Spark to broadcast. Of many, a filter of fixed size tells which rows
+    may have one; only those meet the corrections in a shuffle, all others pass by. The rows are stored for it, as
+    they are read twice.
+    """
+    many = [k for k, fixes in asked.items() if fixes.count() > FEW]
+    if many:
+        told = rows
+        for k in many:
+            told = may_be_listed(told, k, asked[k].select("_value"), f"_may_{k}")
+        may = reduce(lambda a, b: a | b, [F.col(f"_may_{k}") for k in many])
+        told, may = materialise(told.select(*rows.columns, may.alias("_may")), "told"), F.col("_may")
+        none = told.filter(~may).select(*rows.columns, *[
+            F.lit(None).cast(f.dataType).alias(f.name) for k in many for f in asked[k].schema if f.name not in ("_value", *by)
+        ])
+        rows = told.filter(may).select(*rows.columns)
+        for k in many:
+            rows = _attached(rows, asked[k], k, by)
+        rows = none.unionByName(rows)
+    for k in asked:
+        if k not in many:
+            rows = _attached(rows, asked[k], k, by)
+    return rows
+
+
+def _attached(rows: DataFrame, fixes: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
+    return attach(rows.withColumn("_value", F.col(key)), fixes, [*by, "_value"]).drop("_value")
+
+
 def _agreed(column: str, kind: str):
     """The one new value all usable corrections of `column` agree on, in a struct; else null."""
     value = F.col("new_value")

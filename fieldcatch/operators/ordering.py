@@ -169,14 +169,24 @@ def maybe_repeated(rows: DataFrame, key: str) -> DataFrame:
     Hashes of keys are counted first, reduced before the shuffle; those met twice set a bit of a filter of fixed size
     (at most 2048 rows of 4 kB), which is sent to every task. So no row of a unique key is shuffled.
     """
+    twice = rows.groupBy(F.xxhash64(key).alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return _look_up(rows, key, twice, "inner").filter("_on").select(*rows.columns)
+
+
+def may_be_listed(rows: DataFrame, key: str, listed: DataFrame, flag: str) -> DataFrame:
+    """`rows` with a flag that is true where the key stands in `listed`, a frame of one column of the same type, and
+    for a few others. No row is shuffled: the filter is that of `maybe_repeated`."""
+    hashes = listed.select(F.xxhash64(listed.columns[0]).alias("_h"))
+    return _look_up(rows, key, hashes, "left").select(*rows.columns, F.coalesce("_on", F.lit(False)).alias(flag))
+
+
+def _look_up(rows: DataFrame, key: str, hashes: DataFrame, how: str) -> DataFrame:
+    """Whether the bit of each row's key is set in the filter of `hashes`."""
     place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
-    twice = rows.groupBy(F.xxhash64(key).alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
-        F.pmod("_h", F.lit(FILTER_BITS)).alias("_p")
-    )
-    bits = twice.groupBy(F.floor(F.col("_p") / ROW_BITS).alias("_row")).agg(
+    bits = hashes.select(F.pmod("_h", F.lit(FILTER_BITS)).alias("_p")).groupBy(F.floor(F.col("_p") / ROW_BITS).alias("_row")).agg(
         F.bitmap_construct_agg(F.col("_p") % ROW_BITS).alias("_bits")
     )
     placed = rows.withColumns({"_row": F.floor(place / ROW_BITS), "_bit": place % ROW_BITS})
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    byte = F.ascii(F.decode(F.substring("_bits", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
     on = byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 AS int))")) > 0
-    return placed.join(F.broadcast(bits), "_row").filter(on).select(*rows.columns)
+    return placed.join(F.broadcast(bits), "_row", how).withColumn("_on", on)

@@ -316,3 +316,30 @@ def test_small_sides_are_known_to_be_small_before_rows_are_dealt_out(spark):
 def test_stored_tables_are_compressed_well(spark):
     path = materialise(spark.range(1000), "test").inputFiles()[0]
     assert path.endswith(".zstd.parquet")
+
+
+@pytest.mark.parametrize("few", [corrections.FEW, 0])
+def test_rows_without_a_correction_pass_by_many(spark, monkeypatch, few):
+    monkeypatch.setattr(corrections, "FEW", few)
+    export = spark.createDataFrame(
+        [(f"i{i % 50}" if i % 7 else None, f"s{i % 20}", float(i), "x" if i % 3 else None) for i in range(100)],
+        "ID string, SAMPLE_ID string, WEIGHT double, SITE string")
+    fixes = spark.createDataFrame([
+        (1, "WEIGHT", "ID", "i3", "7.5"), (1, "WEIGHT", "ID", "i4", None), (1, "WEIGHT", "SAMPLE_ID", "s3", "9"),
+        (1, "SITE", "SAMPLE_ID", "s5", "moved"), (2, "WEIGHT", "SITE", "moved", "1"), (1, "SITE", "WEIGHT", "-0.0", "zero"),
+    ], corrections.SCHEMA)
+    fixed, log = corrections.apply_logged(export, fixes)
+    want, told = [], 0
+    for r in export.collect():
+        site, weight = r.SITE, r.WEIGHT
+        told += (r.ID in ("i3", "i4") or r.SAMPLE_ID == "s3") + (r.SAMPLE_ID == "s5" or r.WEIGHT == 0)
+        if r.SAMPLE_ID == "s3":
+            weight = 9.0
+        if r.ID in ("i3", "i4"):
+            weight = {"i3": 7.5, "i4": None}[r.ID]
+        site = "moved" if r.SAMPLE_ID == "s5" else "zero" if r.WEIGHT == 0 else site
+        told += site == "moved"
+        want.append((r.ID, r.SAMPLE_ID, 1.0 if site == "moved" else weight, site))
+    assert sorted(map(tuple, fixed.collect()), key=str) == sorted(want, key=str) and log.count() == told
+    plan = _planned(corrections.apply_corrections(export, fixes))
+    assert ("Union" in plan) == (few == 0) and "SortMergeJoin" not in plan
