@@ -12,12 +12,24 @@ from fieldcatch.workload.registry import query
 _NOTE = "concat('line one', chr(10), 'line \"two\"', chr(9), ID, chr(10))"
 
 
+#: A file of so many rows of `scan_split` has several splits.
+ROWS_PER_FILE = 8_000_000
+
+
+def _in_large_files(rows, count):
+    """Where `rows`, at most `count`, were written: one file as long as a task can write it, as few as that after. The
+    rows are dealt out to the files, so that what computes them is not drawn into the tasks that write."""
+    dealt = rows.repartition(max(1, -(-count // ROWS_PER_FILE)))
+    return jobs._written(dealt, "large", missing="NA", sep="\t", compression=None)
+
+
 @query("scan_split", f"""
 SELECT ID, {_NOTE} AS SPECIMEN_NOTES, TOTAL_LENGTH FROM export""")
 def _(t):
-    """One file with line breaks in quotes, read by many tasks."""
+    """Files with line breaks in quotes, each read by many tasks."""
     note = F.concat(F.lit('line one\nline "two"\t'), F.col("ID"), F.lit("\n"))
-    path = jobs._written(t.export.select("ID", note.alias("SPECIMEN_NOTES"), "TOTAL_LENGTH"), "one", missing="NA", sep="\t", one_file=True, compression=None)
+    rows = t.export.select("ID", note.alias("SPECIMEN_NOTES"), "TOTAL_LENGTH")
+    path = _in_large_files(rows, t.table("lineitem").count())
     columns = [("ID", "string"), ("SPECIMEN_NOTES", "string"), ("TOTAL_LENGTH", "double")]
     return files.scan_export(t.spark, path, columns, multiline="split")
 

@@ -6,10 +6,11 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldcatch import schemas
 from fieldcatch.sources import files, quoted
-from fieldcatch.workload import jobs
+from fieldcatch.workload import checks, jobs
 
 COLUMNS = (("ID", "string"), ("NOTE", "string"), ("N", "int"))
 
@@ -186,3 +187,15 @@ def test_exports_on_the_way_to_a_scan_are_compressed(spark, tmp_path):
         return sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.startswith("part-"))
 
     assert size(path) < size(tmp_path / "plain") / 2
+
+
+def test_rows_for_large_files_are_computed_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(checks, "ROWS_PER_FILE", 400)
+    rows = spark.range(0, 1000, numPartitions=8).select(
+        F.col("id").cast("string").alias("ID"), F.concat(F.lit("one\n"), "id").alias("NOTE"), F.spark_partition_id().alias("N"))
+    for count, parts in ((1000, 3), (400, 1)):
+        path = checks._in_large_files(rows, count)
+        assert len(glob.glob(os.path.join(path, "part-*"))) == parts
+        got = files.scan_export(spark, path, COLUMNS, multiline="split").collect()
+        assert sorted(got) == sorted(rows.collect())
+        assert {r.N for r in got} == set(range(8))  # the rows come from eight tasks, whatever the number of files
