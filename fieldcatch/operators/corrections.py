@@ -24,8 +24,8 @@ from fieldcatch.operators.lookups import attach
 from fieldcatch.operators.ordering import may_be_listed
 from fieldcatch.runtime import materialise
 
-#: Of more corrections of one key column, rows without any pass by the join.
-FEW = 20_000
+#: Of more corrections of one key column, which no longer fit a broadcast, rows without any pass by the join.
+FEW = 500_000
 SCHEMA = "round int, column string, key_column string, key_value string, new_value string"
 
 
