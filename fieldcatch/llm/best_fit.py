@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import os
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -22,11 +23,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldcatch.llm.workers import per_worker
+from fieldcatch.llm.workers import forget, per_worker, tidy
 from fieldcatch.runtime import materialise
 
-#: Token lists of so many distinct words stay in a Python worker, of words up to so many bytes.
-CACHED_WORDS, CACHED_BYTES = 900_000, 32
+#: Token lists of so many distinct words and parts of words stay in a Python worker, of those up to so many bytes.
+#: They take about 150 MB of a worker, and an executor keeps a worker for every task that runs at once.
+CACHED_WORDS, CACHED_BYTES = 600_000, 32
 #: Punctuation that is a token of its own behind a letter or digit.
 TAIL = b".,;:!?"
 #: Pieces a shard holds on average: enough that its last half-filled sequences do not matter.
@@ -59,8 +61,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}  # of words, and of parts as well: a part has no other part
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
@@ -81,19 +82,18 @@ class WordTokens:
         return core.decode()[-1].isalnum() and unicodedata.normalize("NFC", core.decode()).lower()[-1].isalnum()
 
     def _code(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of the given words."""
+        """Ids of the given words, and of those of their parts that are not held."""
         parts = {w: self._parts(w) for w in words}
-        known, found = self.parts, {b"": b""}
+        known, found = self.words, {b"": b""}
         new = list({p for pair in parts.values() for p in pair if p and p not in known})
         for i in range(0, len(new), 4096):
             some = new[i:i + 4096]
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            found.update((w, np.asarray(c.ids, dtype="<u4").tobytes()) for w, c in zip(some, coded))
-        joined = {w: (known[a] if a in known else found[a]) + (known[b] if b in known else found[b])
-                  for w, (a, b) in parts.items()}
-        if len(known) < CACHED_WORDS:
-            known.update((w, ids) for w, ids in found.items() if 0 < len(w) <= CACHED_BYTES)
-        return joined
+            found.update((w, struct.pack(f"<{len(c.ids)}I", *c.ids)) for w, c in zip(some, coded))
+        for w, (a, b) in parts.items():
+            if w not in found:
+                found[w] = (known[a] if a in known else found[a]) + (known[b] if b in known else found[b])
+        return found
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -104,7 +104,7 @@ class WordTokens:
             return b"".join(map(held.__getitem__, words))
         found = self._code(new)
         if len(held) < CACHED_WORDS and len(text) < 1 << 20:
-            held.update((w, ids) for w, ids in found.items() if len(w) <= CACHED_BYTES)
+            held.update((w, ids) for w, ids in found.items() if 0 < len(w) <= CACHED_BYTES)
         return b"".join([held[w] if w in held else found[w] for w in words])
 
 
@@ -118,10 +118,11 @@ def pieces(docs: DataFrame, longest: int, path: str | None = None, end_id: int =
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): every document's ids and `end_id`, cut at `longest`."""
     where = path or tokenizer_path()
+    name = f"tokens {where}"
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = per_worker(f"tokens {where}", lambda: WordTokens(where))
+        coder = per_worker(name, lambda: WordTokens(where))
         for batch in batches:
             rows = []
             for key, body in zip(batch["doc_id"], batch["text"]):
@@ -133,7 +134,7 @@ def pieces(docs: DataFrame, longest: int, path: str | None = None, end_id: int =
             yield frame.astype({"doc_id": batch["doc_id"].dtype})
 
     return docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        cut, "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint"
+        tidy(cut, name), "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint"
     ).withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
@@ -186,6 +187,7 @@ def pack(parts: DataFrame, capacity: Capacity = Capacity(), rule: str = "norm",
     shards = max(1, math.ceil(stored.count() / shard_pieces))
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
+        forget()
         group = group.sort_values(["length", "_tie", "ids_crc32", "start"], ascending=False, kind="stable")
         bins, offsets = best_fit(group["length"].to_numpy(), capacity, rule, weights)
         group["sequence_id"] = group["_shard"].to_numpy() * (1 << 24) + bins

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcatch.llm.components import components
-from fieldcatch.llm.workers import forget
+from fieldcatch.llm.workers import tidy
 from fieldcatch.runtime import drop_stored, materialise, stored_paths
 
 #: Counters of the frequency sketch, and counters per row it is written in. The sketch only sets the order
@@ -98,7 +98,6 @@ def tokens(text: str | None, words: int = 4) -> np.ndarray:
 def _meta(docs: DataFrame, rule: Threshold, text: str) -> DataFrame:
     """One row per document (id, size, 128-bit digest of its tokens), and each task's counts of tokens."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forget()
         counters = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
         shift = _M(64 - SKETCH_BITS)
         seen = False
@@ -123,7 +122,7 @@ def _meta(docs: DataFrame, rule: Threshold, text: str) -> DataFrame:
             })
 
     return docs.select(F.col("doc_id").cast("string"), F.col(text).alias("text")).mapInPandas(
-        read, "doc_id string, n bigint, s1 bigint, s2 bigint, chunk int, counts binary"
+        tidy(read), "doc_id string, n bigint, s1 bigint, s2 bigint, chunk int, counts binary"
     )
 
 
@@ -149,7 +148,6 @@ def _levels(counted: DataFrame) -> bytes:
 def _prefixes(docs: DataFrame, rule: Threshold, levels: bytes, text: str) -> DataFrame:
     """(token, s1, s2, n): the first tokens of each class, ordered by level and hash."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forget()
         level = np.frombuffer(levels, dtype=np.uint8)
         shift = _M(64 - SKETCH_BITS)
         sent: set[bytes] = set()
@@ -177,7 +175,7 @@ def _prefixes(docs: DataFrame, rule: Threshold, levels: bytes, text: str) -> Dat
                     "s2": np.repeat(pair[:, 1], lengths), "n": np.repeat(np.array(sizes, dtype=np.int64), lengths),
                 })
 
-    return docs.select(F.col(text).alias("text")).mapInPandas(read, "token bigint, s1 bigint, s2 bigint, n bigint")
+    return docs.select(F.col(text).alias("text")).mapInPandas(tidy(read), "token bigint, s1 bigint, s2 bigint, n bigint")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, rule: Threshold, text: str) -> DataFrame:
@@ -202,7 +200,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, rule: Threshold, text: str) -> Dat
 
     read_again = docs.filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"), bucket.alias("bucket")
-    ).mapInPandas(read, "doc_id bigint, n bigint, tokens binary")
+    ).mapInPandas(tidy(read), "doc_id bigint, n bigint, tokens binary")
     return read_again.join(wanted, "doc_id")
 
 

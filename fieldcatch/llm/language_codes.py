@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldcatch.llm.workers import forget, per_worker
+from fieldcatch.llm.workers import per_worker, tidy
 from fieldcatch.runtime import materialise
 
 BUCKETS = 1 << 14
@@ -119,7 +119,6 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     )
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forget()
         for batch in batches:
             sums: dict[str, np.ndarray] = {}
             for body, name in zip(batch["text"], batch["lang"]):
@@ -130,7 +129,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
                 at = np.flatnonzero(total)
                 yield pd.DataFrame({"lang": name, "bucket": at.astype("int32"), "n": total[at].astype("int64")})
 
-    summed = sample.mapInPandas(counts, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(
+    summed = sample.mapInPandas(tidy(counts, "letters"), "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(
         F.sum("n").alias("n")
     ).toPandas()
     table = np.full((len(languages), BUCKETS), 0.5)
@@ -153,7 +152,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
                         "pull": side * np.sqrt(found.sum()), "n": found.sum(),
                     })
 
-    rates = sample.mapInPandas(right, "lang string, bit int, hit double, pull double, n bigint").groupBy("lang", "bit").agg(
+    rates = sample.mapInPandas(tidy(right, "letters"), "lang string, bit int, hit double, pull double, n bigint").groupBy("lang", "bit").agg(
         F.avg("hit").alias("hit"), (F.sum("pull") / F.sum("n")).alias("pull")
     ).toPandas()
     at = rates["lang"].map(index).to_numpy(dtype=int), rates["bit"].to_numpy()
@@ -187,20 +186,21 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` plus lang_pred, score and ambiguous."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
 
-    def score(texts: pd.Series) -> pd.DataFrame:
-        names, scores = [], []
-        for body in texts:
-            found = gram_counts(body) if model.languages else None
-            if found is None:
-                names.append(UNKNOWN)
-                scores.append(0.0)
-            else:
-                best, won = decode(_margins(found, model.odds), int(found.sum()), model)
-                names.append(model.languages[best])
-                scores.append(won)
-        return pd.DataFrame({"lang_pred": names, "score": scores})
-
-    guess = F.pandas_udf(score, "lang_pred string, score double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            names, scores = [], []
+            for body in texts:
+                found = gram_counts(body) if model.languages else None
+                if found is None:
+                    names.append(UNKNOWN)
+                    scores.append(0.0)
+                else:
+                    best, won = decode(_margins(found, model.odds), int(found.sum()), model)
+                    names.append(model.languages[best])
+                    scores.append(won)
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
+
+    guess = F.pandas_udf(tidy(score, "letters"), "lang_pred string, score double")
     return docs.select(*kept).withColumn("_guess", guess(F.col(text))).select(
         *kept, F.col("_guess.lang_pred").alias("lang_pred"), F.col("_guess.score").alias("score"),
         ((F.col("_guess.lang_pred") != UNKNOWN) & (F.col("_guess.score") < CLEAR)).alias("ambiguous"),

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldcatch.runtime import local_table
+
 try:
     from re import _parser as _sre  # Python 3.11 and later
 except ImportError:
@@ -130,7 +132,7 @@ def candidates(docs: DataFrame, rules=RULES, doc_id: str = "doc_id", text: str =
         for rule in rules for branch, grams in enumerate(trigram_query(rule.pattern) or [])
         for gram in sorted(grams)
     ]
-    wanted = spark.createDataFrame(rows, "gram string, kind string, branch int, need int")
+    wanted = local_table(spark, rows, "gram string, kind string, branch int, need int")
     listed = postings(docs, sorted({r[0] for r in rows}), doc_id, text)
     # the query table is as small as the rules are few
     met = listed.join(F.broadcast(wanted), "gram").groupBy("_id", "_print", "kind", "branch", "need").agg(

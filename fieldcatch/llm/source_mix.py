@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldcatch.runtime import materialise
+from fieldcatch.runtime import local_table, materialise
 
 #: White space between words; the weights of the sources, in turn.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -127,8 +127,8 @@ def slots(spark, mix: list[Share], block_words: int = BLOCK_WORDS, shard_slots:
 
     drawn = spark.range(shards).mapInPandas(draw, "shard bigint, rank int, n bigint")
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    limits = F.broadcast(spark.createDataFrame(  # one row per source
-        [(s.rank, s.quota) for s in mix], "rank int, quota bigint"
+    limits = F.broadcast(local_table(  # one row per source
+        spark, [(s.rank, s.quota) for s in mix], "rank int, quota bigint"
     ))
     begun = drawn.withColumn("begin", F.coalesce(F.sum("n").over(before), F.lit(0))).join(limits, "rank")
     inside = begun.select("shard", "rank", "begin", F.least(F.col("begin") + F.col("n"), "quota").alias("end"))
@@ -148,7 +148,8 @@ def slots(spark, mix: list[Share], block_words: int = BLOCK_WORDS, shard_slots:
                + round_.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
         return pd.DataFrame({"pass": round_.astype("int32"), "block": permuted(at, size, key)})
 
-    taken = F.pandas_udf(look, "pass int, block bigint")(F.col("rank"), F.col("slot"))
+    # a filter on its result must not run it once more beside itself: that takes another worker for each task
+    taken = F.pandas_udf(look, "pass int, block bigint").asNondeterministic()(F.col("rank"), F.col("slot"))
     return numbered.withColumn("_taken", taken).select("shard", "rank", "_taken.pass", "_taken.block")
 
 
@@ -165,8 +166,8 @@ def placed(sized: DataFrame, mix: list[Share]) -> DataFrame:
     Sums run inside small groups of documents, and over one row per group and source after that.
     """
     spark = sized.sparkSession
-    table = F.broadcast(spark.createDataFrame(  # one row per source
-        [(s.source, s.rank, s.size, s.target) for s in mix],
+    table = F.broadcast(local_table(  # one row per source
+        spark, [(s.source, s.rank, s.size, s.target) for s in mix],
         "_source string, rank int, source_size bigint, target double",
     ))
     groups = max(1, math.ceil(sized.count() / GROUP_ROWS))

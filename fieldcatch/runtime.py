@@ -6,7 +6,12 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+#: Bytes of rows that a Python worker gets at once, where `bound_batches` was called.
+BATCH_BYTES = 4 << 20
 
 _LOCAL_DIRS: dict[str, str] = {}
 _STORED: dict[str, list[str]] = {}
@@ -68,6 +73,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver's as a table. As an Arrow table they need no Python workers to be unpickled,
+    which would be a pool of their own beside those of the operators."""
+    kind = StructType.fromDDL(schema)
+    return spark.createDataFrame(pa.table({name: [r[i] for r in rows] for i, name in enumerate(kind.names)}), kind)
+
+
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """From here on Python workers get at most about `most` bytes of rows at once. The session's own smaller bound stays.
+
+    Of long texts, the usual 10,000 rows take tens of MB, several times over, in the worker and in the JVM beside it.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < held <= most:
+        spark.conf.set(key, most)
+
+
 def drop_stored(spark: SparkSession, keep: set[str] = frozenset()) -> int:
     """Delete what this application wrote to the shared folder, but for `keep`, once results are out.
 

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldcatch.llm import best_fit, group_matrix, html_density, language_codes, source_mix, va_file
+from fieldcatch.llm import best_fit, group_matrix, html_density, language_codes, source_mix, va_file, workers
 from fieldcatch.llm.components import components
 
 PLAIN = "doc_id bigint, text string"
@@ -264,6 +264,57 @@ def test_pipeline_keeps_texts_that_share_an_id(spark):
     assert sorted(kept, key=str) == sorted([data[2], data[3], *data[5:]], key=str)
 
 
+def test_pipeline_hands_python_little_at_once(spark):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, "x" * 50_000, "en", "a", 50_000) for i in range(400)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    before = spark.conf.get(key)
+    try:
+        corpus_pipeline.mix_sources(spark, docs.limit(3), "")
+        sizes = docs.coalesce(1).mapInPandas(
+            lambda batches: (b[["n_chars"]].agg("sum").to_frame().T for b in batches), "n_chars bigint"
+        ).collect()
+        assert len(sizes) > 1 and max(r["n_chars"] for r in sizes) <= 5 << 20
+        spark.conf.set(key, "1m")
+        corpus_pipeline.mix_sources(spark, docs.limit(3), "")
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_workers_keep_nothing_of_earlier_operators():
+    made = []
+
+    def make(name):
+        made.append(name)
+        return name
+
+    def work(batches):
+        for b in batches:
+            yield workers.per_worker("mine", lambda: make("mine")) + b
+
+    workers.forget()
+    workers.per_worker("theirs", lambda: make("theirs"))
+    assert list(workers.tidy(work, "mine")(iter("ab"))) == ["minea", "mineb"]
+    assert list(workers.tidy(work, "mine")(iter("c"))) == ["minec"] and made == ["theirs", "mine"]
+    workers.per_worker("theirs", lambda: make("theirs"))
+    assert list(workers.tidy(work)(iter("d"))) == ["mined"]
+    workers.per_worker("mine", lambda: make("mine"))
+    assert made == ["theirs", "mine", "theirs", "mine", "mine"]
+    workers.forget()
+
+
+def test_the_mix_runs_python_once_a_task(spark, capsys):
+    docs = spark.createDataFrame([(i, "a b c d", "s", 7) for i in range(5)],
+                                 "doc_id bigint, text string, source string, n_chars bigint")
+    source_mix.mixed_documents(docs).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ArrowEvalPython [look(") == 1 and plan.count("ArrowEvalPython [cut(") == 1
+    assert "ExistingRDD[_source" not in plan and "ExistingRDD[rank" not in plan
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in components(chain).collect()}
@@ -375,6 +426,21 @@ def test_punctuation_behind_any_letter():
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == coded.ids, text
 
 
+@pytest.mark.parametrize("most", [0, 3, 1000])
+def test_the_word_cache_is_one_and_bounded(monkeypatch, most):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(best_fit, "CACHED_WORDS", most)
+    path = best_fit.tokenizer_path()
+    whole, coder = Tokenizer.from_file(path), best_fit.WordTokens(path)
+    texts = ["Word, word", "word WORD, wo,rd ,", "h\u0331, one", ", . one; Two two."]
+    for text in texts * 2:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    held = [d for d in vars(coder).values() if isinstance(d, dict)]
+    assert len(held) == 1 and len(held[0]) <= most + 10 and (most < 10 or b"word" in held[0])
+    assert not any(w for w in held[0]) if not most else b"" not in held[0]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(rule):
     rng = np.random.default_rng(2)
