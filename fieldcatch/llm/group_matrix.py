@@ -136,13 +136,16 @@ def _levels(counted: DataFrame) -> bytes:
         return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "total": [total.astype("<u4").tobytes()]})
 
     rows = counted.groupBy("chunk").applyInPandas(add, "chunk int, total binary").collect()
-    total = np.zeros(1 << SKETCH_BITS)
-    for row in rows:  # as many as the sketch has chunks
-        total[row["chunk"] << CHUNK_BITS:(row["chunk"] + 1) << CHUNK_BITS] = np.frombuffer(row["total"], dtype="<u4")
-    mean = total.mean()
-    over = total - mean
-    levels = np.where(over > 4 * math.sqrt(mean) + 4, np.log2(np.maximum(over, 1)) + 1, 0)
-    return levels.astype(np.uint8).tobytes()
+    # as many as the sketch has chunks; one at a time, as the driver has little memory to spare
+    totals = {row["chunk"]: np.frombuffer(row["total"], dtype="<u4") for row in rows}
+    mean = sum(int(total.sum(dtype=np.int64)) for total in totals.values()) / (1 << SKETCH_BITS)
+    levels = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
+    for chunk, total in totals.items():
+        over = total - mean
+        levels[chunk << CHUNK_BITS:(chunk + 1) << CHUNK_BITS] = np.where(
+            over > 4 * math.sqrt(mean) + 4, np.log2(np.maximum(over, 1)) + 1, 0
+        )
+    return levels.tobytes()
 
 
 def _prefixes(docs: DataFrame, rule: Threshold, levels: bytes, text: str) -> DataFrame:
