@@ -225,6 +225,25 @@ def test_join_of_variants_that_share_a_core_but_are_mostly_unlinked(spark, monke
     assert len({c for _, c in want.values()}) > 20
 
 
+def test_levels_take_little_of_the_driver(spark):
+    import tracemalloc
+
+    size = 1 << group_matrix.CHUNK_BITS
+    counts = np.random.default_rng(3).integers(0, 3, size=size).astype(np.uint8)
+    counts[7] = 255
+    counted = spark.createDataFrame([(k, bytearray(zlib.compress(counts.tobytes()))) for k in (0, 2, 2)],
+                                    "chunk int, counts binary")
+    tracemalloc.start()
+    levels = np.frombuffer(group_matrix._levels(counted), dtype=np.uint8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    total = np.zeros(1 << group_matrix.SKETCH_BITS)
+    total[:size], total[2 * size:3 * size] = counts, 2.0 * counts
+    over = total - total.mean()
+    want = np.where(over > 4 * np.sqrt(total.mean()) + 4, np.log2(np.maximum(over, 1)) + 1, 0).astype(np.uint8)
+    assert (levels == want).all() and levels[7] > 0 and peak < 60 << 20
+
+
 def test_join_odd_tables(spark):
     text = "a b c d e f"
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (0, text)], PLAIN)
