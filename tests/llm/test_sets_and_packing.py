@@ -460,6 +460,70 @@ def test_the_word_cache_is_one_and_bounded(monkeypatch, most):
     assert not any(w for w in held[0]) if not most else b"" not in held[0]
 
 
+def test_plain_words_are_tokenized_as_one_text():
+    """New words cost one call of the tokenizer by the thousand, not one each; their ids are the same."""
+    from itertools import product
+
+    from tokenizers import Tokenizer
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode(self, text, **how):
+            self.texts += 1
+            return self.tokenizer.encode(text, **how)
+
+        def encode_batch_fast(self, texts, **how):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    path = best_fit.tokenizer_path()
+    whole, coder = Tokenizer.from_file(path), best_fit.WordTokens(path)
+    letters = "abhlqyzßàéñöøþÿ"
+    words = ["".join(w) for n in (1, 2, 3, 4) for w in product(letters, repeat=n)][:20_000]
+    words += [w.capitalize() for w in words[:300]] + [f"{w}**" for w in words[:300]] + [f'"{w}".)' for w in words[:300]]
+    counted = [Counted(t) for t in vars(coder).values() if hasattr(t, "encode_batch_fast")]
+    for name in [n for n, t in vars(coder).items() if hasattr(t, "encode_batch_fast")]:
+        setattr(coder, name, next(c for c in counted if c.tokenizer is getattr(coder, name)))
+    assert np.frombuffer(coder.encode(" ".join(words)), "<u4").tolist() == whole.encode(
+        " ".join(words), add_special_tokens=False
+    ).ids
+    assert sum(c.texts for c in counted) < 1000
+
+
+def test_every_punctuation_behind_letters():
+    import string
+    from tokenizers import Tokenizer
+
+    path = best_fit.tokenizer_path()
+    whole, coder = Tokenizer.from_file(path), best_fit.WordTokens(path)
+    marks = [*string.punctuation, *(a + b for a in string.punctuation for b in string.punctuation)]
+    cores = ["word", "It's", "don't'", "É5", "x²", "ß", "ñ", "क़", "a.b", "'", "<|endoftext|>", "<|", "ö̈", "TÜRKİ"]
+    for core in cores:
+        text = " ".join(f"{core}{m} {m}{core} {core}{m}s" for m in marks)
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, core
+
+
+def test_texts_taken_together(monkeypatch):
+    """Runs of texts cover all rows once, and what is looked up for many texts at once is what each has by itself."""
+    import pyarrow as pa
+
+    path = best_fit.tokenizer_path()
+    texts = ["", None, " \t two  words\n", "x" * 30, None, "Word, word", "  \x0b", "a b c d e f g h", "", "ends "]
+    for most in (1, 8, 20, 1 << 20):
+        monkeypatch.setattr(best_fit, "TOGETHER", most)
+        coder, alone = best_fit.WordTokens(path), best_fit.WordTokens(path)
+        rows = pa.array(["cut off", *texts])[1:]
+        runs, coded = best_fit.together(rows), []
+        for first, behind in runs:
+            body, at = coder.encode_all(rows.slice(first, behind - first))
+            coded += [bytes(body[a:b]) for a, b in zip(at, at[1:])]
+        assert [r for run in runs for r in range(*run)] == list(range(len(texts)))
+        assert coded == [alone.encode(t or "") for t in texts]
+    assert best_fit.together(rows[:0]) == []
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(rule):
     rng = np.random.default_rng(2)
