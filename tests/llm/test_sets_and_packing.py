@@ -225,6 +225,80 @@ def test_join_of_variants_that_share_a_core_but_are_mostly_unlinked(spark, monke
     assert len({c for _, c in want.values()}) > 20
 
 
+def stored_rows(monkeypatch):
+    """Rows of the tables that the join stores, by label."""
+    rows_ = defaultdict(int)
+
+    def stored(df, label, real=group_matrix.materialise):
+        made = real(df, label)
+        rows_[label] += made.count()
+        return made
+
+    monkeypatch.setattr(group_matrix, "materialise", stored)
+    return rows_
+
+
+def test_near_copies_are_no_candidates_of_each_other(spark, monkeypatch):
+    rows_ = stored_rows(monkeypatch)
+    rng = random.Random(11)
+    data = []
+    for base in range(6):
+        words = [f"b{base}_{i}" for i in range(400)]
+        for k in range(12):
+            copy = list(words)
+            copy[rng.randrange(400)] = f"x{base}_{k}"
+            data.append((len(data), " ".join(copy)))
+    df = spark.createDataFrame(data, PLAIN)
+    got = {r["doc_id"]: r["component_id"] for r in group_matrix.jaccard_join(df).collect()}
+    assert got == {i: i // 12 * 12 for i in range(72)}
+    assert rows_["copies"] >= 60 and rows_["near"] < 6 * 66 // 4
+
+
+def test_a_passage_of_many_does_not_make_them_candidates(spark, monkeypatch):
+    monkeypatch.setattr(group_matrix, "SHORT", 4)
+    rows_ = stored_rows(monkeypatch)
+    passage = [f"p{i}" for i in range(30)]
+    data = [(i, " ".join(passage + [f"w{i}_{k}" for k in range(60 + i % 7)])) for i in range(40)]
+    data += [(40 + i, text + " end") for i, (_, text) in enumerate(data[:3])]
+    want = brute_join(data, 4, 85)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in group_matrix.jaccard_join(
+        spark.createDataFrame(data, PLAIN)).collect()}
+    assert got == want and got[42][1] == 2
+    assert rows_["pairs"] <= 3
+
+
+@pytest.mark.parametrize("wide", [2, 256])
+def test_join_of_wide_and_long_runs(spark, monkeypatch, wide):
+    monkeypatch.setattr(group_matrix, "SHORT", 2)
+    monkeypatch.setattr(group_matrix, "WIDE", wide)
+    monkeypatch.setattr(group_matrix, "_families", lambda docs, classes, *_: (
+        spark.createDataFrame([], "a bigint, b bigint"), classes.withColumn("label", F.col("head"))))
+    rng = random.Random(wide)
+    words = [f"w{i}" for i in range(90)]
+    data = []
+    for i in range(50):
+        copy = list(words) + [f"z{k}" for k in range(rng.randrange(20))]
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+            copy[rng.randrange(90)] = f"x{rng.random()}"
+        data.append((i, " ".join(copy)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in group_matrix.jaccard_join(
+        spark.createDataFrame(data, PLAIN)).collect()}
+    assert got == brute_join(data, 4, 85)
+
+
+def test_parities_never_rule_out_a_link():
+    rng = np.random.default_rng(4)
+    rule = group_matrix.Threshold()
+    for n, own in ((40, 2), (500, 30), (510, 20), (3000, 200)):
+        common = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        a, b = (np.unique(np.r_[common, rng.integers(0, 1 << 63, k, dtype=np.uint64)]) for k in (own, own + 9))
+        x, y = (np.frombuffer(group_matrix.parities(s), dtype=np.uint8) for s in (a, b))
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+        apart = int(np.bitwise_count(x ^ y).sum())
+        assert apart <= len(np.setxor1d(a, b))
+        assert rule.near_enough(apart, len(a), len(b)) or not rule.linked(n, len(a), len(b))
+
+
 def test_levels_take_little_of_the_driver(spark):
     import tracemalloc
 
