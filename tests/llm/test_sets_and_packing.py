@@ -357,6 +357,22 @@ def test_pipeline_keeps_texts_that_share_an_id(spark):
     assert sorted(kept, key=str) == sorted([data[2], data[3], *data[5:]], key=str)
 
 
+def test_pipeline_shuffles_only_texts_in_doubt(spark, monkeypatch):
+    import corpus_pipeline
+
+    told = []
+    monkeypatch.setattr(corpus_pipeline, "may_be_listed",
+                        lambda *a, real=corpus_pipeline.may_be_listed: told.append(real(*a)) or told[-1])
+    core = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    data = [(i, t, "s") for i, t in enumerate([*core, core[0] + " x", core[0] + " y", core[1], "lone text", "other text"])]
+    data += [data[2], (2, core[2], "r")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    kept = [tuple(r) for r in corpus_pipeline.keep_one_of_each_group(spark, df, "").collect()]
+    assert sorted(kept) == [data[0], data[1], data[-1], data[6], data[7]]
+    rows_ = [tuple(r) for r in told[-1].filter("_other AND _may_be_first").select("doc_id", "source").collect()]
+    assert sorted(rows_) == [(2, "r"), (2, "s"), (2, "s")]
+
+
 def test_pipeline_hands_python_little_at_once(spark):
     import corpus_pipeline
 
